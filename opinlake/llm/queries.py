@@ -6,34 +6,96 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import copies, leaks, standing
+from . import copies, langid, leaks, mainbody, prose, standing, toxic
+
+
+def _documents(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/documents.parquet")
+
+
+def _unified(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/unified_rows.parquet")
+
+
+def _posts(spark: SparkSession, d: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/raw_posts.parquet")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return toxic.scores(rows, toxic.trained(spark, rows, table(spark, d, "review_labels"))).filter("offensive").select("row_id")
+
+
+def p1_scores(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return toxic.scores(rows, toxic.trained(spark, rows, table(spark, d, "review_labels")))
+
+
+def p1_rates(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return toxic.rates(rows, toxic.trained(spark, rows, table(spark, d, "review_labels")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    docs, rows = _documents(spark, d), _unified(spark, d)
+    model = prose.trained(spark, _posts(spark, d), rows, docs)
+    langs = spark.sparkContext.broadcast(model.value.langs)
+    return prose.languages_of_documents(docs, model).unionByName(langid.find_in_rows(rows, langs))
+
+
+def p3_segments(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return langid.segments_of_rows(rows, langid.trained(spark, _documents(spark, d), rows))
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    posts, docs = _posts(spark, d), _documents(spark, d)
+    model = mainbody.trained(spark, posts, _unified(spark, d), docs)
+    return mainbody.find_furniture(mainbody.stack_pages(posts, docs), model).select("tbl", "row_key", "line_no")
+
+
+def p6_main_text(spark: SparkSession, d: str) -> DataFrame:
+    posts, docs = _posts(spark, d), _documents(spark, d)
+    return mainbody.main_text(mainbody.stack_pages(posts, docs), mainbody.trained(spark, posts, _unified(spark, d), docs))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    return prose.not_prose(docs, prose.trained(spark, _posts(spark, d), _unified(spark, d), docs))
+
+
+def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
+    docs = _documents(spark, d)
+    return prose.document_statistics(docs, prose.trained(spark, _posts(spark, d), _unified(spark, d), docs))
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    return standing.find_standing(spark.read.parquet(f"{d}/documents.parquet")).select("doc_id", "line_no")
+    return standing.find_standing(_documents(spark, d)).select("doc_id", "line_no")
 
 
 def p2_clean(spark: SparkSession, d: str) -> DataFrame:
-    return standing.remove_standing(spark.read.parquet(f"{d}/documents.parquet")).select("doc_id", "clean_text", "n_removed")
+    return standing.remove_standing(_documents(spark, d)).select("doc_id", "clean_text", "n_removed")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
-    return copies.pairs(spark.read.parquet(f"{d}/unified_rows.parquet"))
+    return copies.pairs(_unified(spark, d))
 
 
 def p7_collapse(spark: SparkSession, d: str) -> DataFrame:
-    return copies.collapse(spark.read.parquet(f"{d}/unified_rows.parquet"))
+    return copies.collapse(_unified(spark, d))
 
 
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.find_leaks(spark.read.parquet(f"{d}/documents.parquet"), table(spark, d, "eval_items"))
+    return leaks.find_leaks(_documents(spark, d), table(spark, d, "eval_items"))
 
 
 def p8_report(spark: SparkSession, d: str) -> DataFrame:
-    return leaks.leak_report(spark.read.parquet(f"{d}/documents.parquet"), table(spark, d, "eval_items"))
+    return leaks.leak_report(_documents(spark, d), table(spark, d, "eval_items"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_clean, p7_found, p7_collapse, p8_found, p8_report)}
+QUERIES = {f.__name__: f for f in (
+    p1_found, p1_scores, p1_rates, p2_found, p2_clean, p3_found, p3_segments, p6_found, p6_main_text, p7_found, p7_collapse, p8_found, p8_report, p10_found, p10_statistics,
+)}
 
 _LINES = r"""
 WITH l AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no FROM documents),
