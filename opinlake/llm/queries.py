@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import copies, langid, leaks, mainbody, prose, standing, toxic
+from . import copies, langid, leaks, mainbody, mixing, pii, prose, standing, toxic
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -48,6 +48,24 @@ def p3_segments(spark: SparkSession, d: str) -> DataFrame:
     return langid.segments_of_rows(rows, langid.trained(spark, _documents(spark, d), rows))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return pii.find(rows, pii.trained(spark, rows))
+
+
+def p5_redacted(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unified(spark, d)
+    return pii.redact(rows, pii.trained(spark, rows))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(_documents(spark, d), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(_documents(spark, d), table(spark, d, "mix_targets"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     posts, docs = _posts(spark, d), _documents(spark, d)
     model = mainbody.trained(spark, posts, _unified(spark, d), docs)
@@ -94,7 +112,7 @@ def p8_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    p1_found, p1_scores, p1_rates, p2_found, p2_clean, p3_found, p3_segments, p6_found, p6_main_text, p7_found, p7_collapse, p8_found, p8_report, p10_found, p10_statistics,
+    p1_found, p1_scores, p1_rates, p2_found, p2_clean, p3_found, p3_segments, p5_found, p5_redacted, p6_found, p6_main_text, p7_found, p7_collapse, p8_found, p8_report, p9_mix, p9_shares, p10_found, p10_statistics,
 )}
 
 _LINES = r"""
