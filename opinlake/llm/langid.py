@@ -26,11 +26,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .samples import bounded
+
 LANGS = ("ko", "en", "es", "pt", "de", "ja", "zh")
 BITS = 16
 TRAIN_ROWS = 6000
 SWITCH = 14.0
 WRONG = 3.0
+CHUNK = 20_000
 
 # Plain sentences of each language, so that every language is known where labels are few.
 SEEDS = {
@@ -119,9 +122,14 @@ class LangModel:
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Log-probabilities of each word under each language, relative to their mean."""
-        ids, own = ngram_ids(words)
-        m = self.matrix[ids]
-        return np.stack([np.bincount(own, weights=m[:, k], minlength=len(words)) for k in range(len(LANGS))], axis=1)
+        out = np.empty((len(words), len(LANGS)), dtype=np.float32)
+        for a in range(0, len(words), CHUNK):
+            part = words[a:a + CHUNK]
+            ids, own = ngram_ids(part)
+            m = self.matrix[ids]
+            for k in range(len(LANGS)):
+                out[a:a + CHUNK, k] = np.bincount(own, weights=m[:, k], minlength=len(part))
+        return out
 
 
 def fit_matrix(texts: list[list[str]], labels: list[int], mix: float = 0.08) -> LangModel:
@@ -129,9 +137,8 @@ def fit_matrix(texts: list[list[str]], labels: list[int], mix: float = 0.08) ->
     counts = np.zeros((len(LANGS), 1 << BITS), dtype=np.float64)
     for k in range(len(LANGS)):
         words = [w for t, y in zip(texts, labels) if y == k for w in t]
-        if words:
-            ids, _ = ngram_ids(words)
-            counts[k] = np.bincount(ids, minlength=1 << BITS)
+        for a in range(0, len(words), CHUNK):
+            counts[k] += np.bincount(ngram_ids(words[a:a + CHUNK])[0], minlength=1 << BITS)
     shares = counts / np.maximum(counts.sum(axis=1, keepdims=True), 1)
     common = 0.9 * shares.mean(axis=0) + 0.1 / (1 << BITS)
     logp = np.log((1 - mix) * shares + mix * common)
@@ -145,15 +152,14 @@ def _sentences(text: str) -> list[str]:
 
 def training_sample(documents: DataFrame, unified_rows: DataFrame, n: int = TRAIN_ROWS) -> list[tuple[str, str]]:
     """(text, label) of the rows with the least hashes whose label names a language."""
-    part = lambda df, key, text: df.select(F.col(key).alias("k"), F.col(text).alias("t"), "lang").filter("t IS NOT NULL AND lang IS NOT NULL AND length(t) >= 8").orderBy(F.xxhash64("k"), "k").limit(n).select("t", "lang")
+    part = lambda df, key, text: bounded(df.select(F.col(key).alias("k"), F.col(text).alias("t"), "lang").filter("t IS NOT NULL AND lang IS NOT NULL AND length(t) >= 8"), "k", n).select("t", "lang")
     rows = part(documents, "doc_id", "text").unionByName(part(unified_rows, "row_id", "comment_text")).collect()
     return [(r["t"], y) for r in rows if (y := label_of(r["lang"]))]
 
 
 def _piece_scores(model: LangModel, pieces: list[list[str]]) -> np.ndarray:
-    ends = np.cumsum([len(p) for p in pieces])
-    cum = np.concatenate([np.zeros((1, len(LANGS))), np.cumsum(model.word_scores([w for p in pieces for w in p]), axis=0)])
-    return cum[ends] - cum[np.concatenate([[0], ends[:-1]])]
+    starts = np.concatenate([[0], np.cumsum([len(p) for p in pieces])[:-1]])
+    return np.add.reduceat(model.word_scores([w for p in pieces for w in p]), starts, axis=0)
 
 
 def fit(sample: list[tuple[str, str]]) -> LangModel:
@@ -261,7 +267,7 @@ def detect(model: LangModel, texts: list[str | None]) -> list[Found | None]:
     ends = np.cumsum([len(x) for x in lists])
     starts = np.concatenate([[0], ends[:-1]])
     flat = [w for x in lists for w in x]
-    S = np.concatenate([model.word_scores(flat[a:a + 200_000]) for a in range(0, len(flat), 200_000)])
+    S = model.word_scores(flat).astype(np.float64)
     total = np.add.reduceat(S, starts, axis=0)
     free = np.add.reduceat(S.max(axis=1), starts)
     order = np.sort(total, axis=1)

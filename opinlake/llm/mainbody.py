@@ -26,6 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .samples import bounded
 from .sequence import BiLSTM
 
 TRAIN_POSTS = 1500
@@ -34,6 +35,7 @@ BUCKETS = 8192
 EMB = 24
 HIDDEN = 24
 CUT = 0.5
+CHUNK = 250
 
 _KEY = re.compile(r"[\W\d_]+")
 _NUMBERED = re.compile(r"\(?\d+[.)]|\[\d+\]|\d+ \S")
@@ -296,18 +298,18 @@ def _post_pages(posts: list, r: np.random.Generator):
         texts.append("\n".join(x for x, _ in made))
         titles.append(p["title"] if r.random() < 0.8 else None)
         labels.append([v for _, v in made])
-    pages = Pages(texts, titles)
     out = []
-    for i, y in enumerate(labels):
-        if len(y) == len(pages.lines[i]) and y:
-            out.append((*pages.page(i), np.array(y, np.float32), np.ones(len(y), np.float32)))
+    for a in range(0, len(texts), CHUNK):  # bounds the driver's memory
+        pages = Pages(texts[a:a + CHUNK], titles[a:a + CHUNK])
+        for i, y in enumerate(labels[a:a + CHUNK]):
+            if len(y) == len(pages.lines[i]) and y:
+                out.append((*(x.copy() for x in pages.page(i)), np.array(y, np.float32), np.ones(len(y), np.float32)))
     return out
 
 
 def _doc_pages(docs: list, net: BiLSTM | None):
     """Training pages of documents: standing lines are furniture; else what the first model is sure of."""
-    pages = Pages([d["text"] for d in docs], [d["title"] for d in docs])
-    keys = [[letters(x) for x in lines] for lines in pages.lines]
+    keys = [[letters(x) for x in (x.strip() for x in d["text"].split("\n")) if x] for d in docs]
     support: dict[tuple, int] = {}
     total: dict = {}
     for d, ks in zip(docs, keys):
@@ -315,36 +317,38 @@ def _doc_pages(docs: list, net: BiLSTM | None):
         for k in set(ks):
             if k:
                 support[d["source"], k] = support.get((d["source"], k), 0) + 1
-    if net is not None and pages.lengths.sum():
-        prob = net.predict(pages.ids, pages.starts, pages.counts, pages.shape, pages.lengths)
-    ends = np.cumsum(pages.lengths)
     out = []
-    for i, (d, ks) in enumerate(zip(docs, keys)):
-        if not ks:
-            continue
-        need = max(3, 0.02 * total[d["source"]])
-        standing = np.array([bool(k) and support[d["source"], k] >= need for k in ks])
-        title = letters(d["title"] or "")
-        own = np.array([bool(title) and k == title for k in ks])
-        if net is not None:
-            p = prob[ends[i] - len(ks):ends[i]]
-            y = np.where(standing, 1.0, (p > 0.5) * 1.0)
-            w = np.where(standing, 1.0, np.where((p < 0.1) | (p > 0.9), 0.5, 0.0))
-        else:
-            y, w = standing * 1.0, np.ones(len(ks))
-        y, w = np.where(own, 0.0, y), np.where(own, 1.0, w)
-        out.append((*pages.page(i), y.astype(np.float32), w.astype(np.float32)))
+    for a in range(0, len(docs), CHUNK):
+        part = docs[a:a + CHUNK]
+        pages = Pages([d["text"] for d in part], [d["title"] for d in part])
+        prob = net.predict(pages.ids, pages.starts, pages.counts, pages.shape, pages.lengths) if net is not None and pages.lengths.sum() else None
+        ends = np.cumsum(pages.lengths)
+        for i, (d, ks) in enumerate(zip(part, keys[a:a + CHUNK])):
+            if not ks:
+                continue
+            need = max(3, 0.02 * total[d["source"]])
+            standing = np.array([bool(k) and support[d["source"], k] >= need for k in ks])
+            title = letters(d["title"] or "")
+            own = np.array([bool(title) and k == title for k in ks])
+            if prob is not None:
+                p = prob[ends[i] - len(ks):ends[i]]
+                y = np.where(standing, 1.0, (p > 0.5) * 1.0)
+                w = np.where(standing, 1.0, np.where((p < 0.1) | (p > 0.9), 0.5, 0.0))
+            else:
+                y, w = standing * 1.0, np.ones(len(ks))
+            y, w = np.where(own, 0.0, y), np.where(own, 1.0, w)
+            out.append((*(x.copy() for x in pages.page(i)), y.astype(np.float32), w.astype(np.float32)))
     return out
 
 
 def training_sample(raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame, n_posts: int = TRAIN_POSTS, n_docs: int = TRAIN_DOCS):
     """The bounded sample: posts with their bodies, and documents; chosen by a hash of the key."""
-    posts = raw_posts.filter("raw_text IS NOT NULL AND raw_text <> ''").select("row_id", F.col("id").alias("post_id"), "title", "raw_text").orderBy(F.xxhash64("row_id"), "row_id").limit(n_posts)
+    posts = bounded(raw_posts.filter("raw_text IS NOT NULL AND raw_text <> ''").select("row_id", F.col("id").alias("post_id"), "title", "raw_text"), "row_id", n_posts)
     posts = posts.dropDuplicates(["post_id"])
     ids = F.broadcast(posts)  # n_posts rows at most
     bodies = unified_rows.filter("comment_index IS NULL AND text IS NOT NULL").select(F.col("id").alias("u_id"), F.col("text").alias("body"))
     joined = ids.join(bodies, F.col("post_id") == F.col("u_id")).groupBy("row_id").agg(F.first("title").alias("title"), F.first("raw_text").alias("raw_text"), F.min("body").alias("body"))
-    docs = documents.filter("text IS NOT NULL AND text <> ''").select("doc_id", "source", "title", "text").orderBy(F.xxhash64("doc_id"), "doc_id").limit(n_docs)
+    docs = bounded(documents.filter("text IS NOT NULL AND text <> ''").select("doc_id", "source", "title", "text"), "doc_id", n_docs)
     return sorted(joined.collect(), key=lambda r: r["row_id"]), docs.collect()
 
 
