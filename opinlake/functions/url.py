@@ -42,6 +42,11 @@ def in_(key: Column, names: tuple[str, ...]) -> Column:
     return key.isin(*names) if names else F.lit(False)
 
 
+def only(kv: Column, keys: tuple[str, ...]) -> Column:
+    """The pairs whose key is one of ``keys``."""
+    return F.filter(kv, lambda x: in_(F.lower(x["k"]), keys))
+
+
 def normalize(url: Column) -> Column:
     """The crawl's identity of a page: tracking parameters and fragment gone, site rules applied, the rest sorted."""
     p = parts(url)
@@ -52,7 +57,7 @@ def normalize(url: Column) -> Column:
     for host, path, keys in SITE_RULES:
         at_path = (F.lower(p["path"]) == path[1:]) if path.startswith("=") else F.contains(F.lower(p["path"]), F.lit(path))
         hit = ((p["host"] == host) | F.endswith(p["host"], F.lit("." + host))) & at_path
-        kept = F.filter(kv, lambda x, keys=keys: in_(low(x), keys))
+        kept = only(kv, keys)
         chosen = F.when(hit, kept) if chosen is None else chosen.when(hit, kept)
     final = F.array_sort(chosen.otherwise(generic))
     query = F.array_join(F.transform(final, lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&")

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StructField, StructType
+
+from ..functions.text import strip
 
 LABELS = ("negative", "neutral", "positive")
 LABEL_KO = {"negative": "부정", "neutral": "중립", "positive": "긍정"}
@@ -60,8 +67,6 @@ def client_normal(df: DataFrame) -> DataFrame:
     """The client's normal form of (text, source, is_related, negative, neutral, positive, label): clipped, shifted by coarse language on one
     forum, scaled to 1, rounded twice to two decimals; unrelated rows get zeros. Rounding is half even on the binary value, as the
     answers' consumers expect, so the two rounding steps run in an Arrow UDF."""
-    import pandas as pd
-
     clip = lambda c: F.greatest(F.lit(0.0), F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
     shifted = F.when(F.coalesce(F.col("text"), F.lit("")).rlike(COARSE) & F.contains(F.coalesce(F.col("source"), F.lit("")), F.lit("dcinside")), F.least(F.lit(1.0), clip("negative") + 0.15)).otherwise(clip("negative"))
 
@@ -102,7 +107,7 @@ def explanation(label_ko: Column, text: Column) -> Column:
 
 def scoring_text(df: DataFrame, least: int = 5) -> DataFrame:
     """Adds ``scoring_text``: title, body and comment as the scorer wants them by kind; texts under ``least`` characters are empty."""
-    t, b, c = (F.trim(F.coalesce(F.col(x), F.lit(""))) for x in ("title", "text", "comment_text"))
+    t, b, c = (strip(F.coalesce(F.col(x), F.lit(""))) for x in ("title", "text", "comment_text"))
     gap = F.lit("\n\n")
     kind = F.coalesce(F.nullif(F.col("doc_type"), F.lit("")), F.lit("post"))
     post = F.when((t != "") & (b != ""), F.concat(t, gap, b)).when(t != "", t).otherwise(b)
@@ -127,12 +132,7 @@ def lexicon_score(df: DataFrame, text: str = "scoring_text") -> DataFrame:
 
 def remote_score(df: DataFrame, scorer, text: str = "scoring_text", tries: int = 3, pause: float = 2.0) -> DataFrame:
     """Rows through an injected scorer (text -> dict), batch by batch; blanks never reach it and failures count as unrelated."""
-    import time
-    from collections.abc import Iterator
-
-    import pandas as pd
-
-    schema = df.schema.add("is_related", "boolean").add("negative", "double").add("neutral", "double").add("positive", "double")
+    schema = StructType([*df.schema.fields, StructField("is_related", BooleanType()), *(StructField(k, DoubleType()) for k in LABELS)])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -1,18 +1,591 @@
-"""The core's registered queries and their SQL."""
+"""The core's registered queries and their SQL. Every query runs over its whole tables."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import timestamps
+from .functions import text as T
+from .functions import times as C
+from .functions import url as U
+from .operators import content, dashboard, dedup, planner, rows, scored, timestamps
 from .session import table
 
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
 
-def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    values = timestamps.stack_values(spark.read.parquet(f"{d}/unified_rows.parquet"), spark.read.parquet(f"{d}/raw_comments.parquet"))
-    return timestamps.normalise(values, table(spark, d, "source_info"))
 
+def _plain(df: DataFrame) -> DataFrame:
+    """Dates as text, so that results look alike in every engine."""
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes])
 
-QUERIES = {"p4_found": p4_found}
-ORACLES: dict[str, str] = {}
+
+def query(sql: str | None = None):
+    """Register a query under its name, with its SQL if there is one."""
+
+    def add(f):
+        QUERIES[f.__name__] = lambda s, d: _plain(f(s, d))
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def _ev(s: SparkSession, d: str) -> DataFrame:
+    return scored.from_events(table(s, d, "events"))
+
+
+def _rows(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/unified_rows.parquet")
+
+
+def _docs(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/documents.parquet")
+
+
+def _posts(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/raw_posts.parquet")
+
+
+def _comments(s: SparkSession, d: str) -> DataFrame:
+    return s.read.parquet(f"{d}/raw_comments.parquet").select("post_id", "comment_index", "text", F.col("published_at_raw").alias("published_at"), "author", "comment_key")
+
+
+def _post_rows(s: SparkSession, d: str) -> DataFrame:
+    """raw_posts, the first of each id."""
+    p = _posts(s, d).select("row_id", "id", "source", "title", "lang", "published_at", F.col("raw_text").alias("text"))
+    return dedup.first_by(p, "id", "row_id")
+
+
+EV = """WITH k AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, ts + INTERVAL 9 HOUR AS kst FROM events),
+w AS (SELECT event_id AS pos_id, event_type AS source, user_id, kst, strftime(kst, '%Y-%m-%d') AS day, CAST(hour(kst) AS INT) AS hr, greatest(0, 50 - k) AS neg, CAST(25 AS BIGINT) AS neu, greatest(0, k - 50) AS pos FROM k),
+e AS (SELECT *, CASE WHEN neg >= neu AND neg >= pos THEN 'negative' WHEN neu >= pos THEN 'neutral' ELSE 'positive' END AS label, CAST(pos - neg AS DOUBLE) / (neg + neu + pos) AS score FROM w)
+"""
+SHARE = "round(avg(CASE WHEN label = '{0}' THEN 1.0 ELSE 0.0 END), 6)"
+
+
+# --- dashboard
+@query(EV + ", g AS (SELECT day, avg(score) AS s, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY day) SELECT day, round(s, 6) AS score, n, round(avg(s) OVER (ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS ma7 FROM g")
+def daily_score_ma7(s, d):
+    return dashboard.daily_score(_ev(s, d))
+
+
+@query(EV + ", g AS (SELECT hr, avg(score) AS s, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY hr) SELECT hr, round(s, 6) AS score, n, round(avg(s) OVER (ORDER BY hr ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 6) AS ma3 FROM g")
+def hourly_score_ma3(s, d):
+    return dashboard.hourly_score(_ev(s, d))
+
+
+@query(EV + "SELECT day, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY day")
+def daily_volume(s, d):
+    return dashboard.volume(dashboard.comments(_ev(s, d)), "day")
+
+
+@query(EV + "SELECT hr, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY hr")
+def hourly_volume(s, d):
+    return dashboard.volume(dashboard.comments(_ev(s, d)), "hr")
+
+
+@query(EV + "SELECT day, count(*) AS n FROM e WHERE source = 'signup' GROUP BY day")
+def article_daily(s, d):
+    return dashboard.volume(dashboard.articles(_ev(s, d)), "day")
+
+
+@query(EV + "SELECT min(day) AS first_day, max(day) AS last_day, count(*) AS n FROM e WHERE source = 'signup'")
+def article_span(s, d):
+    return dashboard.span(dashboard.articles(_ev(s, d)))
+
+
+@query(EV + f"SELECT count(*) AS n_rows, {SHARE.format('negative')} AS negative_share, {SHARE.format('positive')} AS positive_share, CAST(sum(CASE WHEN source = 'signup' THEN 1 ELSE 0 END) AS BIGINT) AS n_articles FROM e")
+def kpi_summary(s, d):
+    return dashboard.kpis(_ev(s, d))
+
+
+_DIST = ", l AS (SELECT unnest(['negative', 'neutral', 'positive']) AS label) SELECT l.label, CAST(count(e.label) AS BIGINT) AS n FROM l LEFT JOIN e ON l.label = e.label AND e.source {} 'signup' GROUP BY l.label"
+
+
+@query(EV + _DIST.format("<>"))
+def label_distribution(s, d):
+    return dashboard.label_distribution(dashboard.comments(_ev(s, d)))
+
+
+@query(EV + _DIST.format("="))
+def article_label_distribution(s, d):
+    return dashboard.label_distribution(dashboard.articles(_ev(s, d)))
+
+
+@query(EV + "SELECT source, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY source")
+def source_counts(s, d):
+    return dashboard.source_counts(_ev(s, d))
+
+
+@query(EV + ", g AS (SELECT source, label, count(*) AS n FROM e WHERE source <> 'signup' GROUP BY source, label) SELECT source, label, n, round(n / sum(n) OVER (PARTITION BY source), 6) AS share FROM g")
+def source_label_share(s, d):
+    return dashboard.source_label_share(_ev(s, d))
+
+
+@query(EV + """, g AS (SELECT source, sum(CASE WHEN label = 'negative' THEN 1.0 ELSE 0 END)::DOUBLE AS a, sum(CASE WHEN label = 'neutral' THEN 1.0 ELSE 0 END)::DOUBLE AS b, sum(CASE WHEN label = 'positive' THEN 1.0 ELSE 0 END)::DOUBLE AS c FROM e WHERE source <> 'signup' GROUP BY source),
+t AS (SELECT *, a + b + c AS t, (a + b + c) / max(a + b + c) OVER () AS sc FROM g), q AS (SELECT source, a / t * sc AS a, b / t * sc AS b, c / t * sc AS c FROM t)
+SELECT source, 'negative' AS label, round(-a - b / 2, 6) AS x0, round(-b / 2, 6) AS x1 FROM q UNION ALL SELECT source, 'neutral', round(-b / 2, 6), round(b / 2, 6) FROM q UNION ALL SELECT source, 'positive', round(b / 2, 6), round(b / 2 + c, 6) FROM q""")
+def likert_segments(s, d):
+    return dashboard.likert_segments(_ev(s, d))
+
+
+_BUCKET = "SELECT {0}, round(avg(score), 6) AS score, count(*) AS n, " + ", ".join(f"{SHARE.replace('{0}', x)} AS {x}_share" for x in scored.LABELS) + ", min(day) AS first_day, max(day) AS last_day FROM e GROUP BY {0}"
+
+
+@query(EV + _BUCKET.format("day"))
+def bucket_stats_day(s, d):
+    return dashboard.bucket_stats(_ev(s, d), "day")
+
+
+@query(EV + _BUCKET.format("hr"))
+def bucket_stats_hour(s, d):
+    return dashboard.bucket_stats(_ev(s, d), "hr")
+
+
+@query(EV + ", g AS (SELECT hr, day, count(*) AS n FROM e GROUP BY hr, day), r AS (SELECT *, row_number() OVER (PARTITION BY hr ORDER BY n DESC, day) AS rank FROM g) SELECT * FROM r WHERE rank <= 3")
+def top_dates(s, d):
+    return dashboard.top_dates(_ev(s, d))
+
+
+@query(EV + "SELECT source, count(*) AS n FROM e GROUP BY source ORDER BY n DESC, source LIMIT 5")
+def top_sources(s, d):
+    return dashboard.top_sources(_ev(s, d))
+
+
+@query(EV + ", r AS (SELECT label, row_number() OVER (PARTITION BY label ORDER BY day DESC, pos_id) AS rank, pos_id, day, source FROM e) SELECT * FROM r WHERE rank <= 6")
+def policy_samples(s, d):
+    return dashboard.samples(_ev(s, d))
+
+
+@query(EV + ", b AS (SELECT max(day) AS hi, greatest(min(day), strftime(CAST(max(day) AS DATE) - INTERVAL 90 DAY, '%Y-%m-%d')) AS lo FROM e) SELECT source, count(*) AS n, min(day) AS first_day, max(day) AS last_day FROM e, b WHERE day BETWEEN lo AND hi GROUP BY source")
+def date_range_default(s, d):
+    return dashboard.select_range(_ev(s, d)).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+
+
+@query(EV + "SELECT DISTINCT hr, (CASE WHEN hr < 12 THEN '오전 ' ELSE '오후 ' END) || CAST(CASE WHEN hr % 12 = 0 THEN 12 ELSE hr % 12 END AS VARCHAR) || '시' AS hour_label FROM e")
+def hour_labels(s, d):
+    return _ev(s, d).select("hr").distinct().withColumn("hour_label", T.hour_label(F.col("hr")))
+
+
+@query("SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events")
+def selection_dates(s, d):
+    e = table(s, d, "events")
+    ms = (F.unix_micros(F.col("ts").cast("timestamp")) / 1000).cast("long")
+    pick = F.when(F.col("event_id") % 3 == 0, ms.cast("string")).when(F.col("event_id") % 3 == 1, F.floor(ms / 1000).cast("string")).otherwise(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"))
+    return e.select("event_id", C.selection_date(pick).alias("day"))
+
+
+@query(EV + "SELECT DISTINCT day, strftime(CAST(day AS DATE) - INTERVAL 1 DAY, '%Y-%m-%d') AS from_day, strftime(CAST(day AS DATE) + INTERVAL 1 DAY, '%Y-%m-%d') AS to_day FROM e")
+def search_window_days(s, d):
+    return _ev(s, d).select("day").distinct().select("day", F.date_sub("day", 1).alias("from_day"), F.date_add("day", 1).alias("to_day"))
+
+
+# --- scores
+_PCT = """, s AS (SELECT *, round_even(neg / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS n0, round_even(neu / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS u0, round_even(pos / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS p0 FROM e),
+p AS (SELECT pos_id, n0 + CASE WHEN n0 >= u0 AND n0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_neg, u0 + CASE WHEN NOT (n0 >= u0 AND n0 >= p0) AND u0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_neu, p0 + CASE WHEN NOT (n0 >= u0 AND n0 >= p0) AND NOT u0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_pos FROM s)
+"""
+
+
+@query(EV + _PCT + "SELECT * FROM p")
+def prob_renormalize_pct(s, d):
+    return scored.percents(_ev(s, d), "neg", "neu", "pos").select("pos_id", "p_neg", "p_neu", "p_pos")
+
+
+@query(EV + _PCT + "SELECT pos_id, CASE WHEN p_neg = greatest(p_neg, p_neu, p_pos) THEN '부정' WHEN p_pos = greatest(p_neg, p_neu, p_pos) THEN '긍정' ELSE '중립' END AS label_ko FROM p")
+def decide_label(s, d):
+    return scored.percents(_ev(s, d), "neg", "neu", "pos").select("pos_id", scored.decide_label("p_neg", "p_neu", "p_pos").alias("label_ko"))
+
+
+@query()
+def prob_normalize_client(s, d):
+    x = _ev(s, d).select("pos_id", F.lit("").alias("text"), "source", (F.col("neg") >= 0).alias("is_related"), F.col("neg").cast("double").alias("negative"), F.col("neu").cast("double").alias("neutral"), F.col("pos").cast("double").alias("positive"), F.lit("").alias("label"))
+    return scored.client_normal(x).select("pos_id", "negative", "neutral", "positive", "label")
+
+
+_TXT = r"""WITH x AS (SELECT row_id, regexp_replace(coalesce(title, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g') AS t, regexp_replace(coalesce(text, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g') AS b, regexp_replace(coalesce(comment_text, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g') AS c, coalesce(nullif(doc_type, ''), 'post') AS kind FROM unified_rows),
+y AS (SELECT row_id, t, CASE WHEN kind = 'post' THEN CASE WHEN t <> '' AND b <> '' THEN t || chr(10) || chr(10) || b WHEN t <> '' THEN t ELSE b END
+ WHEN kind = 'comment' THEN CASE WHEN t <> '' AND b <> '' AND c <> '' THEN t || chr(10) || chr(10) || b || chr(10) || chr(10) || c ELSE t || chr(10) || chr(10) || CASE WHEN b <> '' THEN b ELSE c END END
+ ELSE CASE WHEN t <> '' THEN t || chr(10) || chr(10) || b ELSE b END END AS x FROM x), z AS (SELECT row_id, CASE WHEN x = '' THEN t ELSE x END AS x FROM y)
+SELECT row_id, CASE WHEN length(x) < 5 THEN '' ELSE x END AS scoring_text FROM z"""
+
+
+@query(_TXT)
+def scoring_text(s, d):
+    return scored.scoring_text(_rows(s, d)).select("row_id", "scoring_text")
+
+
+@query()
+def lexicon_scores(s, d):
+    x = scored.lexicon_score(scored.scoring_text(_rows(s, d)))
+    return x.select("row_id", "is_related", scored.dominant("negative", "neutral", "positive").alias("label"), F.round(scored.score("negative", "neutral", "positive"), 6).alias("score"))
+
+
+# --- planning
+@query(EV + "SELECT strftime(kst, '%Y-%m') AS month, source, count(*) AS n FROM e GROUP BY ALL")
+def month_source_counts(s, d):
+    return planner.month_counts(_ev(s, d))
+
+
+_MISS = EV + """, c AS (SELECT strftime(kst, '%Y-%m') AS month, source, count(*) AS n FROM e GROUP BY ALL), hi AS (SELECT CAST(max(month) || '-01' AS DATE) AS m FROM c),
+g AS (SELECT strftime(unnest(generate_series(m - INTERVAL 11 MONTH, m, INTERVAL 1 MONTH)), '%Y-%m') AS month FROM hi), q AS (SELECT DISTINCT source FROM c),
+f AS (SELECT g.month, q.source, CAST(greatest(0, 200 - coalesce(c.n, 0)) AS BIGINT) AS deficit FROM g CROSS JOIN q LEFT JOIN c ON c.month = g.month AND c.source = q.source)
+"""
+
+
+@query(_MISS + "SELECT * FROM f")
+def month_deficits(s, d):
+    return planner.deficits(planner.month_counts(_ev(s, d)), 200)
+
+
+@query(_MISS + ", t AS (SELECT month, CAST(sum(deficit) AS BIGINT) AS total FROM f GROUP BY month), a AS (SELECT *, round(total * (1 - 0.03::DOUBLE * (row_number() OVER (ORDER BY month DESC) - 1)), 6) AS rank_score FROM t) SELECT month, total, rank_score, CAST((row_number() OVER (ORDER BY rank_score DESC, month) - 1 - 2 + count(*) OVER ()) % count(*) OVER () AS BIGINT) AS turn FROM a")
+def month_rank_rotate(s, d):
+    return planner.rank_rotate(planner.deficits(planner.month_counts(_ev(s, d)), 200), 2)
+
+
+@query(EV + ", r AS (SELECT source AS bucket, sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_stored, sum(CASE WHEN label <> 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_duplicates FROM e GROUP BY source, day) SELECT bucket, n_stored, n_duplicates, round(n_duplicates / CAST(n_stored + n_duplicates AS DOUBLE), 6) AS dup_ratio, CAST(CASE WHEN n_stored < 1 OR n_duplicates / CAST(n_stored + n_duplicates AS DOUBLE) >= 0.8 THEN 3 ELSE 0 END AS BIGINT) AS rest FROM r")
+def cooldown_rule(s, d):
+    r = _ev(s, d).groupBy("source", "day").agg(F.count_if(F.col("label") == "negative").alias("n_stored"), F.count_if(F.col("label") != "negative").alias("n_duplicates"))
+    return planner.cooldowns(r.select(F.col("source").alias("bucket"), "n_stored", "n_duplicates"))
+
+
+@query("WITH s AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-29', INTERVAL 6 DAY)) AS DATE) AS w_start), w AS (SELECT w_start, least(CAST(w_start + INTERVAL 7 DAY AS DATE), DATE '2024-03-01') AS w_end FROM s) SELECT DISTINCT event_type AS keyword, strftime(w_start, '%Y-%m-%d') AS w_start, strftime(w_end, '%Y-%m-%d') AS w_end FROM events CROSS JOIN w")
+def keyword_window_cross(s, d):
+    k = table(s, d, "events").select(F.col("event_type").alias("keyword")).distinct()
+    return planner.keyword_windows(k, planner.windows(s, "2024-01-01", "2024-03-01", 7, 1))
+
+
+@query("SELECT event_id, CAST(CASE event_type WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS BIGINT) AS priority FROM events")
+def priority_order(s, d):
+    return table(s, d, "events").select("event_id", planner.priority("event_type", ("purchase", "click")).alias("priority"))
+
+
+@query("WITH r AS (SELECT row_id, source, row_number() OVER (PARTITION BY source ORDER BY row_id) AS rank FROM raw_posts) SELECT * FROM r WHERE rank <= 20")
+def per_source_cap(s, d):
+    return planner.cap_per_source(_posts(s, d).select("row_id", "source"), 20, "row_id")
+
+
+@query("SELECT row_id, CAST(floor(row_id / 50) AS BIGINT) AS chunk FROM raw_posts")
+def id_chunks(s, d):
+    return planner.chunks(_posts(s, d).select("row_id"), "row_id", 50)
+
+
+# --- rows
+_STRIP = r"nullif(regexp_replace({0}, '^[\s\x{{00A0}}\x{{3000}}]+|[\s\x{{00A0}}\x{{3000}}]+$', '', 'g'), '')"
+_CANON = "SELECT row_id, " + ", ".join(f"{_STRIP.format(c)} AS {c}" for c in ("id", "title", "text", "published_at", "comment_text", '"comment_publishedAt"')).replace('AS "comment_publishedAt"', 'AS "comment_publishedAt"') + f", coalesce({_STRIP.format('source')}, 'unknown') AS source, coalesce({_STRIP.format('lang')}, 'ko') AS lang, coalesce(comment_index, -1) AS comment_index FROM unified_rows"
+
+
+@query(_CANON)
+def merge_canonical(s, d):
+    return rows.canonical(_rows(s, d)).select("row_id", *rows.CANONICAL).withColumn("comment_index", F.coalesce("comment_index", F.lit(-1)))
+
+
+@query("""WITH r AS (SELECT *, row_number() OVER (PARTITION BY source, id, comment_index, comment_text ORDER BY length(coalesce(text, '')) DESC, length(coalesce(published_at, '')) DESC, row_id) AS rn, min(row_id) OVER (PARTITION BY source, id, comment_index, comment_text) AS first_pos FROM unified_rows)
+SELECT row_id, source, id, first_pos FROM r WHERE rn = 1""")
+def merge_dedup(s, d):
+    return rows.merge(_rows(s, d)).select("row_id", "source", "id", "first_pos")
+
+
+_NTZ = r"""CASE WHEN regexp_matches({0}, '^\d{{4}}-\d{{2}}-\d{{2}}') THEN TRY_CAST(replace(regexp_replace({0}, '(Z|[+-]\d{{2}}:?\d{{2}})$', ''), 'T', ' ') AS TIMESTAMP) WHEN regexp_matches({0}, '^\d{{8}}T\d{{6}}Z?$') THEN try_strptime(replace({0}, 'Z', ''), '%Y%m%dT%H%M%S') END"""
+
+
+@query()
+def merge_time_sort_pos(s, d):
+    x = rows.time_sorted(_rows(s, d).select("row_id", "published_at", "comment_publishedAt"))
+    return x.select("row_id", "sort_time")
+
+
+@query("SELECT coalesce(nullif(source, ''), 'unknown') AS source, coalesce(nullif(doc_type, ''), 'unknown') AS doc_type, count(*) AS n FROM unified_rows GROUP BY ALL")
+def source_doctype_summary(s, d):
+    return rows.summary(_rows(s, d))
+
+
+@query()
+def event_time_by_source(s, d):
+    return rows.event_time(_rows(s, d)).select("row_id", "event_time")
+
+
+@query(r"SELECT row_id, CASE WHEN doc_type = 'comment' THEN regexp_replace(coalesce(comment_text, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g') ELSE concat_ws(' ', nullif(regexp_replace(coalesce(comment_text, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g'), ''), nullif(regexp_replace(coalesce(text, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g'), ''), nullif(regexp_replace(coalesce(title, ''), '^[\s\x{00A0}\x{3000}]+|[\s\x{00A0}\x{3000}]+$', '', 'g'), '')) END AS cloud_text FROM unified_rows")
+def wordcloud_text(s, d):
+    return rows.cloud_text(_rows(s, d)).select("row_id", "cloud_text")
+
+
+@query(r"WITH x AS (SELECT row_id, trim(regexp_replace(coalesce(title, ''), '\s+', ' ', 'g')) AS t, substr(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), 1, 220) AS b FROM unified_rows) SELECT row_id, concat_ws(' / ', CASE WHEN t <> '' THEN '제목: ' || t END, CASE WHEN b <> '' THEN '본문: ' || b END) AS sample FROM x")
+def sample_snippets(s, d):
+    return rows.sample_rows(_rows(s, d))
+
+
+@query("SELECT row_id, CAST((CASE WHEN title IS NULL THEN 1 ELSE 0 END) + (CASE WHEN text IS NULL THEN 1 ELSE 0 END) + (CASE WHEN published_at IS NULL THEN 1 ELSE 0 END) + (CASE WHEN lang IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_missing FROM unified_rows")
+def required_keys(s, d):
+    line = F.to_json(F.struct("id", "source", "lang", "title", "text", "published_at"), {"ignoreNullFields": "true"})
+    return _rows(s, d).select("row_id", F.size(rows.missing_keys(line)).cast("long").alias("n_missing"))
+
+
+_POST1 = "WITH p AS (SELECT id, min(row_id) AS row_id FROM raw_posts GROUP BY id), q AS (SELECT r.* FROM raw_posts r JOIN p ON r.row_id = p.row_id)"
+
+
+@query(_POST1 + " SELECT id, 'post' AS doc_type, CAST(NULL AS VARCHAR) AS parent_id, -1 AS comment_index, CAST(NULL AS VARCHAR) AS comment_text FROM q UNION ALL SELECT q.id || '_' || CAST(c.comment_index AS VARCHAR), 'comment', q.id, c.comment_index, nullif(trim(c.text), '') FROM q JOIN raw_comments c ON c.post_id = q.id")
+def flatten_post_comments(s, d):
+    return rows.flatten(_post_rows(s, d), _comments(s, d)).select("id", "doc_type", "parent_id", F.coalesce("comment_index", F.lit(-1)).alias("comment_index"), "comment_text")
+
+
+@query(_POST1 + " SELECT q.id || '_' || CAST(c.comment_index AS VARCHAR) AS id, c.comment_index, trim(c.text) AS comment_text FROM q JOIN raw_comments c ON c.post_id = q.id WHERE trim(coalesce(c.text, '')) <> ''")
+def flatten_skip_blank(s, d):
+    return rows.flatten(_post_rows(s, d), _comments(s, d), keep_blank=False).filter("doc_type = 'comment'").select("id", "comment_index", "comment_text")
+
+
+@query(_POST1 + " SELECT CASE WHEN c.post_id IS NULL THEN q.id ELSE q.id || '_' || CAST(c.comment_index AS VARCHAR) END AS id, coalesce(c.comment_index, -1) AS comment_index, CASE WHEN c.post_id IS NULL THEN NULL ELSE trim(coalesce(c.text, '')) END AS comment_text FROM q LEFT JOIN raw_comments c ON c.post_id = q.id WHERE c.post_id IS NULL OR trim(coalesce(c.text, '')) <> ''")
+def flatten_video(s, d):
+    return rows.flatten_videos(_post_rows(s, d), _comments(s, d)).select("id", F.coalesce("comment_index", F.lit(-1)).alias("comment_index"), "comment_text")
+
+
+@query()
+def body_minus_comments(s, d):
+    return rows.without_comments(_post_rows(s, d), _comments(s, d))
+
+
+@query()
+def comment_phrase_sets(s, d):
+    return content.comment_phrases(_comments(s, d))
+
+
+@query()
+def line_state_clean(s, d):
+    p = _posts(s, d).select("row_id", "raw_text", "title")
+    return content.board_body(p, "raw_text", "title").select("row_id", "body")
+
+
+@query(_POST1 + ", c AS (SELECT *, row_number() OVER (PARTITION BY post_id ORDER BY comment_index) AS k FROM raw_comments WHERE trim(coalesce(text, '')) <> ''), g AS (SELECT post_id, string_agg(trim(text), chr(10) ORDER BY comment_index, trim(text)) AS cs FROM c WHERE k <= 200 GROUP BY post_id) SELECT q.id, concat_ws(chr(10) || chr(10), nullif(regexp_replace(coalesce(raw_text, ''), '^[\\s\\x{00A0}\\x{3000}]+|[\\s\\x{00A0}\\x{3000}]+$', '', 'g'), ''), cs) AS full_text FROM q LEFT JOIN g ON g.post_id = q.id".replace("\\\\", "\\"))
+def augment_with_comments(s, d):
+    return content.augment(_post_rows(s, d), _comments(s, d))
+
+
+@query("SELECT author, count(*) AS n FROM (SELECT unnest(authors) AS author FROM raw_posts) GROUP BY author")
+def author_counts(s, d):
+    return content.author_counts(_posts(s, d))
+
+
+@query("SELECT row_id, CASE WHEN json_valid(extra) THEN coalesce(json_extract_string(extra, '$.forum.site'), json_extract_string(extra, '$.article.site'), json_extract_string(extra, '$.video.site')) END AS site FROM raw_posts")
+def extra_json_fields(s, d):
+    j = lambda p: F.get_json_object("extra", p)
+    whole = F.json_object_keys("extra").isNotNull()
+    return _posts(s, d).select("row_id", F.when(whole, F.coalesce(j("$.forum.site"), j("$.article.site"), j("$.video.site"))).alias("site"))
+
+
+@query("SELECT p.row_id, coalesce(s.kind, p.source) AS kind, coalesce(p.lang, s.main_lang) AS lang FROM raw_posts p LEFT JOIN source_info s ON p.source = s.source")
+def search_left_details(s, d):
+    i = table(s, d, "source_info").select(F.col("source").alias("s_source"), "kind", "main_lang")
+    j = _posts(s, d).select("row_id", "source", "lang").join(i, F.col("source") == F.col("s_source"), "left")
+    return j.select("row_id", F.coalesce("kind", "source").alias("kind"), F.coalesce("lang", "main_lang").alias("lang"))
+
+
+@query()
+def assembly_cascade(s, d):
+    p = _posts(s, d).withColumn("head", F.substring_index(F.col("raw_text"), "\n", 1))
+    return content.assemble(p, titles=("title", "head"), times=("published_at", "crawl_fetched_at"), text="raw_text", source="source", tolerant=("lumen_video",)).select("row_id", "final_title", "final_time", "rejected")
+
+
+# --- URLs
+_NORM = r"""regexp_replace(regexp_extract(url, '^([^?#]*)', 1), '^https?://', '')"""
+_URL = r"""WITH u AS (SELECT row_id, url, lower(regexp_extract(url, '^([a-z]+)://', 1)) AS scheme, lower(regexp_extract(url, '^[a-z]+://([^/?]*)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?]*([^?]*)', 1) AS path,
+ CASE WHEN contains(url, '?') THEN regexp_replace(url, '^[^?]*\?', '') ELSE '' END AS query FROM raw_posts),
+v AS (SELECT *, list_filter(string_split(query, '&'), lambda x: contains(x, '=') AND split_part(x, '=', 2) <> '' AND NOT list_contains(['utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'igshid', 'mibextid', 'ref', 'ref_src', 'spm'], lower(split_part(x, '=', 1)))) AS kv FROM u),
+x AS (SELECT *, list_filter(kv, lambda y: list_contains(['id', 'no', 'idx', 'idxno', 'arcid', 'aid', 'oid', 'ud', 'newsid', 'articleid', 'article_id', 'seq', 'sn', 'docid', 'code', 'b', 'board', 'cid', 'category', 'mid'], lower(split_part(y, '=', 1)))) AS ids, len(list_filter(kv, lambda y: list_contains(['id', 'no', 'idx', 'idxno', 'arcid', 'aid', 'oid', 'ud', 'newsid', 'articleid', 'article_id', 'seq', 'sn', 'docid'], lower(split_part(y, '=', 1))))) AS n_ids FROM v),
+n AS (SELECT row_id, url, scheme || '://' || host || path || CASE WHEN len(CASE WHEN n_ids > 0 THEN ids ELSE kv END) > 0 THEN '?' || array_to_string(list_sort(CASE WHEN n_ids > 0 THEN ids ELSE kv END), '&') ELSE '' END AS norm_url FROM x)
+"""
+
+
+@query(_URL + "SELECT row_id, norm_url FROM n")
+def url_normalize(s, d):
+    return _posts(s, d).select("row_id", U.normalize(F.col("url")).alias("norm_url"))
+
+
+@query(_URL + "SELECT row_id, sha1(norm_url) AS page_id FROM n")
+def url_doc_id(s, d):
+    return _posts(s, d).select("row_id", dedup.url_id(F.col("url")).alias("page_id"))
+
+
+@query(_URL + "SELECT norm_url, min(row_id) AS row_id FROM n GROUP BY norm_url")
+def url_first_wins(s, d):
+    return dedup.url_first_wins(_posts(s, d).select("row_id", "url")).select("norm_url", "row_id")
+
+
+@query(_URL + ", k AS (SELECT row_id, host, path, list_filter(string_split(query, '&'), lambda x: contains(x, '=') AND split_part(x, '=', 2) <> '' AND NOT starts_with(lower(x), 'utm_') AND NOT list_contains(['fbclid', 'gclid', 'mc_cid', 'mc_eid'], lower(split_part(x, '=', 1)))) AS kv FROM u) SELECT row_id, '//' || host || path || CASE WHEN len(kv) > 0 THEN '?' || array_to_string(kv, '&') ELSE '' END AS article_key FROM k")
+def url_article_key(s, d):
+    return _posts(s, d).select("row_id", U.article_key(F.col("url")).alias("article_key"))
+
+
+@query(_URL + "SELECT row_id, norm_url LIKE '%/' OR length(norm_url) - length(replace(norm_url, '/', '')) <= 2 AS homepage FROM n")
+def homepage_filter(s, d):
+    return _posts(s, d).select("row_id", U.is_homepage(U.normalize(F.col("url"))).alias("homepage"))
+
+
+@query("WITH h AS (SELECT DISTINCT lower(regexp_extract(url, '^[a-z]+://([^/?]*)', 1)) AS host FROM raw_posts) SELECT host, CAST(CASE WHEN host = 'plaza-sur.example' THEN 0.5 WHEN host LIKE '%.example' THEN 2.5 ELSE 0.05 END AS DOUBLE) AS pause FROM h")
+def host_pause_lookup(s, d):
+    h = _posts(s, d).select(U.parts(F.col("url"))["host"].alias("host")).distinct()
+    p = s.createDataFrame([("plaza-sur.example", 0.5, 1), ("example", 2.5, 2)], "host string, pause double, ord int")
+    return planner.host_pause(h, p, 0.05)
+
+
+@query("SELECT p.row_id FROM raw_posts p WHERE NOT EXISTS (SELECT 1 FROM unified_rows u WHERE u.id = p.id AND u.doc_type = 'post')")
+def seen_anti_join(s, d):
+    seen = _rows(s, d).filter("doc_type = 'post'").select(F.col("id").alias("seen_id"))
+    p = _posts(s, d).select("row_id", "id")
+    return p.join(seen, F.col("id") == F.col("seen_id"), "left_anti").select("row_id")
+
+
+@query()
+def mentions_datetime(s, d):
+    timed, dates = C.mentions(F.coalesce(F.col("raw_text"), F.lit("")))
+    return _posts(s, d).select("row_id", F.coalesce(F.array_max(timed), F.array_max(dates)).alias("inferred"), F.size(timed).cast("long").alias("n_timed"))
+
+
+@query(r"SELECT comment_key, CASE WHEN regexp_matches(published_at_raw, '^\d{4}\.\d{2}\.\d{2} \d{2}:\d{2}:\d{2}$') THEN strftime(try_strptime(published_at_raw, '%Y.%m.%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') WHEN regexp_matches(published_at_raw, '^\d{2}\.\d{2} \d{2}:\d{2}:\d{2}$') AND NOT starts_with(published_at_raw, '02.29') THEN strftime(try_strptime(CAST(year(fetched_at) AS VARCHAR) || '.' || published_at_raw, '%Y.%m.%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') END AS at FROM raw_comments")
+def forum_comment_time(s, d):
+    c = s.read.parquet(f"{d}/raw_comments.parquet")
+    return c.select("comment_key", C.forum_time(F.col("published_at_raw"), F.year("fetched_at")).alias("at"))
+
+
+# --- documents
+_BLANK = r"regexp_replace({0}, '^[\s\x{{00A0}}\x{{3000}}]+|[\s\x{{00A0}}\x{{3000}}]+$', '', 'g')"
+_UNIX = "replace(replace({0}, chr(13) || chr(10), chr(10)), chr(13), chr(10))"
+_WORDS = r"regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')"
+
+
+@query(f"SELECT doc_id FROM documents WHERE length({_BLANK.format('text')}) BETWEEN 200 AND 1000")
+def length_filter(s, d):
+    return _docs(s, d).filter(content.length_between(F.col("text"), 200, 1000)).select("doc_id")
+
+
+@query("SELECT doc_id, lower(lang) AS lang FROM documents WHERE lower(lang) IN ('ko', 'en')")
+def lang_filter(s, d):
+    return _docs(s, d).select("doc_id", F.lower("lang").alias("lang")).filter(F.col("lang").isin("ko", "en"))
+
+
+_KW = ("국민연금", "연금", "보험료율", "기금", "노후", "pension", "fund", "contribution")
+
+
+@query("""WITH x AS (SELECT doc_id, lower(coalesce(title, '') || chr(10) || coalesce(text, '')) AS b, coalesce(lower(lang) IN ('ko', 'en'), false) AS ok FROM documents),
+h AS (SELECT doc_id, ok, len(list_filter(['""" + "', '".join(_KW) + """'], lambda k: contains(b, k))) AS n FROM x)
+SELECT doc_id, CAST(n AS BIGINT) AS hits, round(n / 8.0::DOUBLE, 6) AS coverage, round(CASE WHEN ok THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN n > 0 THEN 0.2::DOUBLE ELSE 0 END, 6) AS score, concat_ws(',', CASE WHEN NOT ok THEN 'lang' END, CASE WHEN n < 1 THEN 'keywords' END) AS reasons, n >= 1 AS passed FROM h""")
+def keyword_quality(s, d):
+    return content.keyword_quality(_docs(s, d), "title", "text", _KW, "lang", ("ko", "en")).select("doc_id", "hits", "coverage", "score", "reasons", "passed")
+
+
+@query("SELECT doc_id FROM documents WHERE NOT (" + " OR ".join(f"contains(lower(coalesce(title, '')), '{k}')" for k in T.EVENT_KEYWORDS) + ")")
+def keyword_block(s, d):
+    low = F.lower(F.coalesce("title", F.lit("")))
+    return _docs(s, d).filter(~F.exists(F.array(*[F.lit(k) for k in T.EVENT_KEYWORDS]), lambda k: F.contains(low, k))).select("doc_id")
+
+
+_POS = "nullif(instr(lower(text), {0}), 0)"
+
+
+@query("WITH x AS (SELECT doc_id, text, least(" + ", ".join(_POS.format(f"'{m}'") for m in T.ARTICLE_TAILS) + ") AS p FROM documents) SELECT doc_id, CASE WHEN p > 1 THEN substr(text, 1, p - 1) ELSE text END AS clean FROM x")
+def clean_tail_cut(s, d):
+    return _docs(s, d).select("doc_id", T.cut_tail(F.col("text")).alias("clean"))
+
+
+@query("SELECT doc_id, " + _BLANK.format(f"regexp_replace(regexp_replace({_UNIX.format('text')}, '\\n{{3,}}', chr(10) || chr(10), 'g'), '[ \\t]{{2,}}', ' ', 'g')").replace("{{3,}}", "{3,}").replace("{{2,}}", "{2,}") + " AS clean FROM documents")
+def squeeze_ws(s, d):
+    return _docs(s, d).select("doc_id", T.squeeze(F.col("text")).alias("clean"))
+
+
+@query("SELECT doc_id, " + _BLANK.format(f"split_part({_UNIX.format('text')}, chr(10) || chr(10), 1)") + " AS first_part FROM documents")
+def first_paragraph(s, d):
+    return _docs(s, d).select("doc_id", T.first_paragraph(F.col("text")).alias("first_part"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS folded FROM documents")
+def fold_text(s, d):
+    return _docs(s, d).select("doc_id", T.fold(F.col("text")).alias("folded"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(lower(split_part(split_part(split_part(split_part(title, ' - ', 1), '｜', 1), ' | ', 1), '|', 1)), '\s+', ' ', 'g')) AS title_key FROM documents")
+def title_key(s, d):
+    return _docs(s, d).select("doc_id", T.title_key(F.col("title")).alias("title_key"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(title, '(\|[^|]{0,30})+$', '')) AS head FROM documents")
+def title_tail_strip(s, d):
+    return _docs(s, d).select("doc_id", T.title_tail(F.col("title")).alias("head"))
+
+
+@query(r"SELECT doc_id, trim(regexp_replace(regexp_replace(text, '#([\p{L}\p{N}_]+)', '\1', 'g'), '[ \t]{2,}', ' ', 'g')) AS plain FROM documents")
+def hashtags_strip(s, d):
+    return _docs(s, d).select("doc_id", T.hashtags_to_words(F.col("text")).alias("plain"))
+
+
+_NOISE = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(array_to_string(list_filter(list_filter(list_transform(string_split(" + _UNIX.format("text") + r", chr(10)), lambda x: trim(x)), lambda x: x <> ''), lambda x: NOT regexp_matches(x, '" + T.BOILERPLATE_PATTERN + r"') AND NOT (regexp_matches(x, '" + T.SOCIAL_PATTERN + r"') AND (regexp_matches(x, '" + T.URL_PATTERN + r"') OR contains(x, '@') OR contains(lower(x), 'threads.com')))), ' '), '" + T.URL_PATTERN + "', ' ', 'g'), '" + T.EMAIL_PATTERN + r"', ' ', 'g'), '(?i)dc\s+official\s+app', ' ', 'g'), '\s+', ' ', 'g'))"
+
+
+@query(f"SELECT doc_id, {_NOISE} AS clean FROM documents")
+def web_noise_strip(s, d):
+    return _docs(s, d).select("doc_id", T.web_noise(F.col("text")).alias("clean"))
+
+
+@query(r"SELECT min(doc_id) AS doc_id, trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS folded FROM documents GROUP BY 2")
+def exact_dedup_first(s, d):
+    return dedup.exact_first(_docs(s, d).select("doc_id", "text"), F.col("text"), "doc_id").select("doc_id", "folded")
+
+
+_FINE = r"""WITH k AS (SELECT doc_id, text, coalesce(lang, '') AS g_lang, trim(regexp_replace(title, '(\|[^|]{0,30})+$', '')) AS g_title, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+')) AS t FROM documents),
+c AS (SELECT *, first_value(doc_id) OVER w AS canonical, first_value(t) OVER w AS ct FROM k WINDOW w AS (PARTITION BY g_lang, g_title ORDER BY length(coalesce(text, '')) DESC, doc_id))
+SELECT doc_id, canonical, doc_id = canonical OR (CASE WHEN len(t) = 0 OR len(ct) = 0 THEN 0 ELSE len(list_intersect(t, ct)) / CAST(len(t) + len(ct) - len(list_intersect(t, ct)) AS DOUBLE) END) < 0.9 AS kept FROM c"""
+
+
+@query(_FINE)
+def fine_dedup_jaccard(s, d):
+    return dedup.fine(_docs(s, d), F.col("title"), "text", "lang", "doc_id").select("doc_id", "canonical", "kept")
+
+
+@query()
+def near_dup_kept(s, d):
+    return dedup.near_kept(_docs(s, d), F.concat_ws(" ", "title", "text"), "doc_id")
+
+
+@query()
+def fuzzy_title_dedup(s, d):
+    return dedup.fuzzy_titles(_docs(s, d), "title", "lang", "url", "text", "fetched_at", "doc_id")
+
+
+_LABELLED = "CASE WHEN lower(lang) LIKE 'en%' THEN 'negative' WHEN lang IS NULL THEN 'positive' ELSE 'neutral' END"
+_TOK = f"""WITH n AS (SELECT doc_id, {_LABELLED} AS label, string_split(lower(trim(regexp_replace(regexp_replace({_NOISE}, '[^가-힣A-Za-z0-9\\s]', ' ', 'g'), '\\s+', ' ', 'g'))), ' ') AS ws FROM documents),
+w AS (SELECT label, unnest(ws) AS word FROM n), v AS (SELECT *, length(word) AS l, length(word) - length(translate(word, 'aeiou', '')) AS v FROM w WHERE regexp_matches(word, '^[a-z]{{2,}}$')),
+t AS (SELECT label, word FROM v WHERE NOT (l >= 22 OR (l >= 7 AND v <= 1) OR (l >= 10 AND v / CAST(l AS DOUBLE) < 0.22) OR (l >= 9 AND regexp_matches(word, '[^aeiou]{{5,}}')) OR (l >= 8 AND len(list_filter(string_split('abcdefghijklmnopqrstuvwxyz', ''), lambda c: l - length(replace(word, c, '')) >= 5)) > 0))),
+g AS (SELECT word, count(*) AS n, CAST(sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END) AS BIGINT) AS negative, CAST(sum(CASE WHEN label = 'neutral' THEN 1 ELSE 0 END) AS BIGINT) AS neutral, CAST(sum(CASE WHEN label = 'positive' THEN 1 ELSE 0 END) AS BIGINT) AS positive FROM t GROUP BY word HAVING count(*) >= 2)
+"""
+
+
+def _tokens(s: SparkSession, d: str) -> DataFrame:
+    label = F.when(F.lower("lang").like("en%"), F.lit("negative")).when(F.col("lang").isNull(), F.lit("positive")).otherwise(F.lit("neutral"))
+    return content.words(_docs(s, d).withColumn("label", label), F.col("text"), "label", "doc_id")
+
+
+@query(_TOK + "SELECT word, n, negative, neutral, positive FROM g")
+def word_freq_en(s, d):
+    return content.word_stats(_tokens(s, d)).select("word", "n", "negative", "neutral", "positive")
+
+
+@query(_TOK + "SELECT word, round((positive - negative) / CAST(n AS DOUBLE), 6) AS word_score FROM g")
+def word_sentiment_score(s, d):
+    return content.word_stats(_tokens(s, d)).select("word", "word_score")
+
+
+@query(_TOK + ", k AS (SELECT * FROM g ORDER BY n DESC, word LIMIT 80) SELECT word, label, n FROM (SELECT word, 'negative' AS label, negative AS n FROM k UNION ALL SELECT word, 'neutral', neutral FROM k UNION ALL SELECT word, 'positive', positive FROM k) WHERE n > 0")
+def word_label_links(s, d):
+    return content.word_links(content.word_stats(_tokens(s, d)), 80)
+
+
+# --- timestamps (problem 4)
+@query()
+def p4_found(s, d):
+    values = timestamps.stack_values(s.read.parquet(f"{d}/unified_rows.parquet"), s.read.parquet(f"{d}/raw_comments.parquet"))
+    return timestamps.normalise(values, table(s, d, "source_info"))
+
+
+@query()
+def p4_fields(s, d):
+    values = timestamps.stack_values(s.read.parquet(f"{d}/unified_rows.parquet"), s.read.parquet(f"{d}/raw_comments.parquet"))
+    return timestamps.normalise(values, table(s, d, "source_info")).groupBy("tbl", "field").agg(F.count(F.lit(1)).alias("n_settled"), F.count_if(F.col("instant_utc") == "").alias("n_unclear"))
