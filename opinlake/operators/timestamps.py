@@ -21,6 +21,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import filled
+
 # Month names as sites print them, meridiem words, zone abbreviations in hours.
 MONTHS = (
     ("jan", "january", "enero", "ene", "januar", "janeiro"),
@@ -358,7 +360,7 @@ def normalise(values: DataFrame, source_info: DataFrame) -> DataFrame:
     ``partial``: missing years or days and ages are read against fetched_at. Sources that source_info
     doesn't have get no home zone, so that their zoneless values are ''.
     """
-    todo = values.filter(F.col("value").rlike(r"[^\s\p{Z}\x{FEFF}\x{200B}]") & ~F.coalesce(is_settled(F.col("value")), F.lit(False)))
+    todo = values.select("tbl", "row_key", "field", "source", "value", "fetched_at", "partial").filter(F.col("value").rlike(r"[^\s\p{Z}\x{FEFF}\x{200B}]") & ~F.coalesce(is_settled(F.col("value")), F.lit(False)))
     info = source_info.select("source", "home_zone", "date_order").dropDuplicates(["source"])
     joined = todo.join(info, "source", "left").select("tbl", "row_key", "field", "value", "home_zone", "date_order", "partial", F.col("fetched_at").cast("timestamp_ntz").alias("fetched_at"))
 
@@ -371,7 +373,7 @@ def normalise(values: DataFrame, source_info: DataFrame) -> DataFrame:
                 if len(at):
                     x = b.iloc[at]
                     out[at] = normalise_batch(x["value"], x["home_zone"], x["date_order"], x["fetched_at"], flag)
-            yield pd.DataFrame({"tbl": b["tbl"], "row_key": b["row_key"], "field": b["field"], "instant_utc": out})
+            yield from filled(pd.DataFrame({"tbl": b["tbl"], "row_key": b["row_key"], "field": b["field"], "instant_utc": out}))
 
     return joined.mapInPandas(run, "tbl string, row_key long, field string, instant_utc string")
 

@@ -13,6 +13,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def filled(frame):
+    """A frame of results if it has rows: Arrow can't type the text columns of an empty one."""
+    if len(frame):
+        yield frame
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder that the cluster names; a local one only where none is set (tests)."""
     sc = spark.sparkContext

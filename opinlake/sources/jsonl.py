@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import filled
+
 ENCODINGS = ("utf-8", "utf-8-sig", "cp949", "euc-kr", "latin-1")
 
 
@@ -43,7 +45,7 @@ def any_encoding(spark: SparkSession, paths: str | list[str], encodings: tuple[s
                     except UnicodeDecodeError:
                         continue
                 rows = [x for x in text.lstrip("﻿").splitlines() if x.strip()]
-                yield pd.DataFrame({"file": [path] * len(rows), "line": rows})
+                yield from filled(pd.DataFrame({"file": [path] * len(rows), "line": rows}))
 
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, "file string, line string")
 

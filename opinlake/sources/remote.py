@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import filled
+
 FETCHED = "url string, status int, html string, fetched_from string"
 
 
@@ -27,7 +29,7 @@ def fetch(urls: DataFrame, get: Callable[[str], tuple[int, str]], pauses: dict[s
                 rows.append((u, status, html, h))
                 if waits.get(h):
                     time.sleep(waits[h])
-            yield pd.DataFrame(rows, columns=["url", "status", "html", "fetched_from"])
+            yield from filled(pd.DataFrame(rows, columns=["url", "status", "html", "fetched_from"]))
 
     return urls.select("url", "host").repartition(hosts, F.col("host")).mapInPandas(run, FETCHED)
 
@@ -47,6 +49,6 @@ def search(plan: DataFrame, call: Callable[[dict], list[dict]], schema: str, tri
                     except Exception:  # noqa: BLE001 - the service may refuse for a while
                         if k + 1 < tries:
                             time.sleep(pause * 2**k)
-            yield pd.DataFrame(out, columns=names)
+            yield from filled(pd.DataFrame(out, columns=names))
 
     return plan.mapInPandas(run, schema)
