@@ -26,6 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import filled
 from .samples import bounded
 
 LANGS = ("ko", "en", "es", "pt", "de", "ja", "zh")
@@ -309,7 +310,7 @@ def find_in_rows(rows: DataFrame, model: Broadcast) -> DataFrame:
                     for c in judge(f, label):
                         keys.append(k)
                         codes.append(c)
-            yield pd.DataFrame({"tbl": ["unified_rows"] * len(keys), "row_key": np.array(keys, dtype=np.int64), "lang_code": codes})
+            yield from filled(pd.DataFrame({"tbl": ["unified_rows"] * len(keys), "row_key": np.array(keys, dtype=np.int64), "lang_code": codes}))
 
     judged = rows.select("row_id", "lang", F.when(F.col("comment_index").isNull(), F.col("text")).otherwise(F.col("comment_text")).alias("t")).filter("t IS NOT NULL")
     return judged.mapInPandas(run, "tbl string, row_key long, lang_code string")
@@ -326,7 +327,7 @@ def segments_of_rows(rows: DataFrame, model: Broadcast) -> DataFrame:
                 for k, f in zip(part["row_id"], detect(model.value, part["t"].tolist())):
                     for i, (s, e, y, c) in enumerate(f.segments if f else ()):
                         out.append((k, i, LANGS[y], c, e - s))
-            yield pd.DataFrame(out, columns=["row_id", "segment", "lang_code", "confidence", "n_words"]).astype({"row_id": "int64", "segment": "int64", "n_words": "int64", "confidence": "float64"})
+            yield from filled(pd.DataFrame(out, columns=["row_id", "segment", "lang_code", "confidence", "n_words"]).astype({"row_id": "int64", "segment": "int64", "n_words": "int64", "confidence": "float64"}))
 
     judged = rows.select("row_id", F.when(F.col("comment_index").isNull(), F.col("text")).otherwise(F.col("comment_text")).alias("t")).filter("t IS NOT NULL")
     return judged.mapInPandas(run, "row_id long, segment long, lang_code string, confidence double, n_words long")

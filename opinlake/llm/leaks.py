@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import filled
+
 RUN = 12
 PASSAGE = 64
 BLOCK = 8
@@ -168,7 +170,7 @@ def _find_by_shuffle(documents: DataFrame, items: DataFrame) -> DataFrame:
                     seen = {" ".join(w[j:j + RUN]) for j in range(len(w) - RUN + 1)}
                     k += [i] * len(seen)
                     r += seen
-                yield pd.DataFrame({key: np.array(k, dtype=np.int64), f"run_{key}": r})
+                yield from filled(pd.DataFrame({key: np.array(k, dtype=np.int64), f"run_{key}": r}))
 
         return df.select(key, "text").mapInPandas(go, f"{key} long, run_{key} string")
 
@@ -188,7 +190,7 @@ def find_leaks(documents: DataFrame, items: DataFrame, max_index_words: int = MA
         for b in batches:
             hits = search(index.value, b["text"].tolist())
             ids = b["doc_id"].to_numpy()
-            yield pd.DataFrame({"doc_id": np.array([ids[a] for a, _ in hits], dtype=np.int64), "item_id": np.array([index.value.item_ids[i] for _, i in hits], dtype=np.int64)})
+            yield from filled(pd.DataFrame({"doc_id": np.array([ids[a] for a, _ in hits], dtype=np.int64), "item_id": np.array([index.value.item_ids[i] for _, i in hits], dtype=np.int64)}))
 
     return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long").distinct()
 

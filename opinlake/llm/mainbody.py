@@ -26,6 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import filled
 from .samples import bounded
 from .sequence import BiLSTM
 
@@ -388,7 +389,7 @@ def find_furniture(pages: DataFrame, model: Broadcast) -> DataFrame:
                     key += [k] * len(hit)
                     no += [numbers[i] for i in hit]
                     pr += p[hit].tolist()
-                yield pd.DataFrame({"tbl": tbl, "row_key": np.array(key, dtype=np.int64), "line_no": np.array(no, dtype=np.int64), "p": np.array(pr, dtype=np.float64)})
+                yield from filled(pd.DataFrame({"tbl": tbl, "row_key": np.array(key, dtype=np.int64), "line_no": np.array(no, dtype=np.int64), "p": np.array(pr, dtype=np.float64)}))
 
     return pages.select("tbl", "row_key", "text", "title").mapInPandas(run, "tbl string, row_key long, line_no long, p double")
 
@@ -405,7 +406,7 @@ def main_text(pages: DataFrame, model: Broadcast) -> DataFrame:
                 gone = {numbers[i] for i in np.flatnonzero(p >= model.value.cut)}
                 out.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone).strip("\n") if t else "")
                 n.append(len(gone))
-            yield pd.DataFrame({"tbl": b["tbl"], "row_key": b["row_key"], "main_text": out, "n_removed": np.array(n, dtype=np.int64)})
+            yield from filled(pd.DataFrame({"tbl": b["tbl"], "row_key": b["row_key"], "main_text": out, "n_removed": np.array(n, dtype=np.int64)}))
 
     return pages.select("tbl", "row_key", "text", "title").mapInPandas(run, "tbl string, row_key long, main_text string, n_removed long")
 

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, filled
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -52,7 +52,7 @@ def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
         enc = tiktoken.Encoding("mix", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b["text"]]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": np.array(n, dtype=np.int64)})
+            yield from filled(pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "n_tokens": np.array(n, dtype=np.int64)}))
 
     return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, n_tokens long")
 
