@@ -49,7 +49,7 @@ SEEDS = {
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _SPELT = re.compile(r"\S+ ?(?:[\[(]at[\])]|골뱅이|at) ?[\w-]+(?: ?(?:[\[(]dot[\])]|dot|\.) ?[\w-]+)+")
-_DROP = re.compile(r"[!-~]*[0-9@#][!-~]*|https?://\S+|www\.\S+")
+_DROP = re.compile(r"(?<![!-~])[!-~]*[0-9@#][!-~]*|https?://\S+|www\.\S+")
 _SCRIPTS = np.array([0x80, 0x250, 0x1100, 0x2E80, 0x3040, 0x3100, 0x4E00, 0xA000, 0xAC00, 0xD7B0], dtype=np.uint64)
 _JAMO = re.compile(r"[ᄀ-ᇿ㄰-㆏]+")
 _LAUGH = re.compile(r"(?:(?:[ha]{2,}|[je]{2,}|[ja]{3,}|[he]{3,}|lo+l+|k{2,}|w{2,}|x+d+|rs(?:rs)*|笑+|草+|www+)\s*)+", re.I)
@@ -197,20 +197,19 @@ def _weight(words: list[str]) -> int:
 def segment(words: list[str], scores: np.ndarray, switch: float = SWITCH, least: int = 14) -> list[tuple[int, int, int, float]]:
     """(first word, end, language, confidence) of the segments of one text."""
     n, k = scores.shape
-    best = scores[0].copy()
-    back = np.zeros((n, k), dtype=np.int8)
-    for i in range(1, n):
-        j = int(best.argmax())
-        jump = best[j] - switch
-        stay = best >= jump
-        back[i] = np.where(stay, np.arange(k), j)
-        best = np.where(stay, best, jump) + scores[i]
-    path = np.zeros(n, dtype=np.int64)
-    path[-1] = best.argmax()
-    for i in range(n - 1, 0, -1):
-        path[i - 1] = back[i, path[i]]
+    rows = scores.tolist()
+    best, back = rows[0], []
+    for row in rows[1:]:
+        top = max(best)
+        j, jump = best.index(top), top - switch
+        back.append([i if b >= jump else j for i, b in enumerate(best)])
+        best = [(b if b >= jump else jump) + v for b, v in zip(best, row)]
+    path = [best.index(max(best))]
+    for came in reversed(back):
+        path.append(came[path[-1]])
+    path.reverse()
     out: list[list] = []
-    for i, y in enumerate(path.tolist()):
+    for i, y in enumerate(path):
         if out and out[-1][2] == y:
             out[-1][1] = i + 1
         else:
