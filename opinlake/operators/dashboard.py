@@ -100,3 +100,30 @@ def samples(rows: DataFrame, k: int = 6) -> DataFrame:
     """The newest rows of each label, by day and then key."""
     w = Window.partitionBy("label").orderBy(F.desc("day"), "pos_id")
     return rows.withColumn("rank", F.row_number().over(w).cast("long")).filter(F.col("rank") <= k).select("label", "rank", "pos_id", "day", "source")
+
+
+ALIASES = {"negative": ("negative", "neg", "sentiment_negative", "neg_score"), "neutral": ("neutral", "neu", "sentiment_neutral", "neu_score"), "positive": ("positive", "pos", "sentiment_positive", "pos_score")}
+
+
+def keep_columns(rows: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """The kept columns that exist, and the three weights under their common names: of each, the first alias that the table has."""
+    names = set(rows.columns)
+    weights = [F.col(next(a for a in alias if a in names)).cast("double").alias(k) for k, alias in ALIASES.items() if any(a in names for a in alias)]
+    return rows.select(*[c for c in keep if c in names and c not in ALIASES], *weights)
+
+
+def within(rows: DataFrame, time: str, start: str, end: str) -> DataFrame:
+    """Times outside the half-open window become null; every row stays."""
+    t = F.col(time)
+    return rows.withColumn(time, F.when((t >= F.lit(start).cast("timestamp_ntz")) & (t < F.lit(end).cast("timestamp_ntz")), t))
+
+
+def local_days(rows: DataFrame, time: str, zone: str, first: str, last: str) -> DataFrame:
+    """Rows whose local day is in the range, or whose time is unknown."""
+    day = F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(zone), F.col(time)))
+    return rows.filter(F.col(time).isNull() | day.between(F.to_date(F.lit(first)), F.to_date(F.lit(last))))
+
+
+def percent(share, digits: int = 1):
+    """A share as text."""
+    return F.format_string(f"%.{digits}f%%", share * 100)

@@ -76,3 +76,16 @@ def chunks(ids: DataFrame, key: str, size: int) -> DataFrame:
     """(key, chunk) for calls that take ``size`` ids at once. Numbers run inside ranges of the key, so that no task sorts everything."""
     part = F.floor(F.col(key) / F.lit(size))
     return ids.withColumn("chunk", part.cast("long"))
+
+
+def month_bounds(counts: DataFrame, now: str) -> DataFrame:
+    """(month, w_start, w_end): each month's window, not reaching beyond ``now``."""
+    first = F.to_date(F.concat("month", F.lit("-01")))
+    return counts.select("month").distinct().select("month", first.alias("w_start"), F.least(F.add_months(first, 1), F.to_date(F.lit(now))).alias("w_end"))
+
+
+def quotas(keywords: DataFrame, total: int, per_call: int = 101) -> DataFrame:
+    """Units of a daily quota that each keyword may use, and the calls they pay for."""
+    n = keywords.count()
+    share = total // max(n, 1)
+    return keywords.withColumn("units", F.lit(share).cast("long")).withColumn("calls", F.lit(share // per_call).cast("long"))

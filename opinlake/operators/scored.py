@@ -151,3 +151,10 @@ def remote_score(df: DataFrame, scorer, text: str = "scoring_text", tries: int =
             yield b.assign(**dict(zip(("is_related", "negative", "neutral", "positive"), map(list, zip(*out))))) if out else b.assign(is_related=[], negative=[], neutral=[], positive=[])
 
     return df.mapInPandas(run, schema)
+
+
+def prompt(text: Column, source: Column, lang: Column) -> Column:
+    """The scorer's prompt of a row: what is asked, where the text comes from, the text."""
+    head = F.concat(F.lit("source: "), F.coalesce(source, F.lit("unknown")), F.lit("\nlang: "), F.coalesce(lang, F.lit("unknown")))
+    ask = F.lit("Answer as JSON with is_related, negative, neutral, positive, label, explanation.")
+    return F.concat(ask, F.lit("\n"), head, F.lit("\n\n"), F.coalesce(text, F.lit("")))

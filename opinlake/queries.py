@@ -182,6 +182,31 @@ def search_window_days(s, d):
     return _ev(s, d).select("day").distinct().select("day", F.date_sub("day", 1).alias("from_day"), F.date_add("day", 1).alias("to_day"))
 
 
+@query("SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-20' THEN strftime(ts, '%Y-%m-%d %H:%M:%S') END AS ts FROM events")
+def half_open_window(s, d):
+    return dashboard.within(table(s, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")), "ts", "2024-01-10", "2024-01-20")
+
+
+@query("SELECT event_id FROM events WHERE ts IS NULL OR CAST(ts + INTERVAL 9 HOUR AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-15'")
+def local_day_filter(s, d):
+    return dashboard.local_days(table(s, d, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts")), "ts", "Asia/Seoul", "2024-01-05", "2024-01-15").select("event_id")
+
+
+@query(EV + "SELECT pos_id, source, CAST(neg AS DOUBLE) AS negative, CAST(neu AS DOUBLE) AS neutral, CAST(pos AS DOUBLE) AS positive FROM e")
+def keep_columns(s, d):
+    return dashboard.keep_columns(_ev(s, d), ("pos_id", "source", "missing"))
+
+
+@query(EV + ", m AS (SELECT DISTINCT strftime(kst, '%Y-%m') AS month FROM e) SELECT month, month || '-01' AS w_start, strftime(least(CAST(month || '-01' AS DATE) + INTERVAL 1 MONTH, DATE '2024-01-20'), '%Y-%m-%d') AS w_end FROM m")
+def month_window_bounds(s, d):
+    return planner.month_bounds(planner.month_counts(_ev(s, d)), "2024-01-20")
+
+
+@query("WITH k AS (SELECT DISTINCT event_type AS keyword FROM events), n AS (SELECT count(*) AS n FROM k) SELECT keyword, CAST(10000 // n AS BIGINT) AS units, CAST((10000 // n) // 101 AS BIGINT) AS calls FROM k, n")
+def keyword_quotas(s, d):
+    return planner.quotas(table(s, d, "events").select(F.col("event_type").alias("keyword")).distinct(), 10_000)
+
+
 # --- scores
 _PCT = """, s AS (SELECT *, round_even(neg / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS n0, round_even(neu / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS u0, round_even(pos / CAST(neg + neu + pos AS DOUBLE) * 100, 0)::BIGINT AS p0 FROM e),
 p AS (SELECT pos_id, n0 + CASE WHEN n0 >= u0 AND n0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_neg, u0 + CASE WHEN NOT (n0 >= u0 AND n0 >= p0) AND u0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_neu, p0 + CASE WHEN NOT (n0 >= u0 AND n0 >= p0) AND NOT u0 >= p0 THEN 100 - n0 - u0 - p0 ELSE 0 END AS p_pos FROM s)
@@ -222,6 +247,11 @@ def lexicon_scores(s, d):
     return x.select("row_id", "is_related", scored.dominant("negative", "neutral", "positive").alias("label"), F.round(scored.score("negative", "neutral", "positive"), 6).alias("score"))
 
 
+@query("SELECT row_id, 'Answer as JSON with is_related, negative, neutral, positive, label, explanation.' || chr(10) || 'source: ' || coalesce(source, 'unknown') || chr(10) || 'lang: ' || coalesce(lang, 'unknown') || chr(10) || chr(10) || coalesce(comment_text, '') AS prompt FROM unified_rows")
+def prompt_rows(s, d):
+    return _rows(s, d).select("row_id", scored.prompt(F.col("comment_text"), F.col("source"), F.col("lang")).alias("prompt"))
+
+
 # --- planning
 @query(EV + "SELECT strftime(kst, '%Y-%m') AS month, source, count(*) AS n FROM e GROUP BY ALL")
 def month_source_counts(s, d):
@@ -428,6 +458,11 @@ def host_pause_lookup(s, d):
     return planner.host_pause(h, p, 0.05)
 
 
+@query(r"SELECT row_id, regexp_replace(url, '\?.*$', '') || '?' || array_to_string(list_append(list_filter(string_split(CASE WHEN contains(url, '?') THEN regexp_replace(url, '^[^?]*\?', '') ELSE '' END, '&'), lambda x: x <> '' AND split_part(x, '=', 1) <> 'page'), 'page=2'), '&') AS next_url FROM raw_posts")
+def page_urls(s, d):
+    return _posts(s, d).select("row_id", U.set_param(F.col("url"), "page", F.lit(2)).alias("next_url"))
+
+
 @query("SELECT p.row_id FROM raw_posts p WHERE NOT EXISTS (SELECT 1 FROM unified_rows u WHERE u.id = p.id AND u.doc_type = 'post')")
 def seen_anti_join(s, d):
     seen = _rows(s, d).filter("doc_type = 'post'").select(F.col("id").alias("seen_id"))

@@ -2,6 +2,7 @@ import json
 import random
 from difflib import SequenceMatcher
 
+import pytest
 from pyspark.sql import functions as F
 
 from opinlake.operators import content, dashboard, dedup, planner, rows, scored
@@ -133,3 +134,20 @@ def test_pipeline(spark, sf):
     assert 0 < pipeline.articles(p).count() <= p.count()
     u = spark.read.parquet(f"{sf}/unified_rows.parquet")
     assert pipeline.scored_rows(pipeline.merged(u)).filter("label = 'unknown'").count() == 0
+
+
+def test_state_and_config(spark, tmp_path):
+    from opinlake.plans import state
+
+    path = str(tmp_path / "counts")
+    state.reset(spark, path)
+    assert state.load(spark, path).count() == 0
+    rows_ = spark.sql("SELECT timestamp_ntz'2024-01-05' AS t, 'a' AS source UNION ALL SELECT timestamp_ntz'2024-02-05', 'a'")
+    c = state.add_round(state.load(spark, path), rows_, "t")
+    assert {(x["month"], x["n"]) for x in c.collect()} == {("2024-01", 1), ("2024-02", 1)}
+    assert state.status(c).first()["n"] == 2 and state.plan(c, state.Config(month_target=5, months=2), 0).count() == 2
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "c.yaml").write_text(yaml.safe_dump({"langs": ["ko"], "unknown": 1}))
+    (tmp_path / "k.txt").write_text("연금\n# no\n")
+    cfg = state.load_config(str(tmp_path / "c.yaml"), str(tmp_path / "k.txt"))
+    assert cfg.langs == ("ko",) and cfg.keywords == ("연금",)
