@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def lenient_ntz(s: Column) -> Column:
     """A wall clock; an offset is dropped, not applied; a bare year is no time."""
-    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}"), F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz"))
+    iso = F.when(s.rlike(r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?$"), F.regexp_replace(s, r"(Z|[+-]\d{2}:?\d{2})$", "").try_cast("timestamp_ntz"))
     compact = F.when(s.rlike(r"^\d{8}T\d{6}Z?$"), F.try_to_timestamp(F.regexp_replace(s, "Z$", ""), F.lit("yyyyMMdd'T'HHmmss")).cast("timestamp_ntz"))
     return F.coalesce(iso, compact)
 

@@ -317,10 +317,13 @@ def merge_dedup(s, d):
     return rows.merge(_rows(s, d)).select("row_id", "source", "id", "first_pos")
 
 
-_NTZ = r"""CASE WHEN regexp_matches({0}, '^\d{{4}}-\d{{2}}-\d{{2}}') THEN TRY_CAST(replace(regexp_replace({0}, '(Z|[+-]\d{{2}}:?\d{{2}})$', ''), 'T', ' ') AS TIMESTAMP) WHEN regexp_matches({0}, '^\d{{8}}T\d{{6}}Z?$') THEN try_strptime(replace({0}, 'Z', ''), '%Y%m%dT%H%M%S') END"""
+_NTZ = r"""CASE WHEN regexp_matches({0}, '^\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d{{1,6}})?)?)?(Z|[+-]\d{{2}}:?\d{{2}})?$') THEN TRY_CAST(replace(regexp_replace({0}, '(Z|[+-]\d{{2}}:?\d{{2}})$', ''), 'T', ' ') AS TIMESTAMP) WHEN regexp_matches({0}, '^\d{{8}}T\d{{6}}Z?$') THEN try_strptime(replace({0}, 'Z', ''), '%Y%m%dT%H%M%S') END"""
 
 
-@query()
+_TIME = f"""WITH x AS (SELECT row_id, source, {_NTZ.format('"comment_publishedAt"')} AS c, {_NTZ.format('published_at')} AS p FROM unified_rows)"""
+
+
+@query(_TIME + " SELECT row_id, strftime(coalesce(c, p), '%Y-%m-%d %H:%M:%S') AS sort_time FROM x")
 def merge_time_sort_pos(s, d):
     x = rows.time_sorted(_rows(s, d).select("row_id", "published_at", "comment_publishedAt"))
     return x.select("row_id", "sort_time")
@@ -331,7 +334,7 @@ def source_doctype_summary(s, d):
     return rows.summary(_rows(s, d))
 
 
-@query()
+@query(_TIME + " SELECT row_id, strftime(CASE WHEN contains(source, 'news') OR contains(source, 'wire') THEN p WHEN contains(source, 'video') THEN c ELSE coalesce(c, p) END + INTERVAL 9 HOUR, '%Y-%m-%d %H:%M:%S') AS event_time FROM x")
 def event_time_by_source(s, d):
     return rows.event_time(_rows(s, d)).select("row_id", "event_time")
 
