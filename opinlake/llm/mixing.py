@@ -2,8 +2,8 @@
 
 Method: entropy balancing. The rate of a document (its expected number of copies) is the least tilted one, in entropy against one
 copy each, that gives every source its share of the tokens: min(max_repeats, exp(lambda of its source x its relative length)).
-Distributed Newton iterations solve the convex dual; each needs one aggregate per source. Rates are rounded into copies by a hash of
-the key, unbiased and reproducible.
+Distributed Newton iterations solve the convex dual; each needs one aggregate per source. Rates are rounded into copies
+systematically, along the lengths of hashed parts of a source, reproducibly.
 
 Scale: the tokens of each document are counted once and kept as a narrow table in the shared checkpoint folder; an iteration reads
 that table and combines sums on the map side, so a hot source is no single task; the driver holds one number per source, of which
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir, filled
@@ -31,6 +31,7 @@ PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 MAX_SOURCES = 100_000
 ITERATIONS = 25
 TOLERANCE = 1e-6
+PART_ROWS = 50_000
 
 
 def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
@@ -113,9 +114,14 @@ def mix(documents: DataFrame, mix_targets: DataFrame, tokenizer: str = TOKENIZER
     state = solve(tokens, targets)
     params = spark.createDataFrame([(s, float(x["lam"]), float(x["mean"]), float(x["cap"]), float(x["share"])) for s, x in state.items()], "p_source string, lam double, mean double, cap double, target_share double")
     rate = F.least(F.exp(F.col("lam") * F.col("n_tokens") / F.col("mean")), F.col("cap"))
-    toss = (F.pmod(F.xxhash64(F.lit(17), F.col("doc_id")), F.lit(1 << 30)) + 0.5) / float(1 << 30)
-    chosen = tokens.filter("n_tokens > 0").join(F.broadcast(params), F.col("source") == F.col("p_source")).select(
-        "doc_id", "source", "n_tokens", F.least(F.floor(rate + toss), F.col("cap")).cast("long").alias("n_uses"), "target_share").filter("n_uses > 0")
+    # systematic rounding: along the documents of a part in order of length, running rates cross whole numbers; each part is off by one copy at most
+    parts = max(1, -(-tokens.count() // PART_ROWS))
+    part = F.pmod(F.xxhash64(F.lit(17), F.col("doc_id")), F.lit(parts))
+    toss = (F.pmod(F.xxhash64(F.lit(29), F.col("source"), F.col("part")), F.lit(1 << 30)) + 0.5) / float(1 << 30)
+    w = Window.partitionBy("source", "part").orderBy("n_tokens", "doc_id").rowsBetween(Window.unboundedPreceding, 0)
+    rated = tokens.filter("n_tokens > 0").join(F.broadcast(params), F.col("source") == F.col("p_source")).select("doc_id", "source", "n_tokens", "target_share", "cap", rate.alias("rate"), part.alias("part"))
+    run = rated.withColumn("c", F.sum("rate").over(w) + toss)
+    chosen = run.select("doc_id", "source", "n_tokens", F.least(F.floor(F.col("c") + 1e-9) - F.floor(F.col("c") - F.col("rate") + 1e-9), F.col("cap")).cast("long").alias("n_uses"), "target_share").filter("n_uses > 0")
     sums = chosen.groupBy(F.col("source").alias("s_source")).agg(F.sum(F.col("n_tokens") * F.col("n_uses")).alias("used"))
     whole = chosen.agg(F.sum(F.col("n_tokens") * F.col("n_uses")).alias("all_used"))
     shares = sums.crossJoin(whole).select("s_source", (F.col("used") / F.col("all_used")).alias("reached_share"))  # a row per source beside one row
