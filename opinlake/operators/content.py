@@ -2,12 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions import text as T
 
@@ -61,43 +57,28 @@ def comment_phrases(comments: DataFrame) -> DataFrame:
 
 
 def board_body(rows: DataFrame, text: str, title: str, phrases: str | None = None) -> DataFrame:
-    """Adds ``body``: the lines after the title and the view count, without interface lines, up to the first line that ends it. The state of
-    the scan depends on what came before, so it is an Arrow-batched scalar function."""
-
-    def clean(raw: str | None, head: str | None, stop) -> str:
-        if not raw:
-            return ""
-        lines = [x.strip() for x in raw.replace("\r\n", "\n").replace("\r", "\n").split("\n")]
-        head = (head or "").strip()
-        start = next((i + 1 for i, x in enumerate(lines) if head and x == head), 0)
-        start = next((i + 1 for i, x in enumerate(lines) if i >= start and "조회" in x), start)
-        stops = set(stop) if stop is not None else set()
-        out: list[str] = []
-        for line in lines[start:]:
-            x = line.rstrip("|").strip()
-            if not x:
-                if out and out[-1]:
-                    out.append("")
-            elif x in UI_MARKS:
-                continue
-            elif x.isdigit() or x in UI_LINES or x.startswith(UI_STARTS):
-                if out:
-                    break
-            elif x in stops and out:
-                break
-            else:
-                out.append(x)
-        return "\n".join(out).strip()
-
-    cols = [text, title] + ([phrases] if phrases else [])
-    schema = StructType([*rows.schema.fields, StructField("body", StringType())])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            stop = b[phrases] if phrases else [None] * len(b)
-            yield b.assign(body=[clean(r, h, s) for r, h, s in zip(b[cols[0]], b[cols[1]], stop)])
-
-    return rows.mapInPandas(run, schema)
+    """Adds ``body``: what stands between the view count and the interface of a board's page. Lines are classed once; the body begins at
+    the first line that is neither blank nor interface and ends before the next line that is interface or opens a comment. All of it is
+    array algebra inside the JVM; null texts have an empty body."""
+    head = F.trim(F.coalesce(F.col(title), F.lit("")))
+    every = F.transform(F.split(T.unix_lines(F.coalesce(F.col(text), F.lit(""))), "\n"), lambda x: T.strip(x))
+    after_title = F.when(head != "", F.array_position(every, head)).otherwise(F.lit(0)).cast("int")
+    tail = F.slice(F.col("_every"), F.col("_at") + 1, F.greatest(F.size("_every") - F.col("_at"), F.lit(0)))
+    views = F.array_position(F.transform(F.col("_tail"), lambda x: F.contains(x, F.lit("조회"))), F.lit(True)).cast("int")
+    said = F.coalesce(F.col(phrases), F.array().cast("array<string>")) if phrases else F.array().cast("array<string>")
+    bare = F.transform(F.slice(F.col("_tail"), F.col("_views") + 1, F.greatest(F.size("_tail") - F.col("_views"), F.lit(0))), lambda x: T.strip(F.regexp_replace(x, r"\|+$", "")))
+    starts = r"^(" + "|".join(UI_STARTS) + ")"
+    classed = F.transform(
+        F.filter(bare, lambda x: ~x.isin(*UI_MARKS)),
+        lambda x: F.struct(x.alias("x"), (x.isin(*UI_LINES) | x.rlike(starts) | x.rlike(r"^\d+$")).alias("ui"), F.array_contains(said, x).alias("said")),
+    )
+    first = F.array_position(F.transform(F.col("_c"), lambda t: (t["x"] != "") & ~t["ui"]), F.lit(True)).cast("int")
+    own = F.when(F.col("_first") > 0, F.slice(F.col("_c"), F.greatest(F.col("_first"), F.lit(1)), F.size("_c")))
+    stop = F.array_position(F.transform(F.col("_own"), lambda t, i: (i > 0) & (t["ui"] | t["said"])), F.lit(True)).cast("int")
+    kept = F.when(F.col("_stop") > 0, F.slice(F.col("_own"), F.lit(1), F.greatest(F.col("_stop") - 1, F.lit(0)))).otherwise(F.col("_own"))
+    x = rows.withColumn("_every", every).withColumn("_at", after_title).withColumn("_tail", tail).withColumn("_views", views).withColumn("_c", classed).withColumn("_first", first).withColumn("_own", own).withColumn("_stop", stop)
+    joined = T.strip(F.regexp_replace(F.array_join(F.transform(kept, lambda t: t["x"]), "\n"), r"\n{3,}", "\n\n"))
+    return x.withColumn("body", F.coalesce(joined, F.lit(""))).drop("_every", "_at", "_tail", "_views", "_c", "_first", "_own", "_stop")
 
 
 def assemble(rows: DataFrame, *, titles: tuple[str, ...], times: tuple[str, ...], text: str, source: str, tolerant: tuple[str, ...]) -> DataFrame:
