@@ -2,10 +2,12 @@
 
 Method: robust Mahalanobis distance. The main body of a document is cut into passages of neighbouring lines; the statistics of each
 passage are compared with the prose mean and covariance of its language, which are fitted robustly (concentration steps on the
-closest part of a bounded sample), and each statistic's contribution to the squared distance is reported. A document isn't prose when
+closest part of the prose passages), and each statistic's contribution to the squared distance is reported. A document isn't prose when
 passages beyond the cut hold more than half of its characters.
 
-Scale: the sample is bounded (``TRAIN_DOCS``); statistics are one narrow pass over whole texts, without a shuffle.
+Scale: n-grams, junctions, units and the moments of every step are counted over all documents, as arrays of fixed size that the tasks
+sum; only the labeller and the language model are fitted on samples. Main bodies are read once and kept in the shared folder. Familiarity goes
+by frequency: from ``FULL_GRAMS`` n-grams on, counts are taken in proportion to that many, so that it means the same at every size.
 
 Defined results: null and empty texts, and texts of page furniture alone, have no statistics (nulls) and count as prose; repeated rows
 give repeated results by their own keys; a language with too few passages takes the mean and covariance of all.
@@ -14,20 +16,20 @@ give repeated results by their own keys; a language with too few passages takes
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..session import filled
-from . import langid, mainbody
-from .samples import bounded
+from . import langid, mainbody, sums
 from .mainbody import _CJK, _DIGIT, _ENDS, _HANGUL, _LETTER, _SPACE, _UPPER, _classes, _codes, _isin
 
-TRAIN_DOCS = 4000
+FULL_GRAMS = 1_500_000
+FULL_JOINS = 450_000
 PASSAGE = 220
 CHUNK = 250
 GRAM_BITS = 19
@@ -184,6 +186,17 @@ class Judged:
         if model is not None:
             self.measure(model)
 
+    @classmethod
+    def of(cls, model: Trained, part: pd.DataFrame) -> Judged:
+        """The batch of documents, or of main bodies that ``read`` has kept."""
+        if "body" not in part:
+            return cls(model.prose, model.labeller, model.langs, part["text"].tolist(), part["title"].tolist())
+        self = cls.__new__(cls)
+        self.bodies = _lines(part["body"])
+        self.found = [langid.Found(y.split("+"), m, None, None) if y else None for y, m in zip(part["langs"], part["margin"])]
+        self.measure(model.prose)
+        return self
+
     def measure(self, model: ProseModel) -> None:
         n = len(self.bodies)
         flat = [x for b in self.bodies for x in b]
@@ -229,83 +242,219 @@ class Judged:
         self.n_words = np.bincount(doc, weights=counts["words"], minlength=n)
 
 
+N_ALL = len(langid.LANGS) + 1
+TOTALS = (2 << GRAM_BITS) + (N_ALL << 16)
+BINS = 8192
+EDGES = np.append(0.0, np.geomspace(1e-3, 1e6, BINS))
 FLOOR = np.diag([0.02, 0.01, 2e-4, 2e-4, 0.02, 0.09, 0.004, 2e-4, 0.004, 0.03, 4e-5, 4e-4, 0.006, 0.006, 0.004])
 
 
-def _robust(x: np.ndarray, pool: np.ndarray | None = None, weight: float = 60.0, keep: float = 0.95, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and covariance of the closest part, by concentration steps, made consistent at the median; few passages lean on the pooled covariance."""
-    sel = np.ones(len(x), bool)
+def _lines(bodies: Iterable[str | None]) -> list[list[str]]:
+    return [b.split("\n") if b else [] for b in bodies]
+
+
+def _main_language(found: langid.Found | None) -> int:
+    return max(found.segments, key=lambda s: s[1] - s[0])[2] if found else N_ALL - 1
+
+
+def _count(bodies: list[list[str]], langs: Iterable[int], every: bool, total: np.ndarray) -> None:
+    """Adds the n-grams, junctions and, per language, units of the sentences, or of every line."""
+    of: dict[int, list[str]] = {}
+    for b, y in zip(bodies, langs):
+        of.setdefault(int(y), []).extend(x for x in b if every or (len(x) >= 25 and x.rstrip("\"'”’」)]")[-1:] in _ENDS))
+    n = 1 << GRAM_BITS
+    for y, lines in of.items():
+        for a in range(0, len(lines), 4000):
+            _, g, u, j = _line_counts(lines[a:a + 4000], None, None)
+            total[:n] += np.bincount(g, minlength=n)
+            total[n:2 * n] += np.bincount(j, minlength=n)
+            at = 2 * n + (y << 16)
+            total[at:at + (1 << 16)] += np.bincount(u, minlength=1 << 16)
+
+
+def _sample(bodies: list[list[str]], langs: Iterable[int], model: ProseModel) -> tuple[np.ndarray, np.ndarray]:
+    """Statistics and language of the prose passages: as they are, a third also without their punctuation, a sixth also cut to one line, as
+    short and unpunctuated prose is prose. Which ones, their own text says, so that it doesn't hang on the order of rows."""
+    rows, langs_ = [], []
+    for body, y in zip(bodies, langs):
+        if body:
+            p = passages([len(x) for x in body])
+            own: list[list[str]] = [[] for _ in range(p[-1] + 1)]
+            for x, q in zip(body, p):
+                own[q].append(x)
+            rows += own
+            langs_ += [int(y)] * len(own)
+    x, y = _passage_statistics(rows, model), np.array(langs_, dtype=np.uint8)
+    prose = np.flatnonzero((x[:, 4] >= 0.5) & (x[:, 3] < 0.1) & (x[:, 14] < 0.5) & (x[:, 11] < 0.12))
+    turn = np.array([zlib.crc32("\n".join(rows[i]).encode("utf-8", "surrogatepass")) % 6 for i in prose], dtype=np.int64)
+    third, sixth = prose[turn % 3 == 0], prose[turn == 1]
+    bare = [[_STOPS.sub(" ", z).rstrip() or z for z in rows[i]] for i in third]
+    short = [rows[i][:1] for i in sixth]
+    return np.concatenate([x[prose], _passage_statistics(bare, model), _passage_statistics(short, model)]), np.concatenate([y[prose], y[third], y[sixth]])
+
+
+def _groups(y: np.ndarray) -> list[np.ndarray]:
+    """The rows of each language and, last, all."""
+    return [np.flatnonzero(y == k) for k in range(N_ALL - 1)] + [np.arange(len(y))]
+
+
+def _moments(x: np.ndarray, y: np.ndarray, means: np.ndarray, inverses: np.ndarray, cut: np.ndarray, total: np.ndarray) -> None:
+    """Adds number, sum and sum of products of the passages within each group's cut."""
+    t, d = total.reshape(N_ALL, -1), len(STATS)
+    for k, at in enumerate(_groups(y)):
+        z = x[at] - means[k]
+        if np.isfinite(cut[k]):
+            at = at[np.einsum("ni,ij,nj->n", z, inverses[k], z) <= cut[k]]
+        z = x[at]
+        t[k, 0] += len(z)
+        t[k, 1:1 + d] += z.sum(axis=0)
+        t[k, 1 + d:] += (z.T @ z).ravel()
+
+
+def _distances(x: np.ndarray, y: np.ndarray, means: np.ndarray, inverses: np.ndarray, total: np.ndarray) -> None:
+    """Adds the histogram of each group's squared distances, in steps of a quarter of a percent."""
+    t = total.reshape(N_ALL, -1)
+    for k, at in enumerate(_groups(y)):
+        z = x[at] - means[k]
+        d = np.einsum("ni,ij,nj->n", z, inverses[k], z)
+        t[k] += np.bincount(np.searchsorted(EDGES, d).clip(1, BINS) - 1, minlength=BINS)
+
+
+def _quantile(h: np.ndarray, q: float) -> float:
+    c = np.cumsum(h)
+    i = int(np.searchsorted(c, q * c[-1]))
+    return float(EDGES[i] + (EDGES[i + 1] - EDGES[i]) * (q * c[-1] - (c[i] - h[i])) / max(h[i], 1))
+
+
+def _robust(reduce: Callable, weight: float = 60.0, keep: float = 0.95, steps: int = 12) -> tuple[np.ndarray, np.ndarray] | None:
+    """Means and inverse covariances of the closest part of each language's passages and of all, by concentration steps, made consistent at the
+    median; few passages lean on the pooled covariance. ``reduce(f, size)`` sums over all passages. None for too few."""
+    d = len(STATS)
+    means, inverses, cut, scale = np.zeros((N_ALL, d)), np.zeros((N_ALL, d, d)), np.full(N_ALL, np.inf), np.ones(N_ALL)
+    covs, before, rows = np.zeros((N_ALL, d, d)), None, None
     for _ in range(steps):
-        m = x[sel].mean(axis=0)
-        cov = np.cov(x[sel].T) + FLOOR
-        if pool is not None:
-            cov = (sel.sum() * cov + weight * pool) / (sel.sum() + weight)
-        inv = np.linalg.inv(cov)
-        d = np.einsum("ni,ij,nj->n", x - m, inv, x - m)
-        now = d <= np.quantile(d, keep)
-        if (now == sel).all():
+        t = reduce(lambda x, y, total, a=(means, inverses, cut): _moments(x, y, *a, total), N_ALL * (1 + d + d * d)).reshape(N_ALL, -1)
+        n = t[:, 0]
+        rows = n if rows is None else rows
+        if rows[-1] < 30:
+            return None
+        if before is not None and (n == before).all():
             break
-        sel = now
-    scale = max(float(np.median(d)), 1e-9) / CHI2_MEDIAN
-    return m, cov * scale
+        before = n
+        means, inverses, covs = means.copy(), inverses.copy(), covs.copy()
+        for k in range(N_ALL - 1, -1, -1):
+            if rows[k] < 20:
+                continue
+            means[k] = t[k, 1:1 + d] / n[k]
+            cov = (t[k, 1 + d:].reshape(d, d) - n[k] * np.outer(means[k], means[k])) / max(n[k] - 1, 1) + FLOOR
+            covs[k] = cov if k == N_ALL - 1 else (n[k] * cov + weight * covs[-1] * scale[-1]) / (n[k] + weight)
+            inverses[k] = np.linalg.inv(covs[k])
+        h = reduce(lambda x, y, total, a=(means, inverses): _distances(x, y, *a, total), N_ALL * BINS).reshape(N_ALL, -1)
+        for k in np.flatnonzero(rows >= 20):
+            cut[k], scale[k] = _quantile(h[k], keep), max(_quantile(h[k], 0.5), 1e-9) / CHI2_MEDIAN
+        cut = cut.copy()
+    for k in range(N_ALL):
+        if rows[k] >= 20:
+            inverses[k] = np.linalg.inv(covs[k] * scale[k])
+    for k in np.flatnonzero(rows < 20):
+        means[k], inverses[k] = means[-1], inverses[-1]
+    return means, inverses
+
+
+def _fit(count: Callable, sample: Callable) -> ProseModel:
+    """``count(every)`` gives the sums of ``_count`` over all documents, ``sample(model)`` the ``reduce`` over their prose passages."""
+    n = 1 << GRAM_BITS
+    model = ProseModel(np.zeros(n, np.float32), np.zeros(1 << 16, np.float32), np.zeros((N_ALL, len(STATS))), np.zeros((N_ALL, len(STATS), len(STATS))))
+    model.joins = np.zeros(n, np.float32)
+    total = count(False)
+    if not total.any():
+        total = count(True)
+    if not total.any():
+        return model
+    known = lambda c, full: np.minimum(1.0, np.log1p(np.maximum(c - 1, 0) * min(1.0, full / max(c.sum(), 1.0))) / np.log(11)).astype(np.float32)  # noqa: E731 - without its own occurrence
+    model.grams, model.joins = known(total[:n], FULL_GRAMS), known(total[n:2 * n], FULL_JOINS)
+    for c in total[2 * n:].reshape(N_ALL, -1):
+        top = np.argsort(-c)[:60]
+        model.common[top[c[top] > 2]] = 1.0
+    got = _robust(sample(model))
+    if got:
+        model.means, model.inverses = got
+    return model
 
 
 def fit(docs: list, labeller, langs: langid.LangModel) -> ProseModel:
-    """Fit on a collected sample of documents, in chunks that bound the driver's memory."""
-    n_all = len(langid.LANGS) + 1
-    blank = ProseModel(np.zeros(1 << GRAM_BITS, np.float32), np.zeros(1 << 16, np.float32), np.zeros((n_all, len(STATS))), np.zeros((n_all, len(STATS), len(STATS))))
+    """Fit on a list of documents."""
     bodies: list[list[str]] = []
     lang_of: list[int] = []
     for a in range(0, len(docs), CHUNK):
         part = docs[a:a + CHUNK]
         j = Judged(None, labeller, langs, [d["text"] for d in part], [d["title"] for d in part])
         bodies += j.bodies
-        lang_of += [max(f.segments, key=lambda s: s[1] - s[0])[2] if f else n_all - 1 for f in j.found]
-    if not any(bodies):
-        return blank
-    lang = np.array(lang_of)
-    sentence = [(x, y) for b, y in zip(bodies, lang_of) for x in b if len(x) >= 25 and x.rstrip("\"'”’」)]")[-1:] in _ENDS] or [(x, y) for b, y in zip(bodies, lang_of) for x in b]
-    grams, joins = np.zeros(1 << GRAM_BITS, np.int64), np.zeros(1 << GRAM_BITS, np.int64)
-    units = np.zeros((n_all, 1 << 16), np.int64)
-    for a in range(0, len(sentence), 4000):
-        part = sentence[a:a + 4000]
-        _, g, _, jn = _line_counts([x for x, _ in part], None, None)
-        grams += np.bincount(g, minlength=1 << GRAM_BITS)
-        joins += np.bincount(jn, minlength=1 << GRAM_BITS)
-        for k in {y for _, y in part}:
-            units[k] += np.bincount(_line_counts([x for x, y in part if y == k], None, None)[2], minlength=1 << 16)
-    known = lambda c: np.minimum(1.0, np.log1p(np.maximum(c - 1, 0)) / np.log(11)).astype(np.float32)  # noqa: E731 - without its own occurrence
-    blank.grams, blank.joins = known(grams), known(joins)
-    for c in units:
-        top = np.argsort(-c)[:60]
-        blank.common[top[c[top] > 2]] = 1.0
-    # prose passages as they are, without their punctuation, and cut to one line: short and unpunctuated prose is prose
-    rows, owner = [], []
-    for i, body in enumerate(bodies):
-        if body:
-            p = passages([len(x) for x in body])
-            for k in range(p[-1] + 1):
-                rows.append([x for x, q in zip(body, p) if q == k])
-                owner.append(i)
-    x = _passage_statistics(rows, blank)
-    y = lang[np.array(owner)]
-    prose = np.flatnonzero((x[:, 4] >= 0.5) & (x[:, 3] < 0.1) & (x[:, 14] < 0.5) & (x[:, 11] < 0.12))
-    bare = [[_STOPS.sub(" ", z).rstrip() or z for z in rows[i]] for i in prose[::3]]
-    short = [rows[i][:1] for i in prose[1::6]]
-    sample = np.concatenate([x[prose], _passage_statistics(bare, blank), _passage_statistics(short, blank)])
-    of = np.concatenate([y[prose], y[prose[::3]], y[prose[1::6]]])
-    means, inverses = blank.means, blank.inverses
-    if len(sample) < 30:
-        return blank
-    means[-1], pool = _robust(sample)
-    inverses[-1] = np.linalg.inv(pool)
-    for k in range(n_all - 1):
-        own = of == k
-        means[k], inverses[k] = means[-1], inverses[-1]
-        if own.sum() >= 20:
-            means[k], cov = _robust(sample[own], pool)
-            inverses[k] = np.linalg.inv(cov)
-    return blank
+        lang_of += [_main_language(f) for f in j.found]
+
+    def count(every: bool) -> np.ndarray:
+        total = np.zeros(TOTALS)
+        _count(bodies, lang_of, every, total)
+        return total
+
+    def sample(model: ProseModel) -> Callable:
+        x, y = _sample(bodies, lang_of, model)
+
+        def reduce(f: Callable, size: int) -> np.ndarray:
+            total = np.zeros(size)
+            f(x, y, total)
+            return total
+
+        return reduce
+
+    return _fit(count, sample)
+
+
+def read(documents: DataFrame, models: Broadcast) -> DataFrame:
+    """(doc_id, lang, body, langs, margin, main): every document's main body and its languages, kept in the shared folder."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        labeller, langs = models.value
+        for b in batches:
+            for a in range(0, len(b), 512):
+                part = b.iloc[a:a + 512]
+                j = Judged(None, labeller, langs, part["text"].tolist(), part["title"].tolist())
+                yield from filled(pd.DataFrame({
+                    "doc_id": part["doc_id"].to_numpy(), "lang": part["lang"].to_numpy(), "body": ["\n".join(x) for x in j.bodies], "langs": ["+".join(f.langs) if f else "" for f in j.found],
+                    "margin": [f.margin if f else 0.0 for f in j.found], "main": [_main_language(f) for f in j.found],
+                }))
+
+    return sums.kept(documents.select("doc_id", "lang", "text", "title").mapInPandas(run, "doc_id long, lang string, body string, langs string, margin double, main long"), "bodies")
+
+
+def fit_all(bodies: DataFrame) -> ProseModel:
+    """Fit on all the documents that ``read`` has kept."""
+
+    def count(every: bool) -> np.ndarray:
+        return sums.summed(bodies.select("body", "main"), lambda b, total: _count(_lines(b["body"]), b["main"], every, total), TOTALS)
+
+    def sample(model: ProseModel) -> Callable:
+        m = bodies.sparkSession.sparkContext.broadcast(model)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for a in range(0, len(b), 512):
+                    part = b.iloc[a:a + 512]
+                    x, y = _sample(_lines(part["body"]), part["main"], m.value)
+                    yield pd.DataFrame({"x": [x.astype(np.float32).tobytes()], "y": [y.tobytes()]})
+
+        rows = sums.kept(bodies.select("body", "main").mapInPandas(run, "x binary, y binary"), "passages")
+
+        def reduce(f: Callable, size: int) -> np.ndarray:
+            def add(b: pd.DataFrame, total: np.ndarray) -> None:
+                for x, y in zip(b["x"], b["y"]):
+                    f(np.frombuffer(x, np.float32).reshape(-1, len(STATS)).astype(np.float64), np.frombuffer(y, np.uint8), total)
+
+            return sums.summed(rows, add, size)
+
+        return reduce
+
+    return _fit(count, sample)
 
 
 def _passage_statistics(rows: list[list[str]], model: ProseModel) -> np.ndarray:
@@ -326,12 +475,16 @@ class Trained:
         self.labeller, self.langs, self.prose = labeller, langs, prose
 
 
-def trained(spark: SparkSession, raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> Broadcast:
-    """Fit the main-body labeller, the language model and the prose statistics on their bounded samples, and send them."""
-    labeller = mainbody.fit(*mainbody.training_sample(raw_posts, unified_rows, documents))
-    langs = langid.fit(langid.training_sample(documents, unified_rows))
-    docs = bounded(documents.filter("text IS NOT NULL AND text <> ''").select("doc_id", "text", "title"), "doc_id", TRAIN_DOCS).collect()
-    return spark.sparkContext.broadcast(Trained(labeller, langs, fit(docs, labeller, langs)))
+def trained(spark: SparkSession, raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> tuple[Broadcast, DataFrame]:
+    """Fit the main-body labeller and the language model on their bounded samples and the prose statistics on all documents; the models, sent, and
+    the main bodies."""
+    models = mainbody.fit(*mainbody.training_sample(raw_posts, unified_rows, documents)), langid.fit(langid.training_sample(documents, unified_rows))
+    bodies = read(documents, spark.sparkContext.broadcast(models))
+    return spark.sparkContext.broadcast(Trained(*models, fit_all(bodies))), bodies
+
+
+def _either(documents: DataFrame) -> DataFrame:
+    return documents if "body" in documents.columns else documents.select("doc_id", "lang", "text", "title")
 
 
 def document_statistics(documents: DataFrame, model: Broadcast) -> DataFrame:
@@ -344,7 +497,7 @@ def document_statistics(documents: DataFrame, model: Broadcast) -> DataFrame:
         for b in batches:
             for a in range(0, len(b), 512):
                 part = b.iloc[a:a + 512]
-                j = Judged(m.prose, m.labeller, m.langs, part["text"].tolist(), part["title"].tolist())
+                j = Judged.of(m, part)
                 has = ~np.isnan(j.distance)
                 out = {"doc_id": part["doc_id"].to_numpy(), "lang_code": [f.langs[0] if f and len(f.langs) == 1 else "+".join(f.langs) if f else None for f in j.found], "n_words": j.n_words.astype(np.int64)}
                 for k, s in enumerate(STATS):
@@ -355,7 +508,7 @@ def document_statistics(documents: DataFrame, model: Broadcast) -> DataFrame:
                 out["contributions"] = [p.tolist() if h else None for p, h in zip(j.parts, has)]
                 yield from filled(pd.DataFrame(out))
 
-    return documents.select("doc_id", "text", "title").mapInPandas(run, schema)
+    return _either(documents).mapInPandas(run, schema)
 
 
 def not_prose(documents: DataFrame, model: Broadcast) -> DataFrame:
@@ -372,7 +525,7 @@ def languages_of_documents(documents: DataFrame, model: Broadcast) -> DataFrame:
             keys, codes = [], []
             for a in range(0, len(b), 512):
                 part = b.iloc[a:a + 512]
-                j = Judged(m.prose, m.labeller, m.langs, part["text"].tolist(), part["title"].tolist())
+                j = Judged.of(m, part)
                 for k, label, f, junk in zip(part["doc_id"], part["lang"], j.found, j.junk_share):
                     if junk <= 0.5:
                         for c in langid.judge(f, label):
@@ -380,4 +533,4 @@ def languages_of_documents(documents: DataFrame, model: Broadcast) -> DataFrame:
                             codes.append(c)
             yield from filled(pd.DataFrame({"tbl": ["documents"] * len(keys), "row_key": np.array(keys, dtype=np.int64), "lang_code": codes}))
 
-    return documents.select("doc_id", "lang", "text", "title").mapInPandas(run, "tbl string, row_key long, lang_code string")
+    return _either(documents).mapInPandas(run, "tbl string, row_key long, lang_code string")

@@ -38,9 +38,9 @@ def p1_rates(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     docs, rows = _documents(spark, d), _unified(spark, d)
-    model = prose.trained(spark, _posts(spark, d), rows, docs)
+    model, bodies = prose.trained(spark, _posts(spark, d), rows, docs)
     langs = spark.sparkContext.broadcast(model.value.langs)
-    return prose.languages_of_documents(docs, model).unionByName(langid.find_in_rows(rows, langs))
+    return prose.languages_of_documents(bodies, model).unionByName(langid.find_in_rows(rows, langs))
 
 
 def p3_segments(spark: SparkSession, d: str) -> DataFrame:
@@ -78,13 +78,13 @@ def p6_main_text(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
-    return prose.not_prose(docs, prose.trained(spark, _posts(spark, d), _unified(spark, d), docs))
+    model, bodies = prose.trained(spark, _posts(spark, d), _unified(spark, d), _documents(spark, d))
+    return prose.not_prose(bodies, model)
 
 
 def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
-    docs = _documents(spark, d)
-    return prose.document_statistics(docs, prose.trained(spark, _posts(spark, d), _unified(spark, d), docs))
+    model, bodies = prose.trained(spark, _posts(spark, d), _unified(spark, d), _documents(spark, d))
+    return prose.document_statistics(bodies, model)
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
