@@ -5,11 +5,12 @@ look-alike digits, signs between letters and drawn-out letters undone). Each has
 informative Dirichlet prior; a linear scan finds the passages of maximal total score, and their scores become p-values by the
 extreme-value law of maximal segments, calibrated on clean text. A row's score is -log10 of the p-value of its worst passage.
 
-Training (on the driver): seed phrases, a bounded sample of hand-rated rows (``TRAIN_RATED``; rows whose raters differ are left out, single
-ratings count half) and a bounded sample of unrated rows as background (``TRAIN_BACKGROUND``), from which rows that the first round
-scores high are taken out again. The cut is the one that the rated rows support best; without ratings it is ``CUT``.
+Training: seed phrases, a bounded sample of hand-rated rows (``TRAIN_RATED``; rows whose raters differ are left out, single ratings count
+half) and all comments as background, from which sentences that the round before scores high are taken out again. A language of more than
+``PER_LANGUAGE`` sentences weighs as much as that many, each of its sentences the same. The cut is the one that the rated rows support best; without ratings it is ``CUT``.
 
-Scale: one narrow pass, no shuffle; the table of log-odds (4 MB) is broadcast. Only the rated rows' texts are joined, by a broadcast
+Scale: the comments' letters are kept once in the shared folder; each round sums n-gram counts and score histograms of fixed size over
+all of them. Scoring is one narrow pass, no shuffle; the table of log-odds (4 MB) is broadcast. Only the rated rows' texts are joined, by a broadcast
 of at most ``TRAIN_RATED`` keys.
 
 Defined results: null, blank and wordless texts score 0; repeated rows score alike; without ratings the seeds alone teach; rates
@@ -20,7 +21,8 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -29,11 +31,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import filled
-from . import langid, toxic_seeds
+from . import langid, sums, toxic_seeds
 from .samples import bounded
 
 TRAIN_RATED = 20000
-TRAIN_BACKGROUND = 25000
 PER_LANGUAGE = 40000
 BITS = 20
 ORDERS = (2, 3, 4, 5, 6)
@@ -44,6 +45,7 @@ FLOOR = -1.5  # the background holds unrated abuse, so its evidence for clean is
 CUT = 2.6
 ROUNDS = 4
 SUSPECT = 3e-3
+STEPS, TOP = 512, 1 << 16  # histograms: steps of a score to 1, and steps
 _SENTENCE = re.compile(r"[.!?。！？…~]+(?:\s|$)|[。！？]|\n| / ")
 
 _LEET = str.maketrans("013457@$!€", "oieastasie")
@@ -197,14 +199,13 @@ def log_odds(bad: np.ndarray, clean: np.ndarray, prior: float = PRIOR) -> np.nda
     return np.clip(d * np.minimum(1.0, np.abs(d) / (1.2 * spread)), FLOOR, 5).astype(np.float32)
 
 
-def training_sample(unified_rows: DataFrame, review_labels: DataFrame, n_rated: int = TRAIN_RATED, n_background: int = TRAIN_BACKGROUND):
-    """(rated rows with text, share of raters that found them offensive and number of raters; background texts)."""
+def training_sample(unified_rows: DataFrame, review_labels: DataFrame, n_rated: int = TRAIN_RATED):
+    """Rated rows with text, share of raters that found them offensive and number of raters."""
     rated = review_labels.filter("offensive IS NOT NULL").groupBy(F.col("row_id").alias("r_id")).agg(F.avg(F.col("offensive").cast("double")).alias("share"), F.count(F.lit(1)).alias("n"))
     rated = F.broadcast(bounded(rated, "r_id", n_rated))
     rows = unified_rows.filter("comment_text IS NOT NULL").select("row_id", "comment_text")
     labelled = rows.join(rated, F.col("row_id") == F.col("r_id")).select("row_id", "comment_text", "share", "n").collect()
-    background = bounded(rows, "row_id", n_background).select("comment_text").collect()
-    return sorted((r["row_id"], r["comment_text"], r["share"], r["n"]) for r in labelled), [r["comment_text"] for r in background]
+    return sorted((r["row_id"], r["comment_text"], r["share"], r["n"]) for r in labelled)
 
 
 def sentences(text: str) -> list[str]:
@@ -212,72 +213,147 @@ def sentences(text: str) -> list[str]:
     return [x for x in squash(text).split(BREAK) if x]
 
 
+def _langs(model: langid.LangModel, texts: list[str]) -> np.ndarray:
+    if not texts:
+        return np.zeros(0, np.int64)
+    return model.word_scores([t or "-" for t in texts]).argmax(axis=1)
+
+
 class _Balance:
-    """Weights that give seeds and corpus the same shares of languages, so that a language isn't taken for abuse."""
+    """Weights that give seeds and corpus the same shares of languages, so that a language isn't taken for abuse. ``corpus`` has the (weighted)
+    number of sentences of each language."""
 
-    def __init__(self, seeds: list[str], corpus: list[str]):
-        self.model = langid.fit([])
-        n = len(langid.LANGS)
-        a = np.bincount(self._langs(seeds), minlength=n) + 1.0
-        b = np.bincount(self._langs(corpus), minlength=n) + 1.0
+    def __init__(self, model: langid.LangModel, seeds: list[str], corpus: np.ndarray):
+        self.model = model
+        a = np.bincount(_langs(model, seeds), minlength=len(langid.LANGS)) + 1.0
+        b = corpus + 1.0
         a, b = a / a.sum(), b / b.sum()
         aim = np.sqrt(a * b)
         aim /= aim.sum()
         self.seed, self.corpus = aim / a, np.minimum(aim / b, 8.0)
 
-    def _langs(self, texts: list[str]) -> np.ndarray:
-        if not texts:
-            return np.zeros(0, np.int64)
-        return self.model.word_scores([t or "-" for t in texts]).argmax(axis=1)
-
     def of(self, texts: list[str], seed: bool = False) -> np.ndarray:
-        return (self.seed if seed else self.corpus)[self._langs(texts)]
+        return (self.seed if seed else self.corpus)[_langs(self.model, texts)]
+
+
+class Part:
+    """The different squashed comments and sentences of some texts, how often each occurs, and the sentences' languages."""
+
+    def __init__(self, wholes: list[str], n_wholes: np.ndarray, parts: list[str], n_parts: np.ndarray, of: np.ndarray):
+        self.wholes, self.n_wholes, self.parts, self.n_parts, self.of = wholes, n_wholes, parts, n_parts, of
+
+    @classmethod
+    def read(cls, texts: Iterable[str], langs: langid.LangModel) -> Part:
+        wholes = Counter(x for t in texts if (x := squash(t)))
+        parts: Counter[str] = Counter()
+        for w, n in wholes.items():
+            for x in w.split(BREAK):
+                if x:
+                    parts[x] += n
+        return cls(list(wholes), np.array(list(wholes.values()), np.int64), list(parts), np.array(list(parts.values()), np.int64), _langs(langs, list(parts)).astype(np.int64))
+
+    def rooms(self, total: np.ndarray) -> None:
+        """Adds the number of sentences of each language."""
+        total += np.bincount(self.of, weights=self.n_parts, minlength=len(total))
+
+    def clean(self, model: ToxicModel | None, weights: np.ndarray, total: np.ndarray) -> None:
+        """Adds the n-grams of the sentences that the model doesn't score high."""
+        w = self.n_parts * weights[self.of]
+        if model is not None and self.parts:
+            w = w * (model.p_values(*model.best(self.parts)) > SUSPECT)
+        total += _counts(self.parts, w)
+
+    def scores(self, model: ToxicModel, whole: bool, total: np.ndarray) -> None:
+        """Adds the histograms of the scores and letters of the sentences or the comments."""
+        texts, times = (self.wholes, self.n_wholes) if whole else (self.parts, self.n_parts)
+        if texts:
+            _histogram(*model.best(texts), times, total)
+
+
+def _histogram(s: np.ndarray, n: np.ndarray, times: np.ndarray, total: np.ndarray) -> None:
+    ok = n > 0
+    for k, v in enumerate((np.ceil(s[ok] * STEPS), n[ok])):
+        total[k * TOP:(k + 1) * TOP] += np.bincount(np.minimum(v, TOP - 1).astype(np.int64), weights=times[ok], minlength=TOP)
 
 
 def fit(labelled: list[tuple], background: list[str]) -> ToxicModel:
-    """Rounds of counting over sentences. Of a row rated abusive only its worst sentence counts as abusive, as the others may be clean; sentences of
-    the background that score high stop counting as clean. Then calibration and the choice of the cut."""
+    """Fit on lists."""
+    langs = langid.fit([])
+    part = Part.read(background, langs)
+
+    def reduce(f: Callable, size: int) -> np.ndarray:
+        total = np.zeros(size)
+        f(part, total)
+        return total
+
+    return _fit(labelled, langs, reduce)
+
+
+def fit_all(labelled: list[tuple], unified_rows: DataFrame) -> ToxicModel:
+    """Fit on the rated rows and all comments."""
+    langs = langid.fit([])
+    sent = unified_rows.sparkSession.sparkContext.broadcast(langs)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            p = Part.read(b["comment_text"], sent.value)
+            yield pd.DataFrame({"wholes": ["\n".join(p.wholes)], "n_wholes": [p.n_wholes.tobytes()], "parts": ["\n".join(p.parts)], "n_parts": [p.n_parts.tobytes()], "langs": [p.of.astype(np.uint8).tobytes()]})
+
+    kept = sums.kept(unified_rows.filter("comment_text IS NOT NULL").select("comment_text").mapInPandas(run, "wholes string, n_wholes binary, parts string, n_parts binary, langs binary"), "letters")
+
+    def reduce(f: Callable, size: int) -> np.ndarray:
+        def add(b: pd.DataFrame, total: np.ndarray) -> None:
+            for w, nw, p, np_, of in zip(b["wholes"], b["n_wholes"], b["parts"], b["n_parts"], b["langs"]):
+                f(Part(w.split("\n") if w else [], np.frombuffer(nw, np.int64), p.split("\n") if p else [], np.frombuffer(np_, np.int64), np.frombuffer(of, np.uint8).astype(np.int64)), total)
+
+        return sums.summed(kept, add, size)
+
+    return _fit(labelled, langs, reduce, unified_rows.sparkSession.sparkContext.broadcast)
+
+
+class _Here:
+    """What a broadcast is where nothing is sent."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send: Callable = _Here) -> ToxicModel:
+    """Rounds of counting over sentences; ``reduce(f, size)`` sums over all comments. Of a row rated abusive only its worst sentence counts as
+    abusive, as the others may be clean; sentences of the background that score high stop counting as clean. Then calibration and the choice of
+    the cut."""
     seeds, clean = [squash(t) for t in toxic_seeds.phrases()], [squash(t) for t in toxic_seeds.clean()]
     pos = [(x, 1.0 if n > 1 else 0.5) for _, t, share, n in labelled if share == 1.0 and (x := sentences(t))]
     neg = [(y, 1.0 if n > 1 else 0.5) for _, t, share, n in labelled if share == 0.0 for y in sentences(t)]
-    back = [y for t in background for y in sentences(t)]
     flat = [y for x, _ in pos for y in x]
-    balance = _Balance(seeds, back or [y for y, _ in neg])
-    if back:  # rare languages keep all their sentences, frequent ones an even sample of them
-        of = balance._langs(back)
-        room = np.bincount(of, minlength=len(langid.LANGS))
-        step = np.maximum(1, -(-room // PER_LANGUAGE))
-        rank = np.zeros(len(back), np.int64)
-        for k in range(len(room)):
-            at = np.flatnonzero(of == k)
-            rank[at] = np.arange(len(at))
-        back = [t for t, r, k in zip(back, rank, of) if r % step[k] == 0]
-        balance = _Balance(seeds, back)
+    room = reduce(lambda p, total: p.rooms(total), len(langid.LANGS))
+    back = bool(room.any())
+    even = np.minimum(1.0, PER_LANGUAGE / np.maximum(room, 1))
+    balance = _Balance(langs, seeds, room * even if back else np.bincount(_langs(langs, [y for y, _ in neg]), minlength=len(langid.LANGS)))
     seed_counts = _counts(seeds, balance.of(seeds, True))
     clean_counts = 20.0 * _counts(clean, balance.of(clean, True)) + _counts([t for t, _ in neg], np.array([w for _, w in neg]) * balance.of([t for t, _ in neg]))
-    kept, kept_weight = back, balance.of(back)
-    back_weight, flat_weight = kept_weight, balance.of(flat)
+    back_weight, flat_weight = balance.corpus * even, balance.of(flat)
     owner = np.repeat(np.arange(len(pos)), [len(x) for x, _ in pos]) if pos else np.zeros(0, np.int64)
     weight = np.array([w for _, w in pos])[owner] if pos else np.zeros(0)
     share = np.ones(len(flat))
-    for k in range(ROUNDS):
+    model = None
+    for _ in range(ROUNDS):
+        sent = send(model)
+        kept = reduce(lambda p, total, m=sent: p.clean(m.value, back_weight, total), 1 << BITS) if back else 0.0
         bad = seed_counts + _counts(flat, weight * share * flat_weight)
-        good = clean_counts + _counts(kept, kept_weight) + _counts(flat, weight * (1 - share) * flat_weight)
+        good = clean_counts + kept + _counts(flat, weight * (1 - share) * flat_weight)
         model = ToxicModel(log_odds(bad, good))
         if back:
-            s, n = model.best(back)
-            _calibrate(model, s, n)
-            p = model.p_values(s, n)
-            clear = p > SUSPECT
-            kept, kept_weight = [t for t, q in zip(back, clear) if q], back_weight[clear]
+            sent = send(model)
+            _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, False, total), 2 * TOP))
         if flat:
             s, n = model.best(flat)
             value = s - 0.01 * np.arange(len(s)) / len(s)
             top = np.full(len(pos), -1e9)
             np.maximum.at(top, owner, value)
             share = (value >= top[owner]).astype(float)
-    s, n = model.best([squash(t) for t in background] or [""])
-    _calibrate(model, s, n)
+    sent = send(model)
+    _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, True, total), 2 * TOP))
     truth = [(t, share_) for _, t, share_, n_ in labelled if share_ in (0.0, 1.0)]
     agreed = [(t, share_) for _, t, share_, n_ in labelled if share_ in (0.0, 1.0) and n_ > 1]
     truth = agreed if sum(x for _, x in agreed) >= 60 else truth
@@ -291,24 +367,31 @@ def fit(labelled: list[tuple], background: list[str]) -> ToxicModel:
     return model
 
 
-def _calibrate(model: ToxicModel, s: np.ndarray, n: np.ndarray) -> None:
+def _at(h: np.ndarray, q: float) -> int:
+    """The step of a quantile."""
+    c = np.cumsum(h)
+    return int(np.searchsorted(c, q * c[-1]))
+
+
+def _calibrate(model: ToxicModel, histograms: np.ndarray) -> None:
     """The extreme-value parameters. Lambda from the excesses over the 80th percentile, censored at the 93rd, as what lies beyond may be abuse nobody
     has rated; K from the share that exceeds the 80th."""
-    ok = n > 0
-    if ok.sum() < 50:
+    h, letters = histograms[:TOP], histograms[TOP:]
+    n = h.sum()
+    if n < 50:
         return
-    s, n = s[ok], n[ok]
-    lo, hi = np.quantile(s, 0.8), np.quantile(s, 0.93)
-    over = s[s > lo]
-    if hi - lo < 1e-6 or not len(over):
+    lo, hi = _at(h, 0.8), _at(h, 0.93)
+    over = h[lo + 1:]
+    if hi <= lo or not over.any():
         return
-    model.lam = float(np.clip((over < hi).sum() / np.minimum(over - lo, hi - lo).sum(), 0.02, 5.0))
-    model.k = float(-np.log1p(-len(over) / len(s)) / max(np.median(n), 1.0) * np.exp(model.lam * lo))
+    excess = np.minimum(np.arange(1, len(over) + 1), hi - lo)
+    model.lam = float(np.clip(over[:hi - lo - 1].sum() / ((over * excess).sum() / STEPS), 0.02, 5.0))
+    model.k = float(-np.log1p(-over.sum() / n) / max(_at(letters, 0.5), 1.0) * np.exp(model.lam * lo / STEPS))
 
 
 def trained(spark: SparkSession, unified_rows: DataFrame, review_labels: DataFrame) -> Broadcast:
-    """The model, fitted on its bounded samples and sent to the executors."""
-    return spark.sparkContext.broadcast(fit(*training_sample(unified_rows, review_labels)))
+    """The model, fitted on the rated rows and all comments, and sent to the executors."""
+    return spark.sparkContext.broadcast(fit_all(training_sample(unified_rows, review_labels), unified_rows))
 
 
 def scores(unified_rows: DataFrame, model: Broadcast) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from opinlake.llm import langid, mainbody, prose
+from opinlake.llm import langid, mainbody, prose, toxic
 
 
 def test_prose_counts_every_document(spark):
@@ -24,3 +24,18 @@ def test_prose_counts_every_document(spark):
     b = spark.sparkContext.broadcast(prose.Trained(plain, langs, got))
     a, c = prose.document_statistics(bodies, b), prose.document_statistics(df, b)
     assert a.exceptAll(c).count() == 0 and c.exceptAll(a).count() == 0
+
+
+def test_abuse_counts_every_comment(spark):
+    """All comments are background, whatever their number and partitions; a frequent language is weighted, not thinned."""
+    r = np.random.default_rng(6)
+    words = ["report", "meeting", "letter", "number", "table", "window", "garden", "summer"]
+    texts = [f"The {r.choice(words)} about the {r.choice(words)} and the {r.choice(words)} came {k} days late." for k in range(26000)] + ["Quizzical wombats juggled jonquils."] * 3 + ["", "👍"]
+    df = spark.createDataFrame([(k, "s", t) for k, t in enumerate(texts)] + [(99999, "s", None)], "row_id long, source string, comment_text string").repartition(5)
+    ratings = spark.createDataFrame([(k, False) for k in range(5)], "row_id long, offensive boolean")
+    labelled = toxic.training_sample(df, ratings)
+    assert len(labelled) == 5
+    got, want = toxic.trained(spark, df, ratings).value, toxic.fit(labelled, texts)
+    assert np.allclose(got.odds, want.odds, atol=1e-4) and abs(got.lam - want.lam) < 1e-3 and abs(got.k - want.k) < 1e-3 * want.k + 1e-9
+    rare = np.concatenate([x[x >= 0] for x in toxic.grams(toxic.pack(["wombatsjuggledjonquils"])[0])[3:]])
+    assert (got.odds[rare] < 0).mean() > 0.9  # three comments of 26,000 are evidence for clean
