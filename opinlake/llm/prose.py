@@ -475,10 +475,14 @@ class Trained:
         self.labeller, self.langs, self.prose = labeller, langs, prose
 
 
+def readers(raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> tuple[mainbody.Labeller, langid.LangModel]:
+    """The main-body labeller and the language model, fitted on their bounded samples."""
+    return mainbody.fit(*mainbody.training_sample(raw_posts, unified_rows, documents)), langid.fit(langid.training_sample(documents, unified_rows))
+
+
 def trained(spark: SparkSession, raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> tuple[Broadcast, DataFrame]:
-    """Fit the main-body labeller and the language model on their bounded samples and the prose statistics on all documents; the models, sent, and
-    the main bodies."""
-    models = mainbody.fit(*mainbody.training_sample(raw_posts, unified_rows, documents)), langid.fit(langid.training_sample(documents, unified_rows))
+    """The readers, and the prose statistics fitted on all documents; the models, sent, and the main bodies."""
+    models = readers(raw_posts, unified_rows, documents)
     bodies = read(documents, spark.sparkContext.broadcast(models))
     return spark.sparkContext.broadcast(Trained(*models, fit_all(bodies))), bodies
 
@@ -534,3 +538,21 @@ def languages_of_documents(documents: DataFrame, model: Broadcast) -> DataFrame:
             yield from filled(pd.DataFrame({"tbl": ["documents"] * len(keys), "row_key": np.array(keys, dtype=np.int64), "lang_code": codes}))
 
     return _either(documents).mapInPandas(run, "tbl string, row_key long, lang_code string")
+
+
+def segments_of_documents(documents: DataFrame, models: Broadcast) -> DataFrame:
+    """(tbl, row_key, segment, lang_code, confidence, n_words): every language segment of every main body; ``models`` has the ``readers``."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        labeller, langs = models.value
+        for b in batches:
+            out = []
+            for a in range(0, len(b), 512):
+                part = b.iloc[a:a + 512]
+                j = Judged(None, labeller, langs, part["text"].tolist(), part["title"].tolist())
+                for k, f in zip(part["doc_id"], j.found):
+                    for i, (s, e, y, c) in enumerate(f.segments if f else ()):
+                        out.append(("documents", k, i, langid.LANGS[y], c, e - s))
+            yield from filled(pd.DataFrame(out, columns=["tbl", "row_key", "segment", "lang_code", "confidence", "n_words"]))
+
+    return documents.select("doc_id", "text", "title").mapInPandas(run, "tbl string, row_key long, segment long, lang_code string, confidence double, n_words long")

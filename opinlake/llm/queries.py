@@ -44,8 +44,10 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_segments(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unified(spark, d)
-    return langid.segments_of_rows(rows, langid.trained(spark, _documents(spark, d), rows))
+    docs, rows = _documents(spark, d), _unified(spark, d)
+    models = prose.readers(_posts(spark, d), rows, docs)
+    of_rows = langid.segments_of_rows(rows, spark.sparkContext.broadcast(models[1])).withColumnRenamed("row_id", "row_key").withColumn("tbl", F.lit("unified_rows"))
+    return prose.segments_of_documents(docs, spark.sparkContext.broadcast(models)).unionByName(of_rows)
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:

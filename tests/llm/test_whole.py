@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from opinlake.llm import langid, mainbody, prose, toxic
+from opinlake.llm import langid, mainbody, prose, queries, toxic
 
 
 def test_prose_counts_every_document(spark):
@@ -39,3 +39,14 @@ def test_abuse_counts_every_comment(spark):
     assert np.allclose(got.odds, want.odds, atol=1e-4) and abs(got.lam - want.lam) < 1e-3 and abs(got.k - want.k) < 1e-3 * want.k + 1e-9
     rare = np.concatenate([x[x >= 0] for x in toxic.grams(toxic.pack(["wombatsjuggledjonquils"])[0])[3:]])
     assert (got.odds[rare] < 0).mean() > 0.9  # three comments of 26,000 are evidence for clean
+
+
+def test_segments_of_both_tables(spark, sf):
+    """Every document with a word has its segments with a confidence, as every judged row has."""
+    got = queries.p3_segments(spark, sf).cache()
+    assert got.columns == ["tbl", "row_key", "segment", "lang_code", "confidence", "n_words"]
+    keys = {t: {r["row_key"] for r in got.filter(got.tbl == t).select("row_key").distinct().collect()} for t in ("documents", "unified_rows")}
+    docs = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").filter("length(text) > 100").select("doc_id").collect()}
+    assert keys["unified_rows"] and docs and len(docs & keys["documents"]) >= 0.95 * len(docs)
+    assert got.filter("confidence IS NULL OR confidence <= 0 OR confidence > 1").count() == 0
+    assert got.count() == got.select("tbl", "row_key", "segment").distinct().count()
