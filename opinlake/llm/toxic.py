@@ -7,7 +7,8 @@ extreme-value law of maximal segments, calibrated on clean text. A row's score i
 
 Training: seed phrases, a bounded sample of hand-rated rows (``TRAIN_RATED``; rows whose raters differ are left out, single ratings count
 half) and all comments as background, from which sentences that the round before scores high are taken out again. A language of more than
-``PER_LANGUAGE`` sentences weighs as much as that many, each of its sentences the same. The cut is the one that the rated rows support best; without ratings it is ``CUT``.
+``PER_LANGUAGE`` sentences weighs as much as that many, each of its sentences the same. The cut is the one
+that the rated rows support best, drawn towards ``CUT`` by as much as there are few of them.
 
 Scale: the comments' letters are kept once in the shared folder; each round sums n-gram counts and score histograms of fixed size over
 all of them. Scoring is one narrow pass, no shuffle; the table of log-odds (4 MB) is broadcast. Only the rated rows' texts are joined, by a broadcast
@@ -43,6 +44,7 @@ PRIOR = 0.04
 DRIFT = 1.2
 FLOOR = -1.5  # the background holds unrated abuse, so its evidence for clean is bounded
 CUT = 2.6
+CUT_ROWS = 60
 ROUNDS = 4
 SUSPECT = 3e-3
 STEPS, TOP = 512, 1 << 16  # histograms: steps of a score to 1, and steps
@@ -354,19 +356,25 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send:
             share = (value >= top[owner]).astype(float)
     sent = send(model)
     _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, True, total), 2 * TOP))
-    truth = [(t, share_) for _, t, share_, n_ in labelled if share_ in (0.0, 1.0)]
-    agreed = [(t, share_) for _, t, share_, n_ in labelled if share_ in (0.0, 1.0) and n_ > 1]
-    truth = agreed if sum(x for _, x in agreed) >= 60 else truth
-    if sum(x for _, x in truth) >= 60:
-        score, y = model.score([t for t, _ in truth]), np.array([x for _, x in truth])
-        cuts = np.unique(np.quantile(score, np.linspace(0.6, 0.997, 120)))
-        hit = [((score >= c) & (y > 0)).sum() for c in cuts]
-        out = [(score >= c).sum() for c in cuts]
-        f = np.array([1.5 * h / max(1.0, o + 0.5 * y.sum()) for h, o in zip(hit, out)])  # F with precision weighing twice as much as recall
-        model.cut = float(cuts[f >= f.max() - 0.004].mean())
+    truth = [(t, y, 1.0 if n > 1 else 0.5) for _, t, y, n in labelled if y in (0.0, 1.0)]
+    if truth:
+        model.cut = choose_cut(model.score([t for t, _, _ in truth]), np.array([y for _, y, _ in truth]), np.array([w for _, _, w in truth]))
     return model
 
 
+def choose_cut(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
+    """The cut that the rated rows support best, drawn towards ``CUT``, which weighs as much as ``CUT_ROWS`` rows rated offensive; one rule for any number."""
+    n = float(weight[y > 0].sum())
+    if not n:
+        return CUT
+    cuts = np.unique(np.quantile(score, np.linspace(0.6, 0.997, 120)))
+    hit = [weight[(score >= c) & (y > 0)].sum() for c in cuts]
+    out = [weight[score >= c].sum() for c in cuts]
+    f = np.array([1.5 * h / max(1.0, o + 0.5 * n) for h, o in zip(hit, out)])  # F with precision weighing twice as much as recall
+    best = float(cuts[f >= f.max() - 0.004].mean())
+    return (CUT_ROWS * CUT + n * best) / (CUT_ROWS + n)
+
+
 def _at(h: np.ndarray, q: float) -> int:
     """The step of a quantile."""
     c = np.cumsum(h)

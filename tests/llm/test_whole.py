@@ -50,3 +50,19 @@ def test_segments_of_both_tables(spark, sf):
     assert keys["unified_rows"] and docs and len(docs & keys["documents"]) >= 0.95 * len(docs)
     assert got.filter("confidence IS NULL OR confidence <= 0 OR confidence > 1").count() == 0
     assert got.count() == got.select("tbl", "row_key", "segment").distinct().count()
+
+
+def test_cut_has_one_rule():
+    """The cut moves from the prior to the rated rows without a step, whatever their number and raters."""
+    clean = [f"The report number {k} about the garden came late." for k in range(200)]
+
+    def cut(n, raters=1):
+        rated = [(k, f"You are a complete idiot and number {k}", 1.0, raters) for k in range(n)] + [(1000 + k, t, 0.0, raters) for k, t in enumerate(clean)]
+        return toxic.fit(rated, clean).cut
+
+    few, below, above = cut(6), cut(59), cut(61)
+    assert few != toxic.CUT and toxic.fit([], clean).cut == toxic.CUT
+    assert abs(above - below) < 0.2 * abs(above - toxic.CUT)
+    score, y = np.concatenate([np.full(400, 0.1), np.full(40, 5.0)]), np.repeat([0.0, 1.0], [400, 40])
+    far = [abs(toxic.choose_cut(np.tile(score, k), np.tile(y, k), np.full(440 * k, w)) - toxic.CUT) for k, w in ((1, 0.5), (1, 1.0), (4, 1.0), (16, 1.0))]
+    assert far == sorted(far) and far[0] > 0
