@@ -60,11 +60,9 @@ def _components(pdf: pd.DataFrame) -> pd.DataFrame:
         return x
 
     for a, b in zip(pdf["key"], pdf["next_key"]):
-        ra = root(a)
-        if b == b and b is not None and not pd.isna(b):
-            rb = root(int(b))
-            if ra != rb:
-                parent[max(ra, rb)] = min(ra, rb)
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
     source = pdf["source"].iloc[0]
     return pd.DataFrame({"source": [source] * len(parent), "key": list(parent), "block": [root(k) for k in parent]})
 
@@ -76,7 +74,8 @@ def blocks(occ: DataFrame, nodes: DataFrame, min_docs: int = MIN_DOCS, min_share
     edges = follows.groupBy("source", "key", "next_key").agg(F.count_distinct("doc_id").alias("support"))
     totals = nodes.select(F.col("source").alias("t_source"), "total").distinct()
     kept = edges.join(totals, F.col("source").eqNullSafe(F.col("t_source"))).filter((F.col("support") >= min_docs) & (F.col("support") + 1e-6 >= F.col("total") * F.lit(min_share)))
-    graph = nodes.select("source", "key", F.lit(None).cast("long").alias("next_key")).unionByName(kept.select("source", "key", "next_key"))
+    graph = nodes.select("source", "key", F.col("key").alias("next_key")).unionByName(kept.select("source", "key", "next_key"))
+    # a node is an edge to itself: with a null, pandas would turn the 64-bit keys into floats
     comp = graph.groupBy("source").applyInPandas(_components, "source string, key long, block long")
     n = nodes.select(F.col("source").alias("n_source"), F.col("key").alias("n_key"), "n_docs")
     return comp.join(n, (F.col("key") == F.col("n_key")) & F.col("source").eqNullSafe(F.col("n_source"))).select("source", "key", "n_docs", "block")

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from opinlake.llm import langid, mainbody, prose, queries, toxic
+from opinlake.llm import langid, mainbody, prose, queries, standing, toxic
 
 
 def test_prose_counts_every_document(spark):
@@ -66,3 +66,11 @@ def test_cut_has_one_rule():
     score, y = np.concatenate([np.full(400, 0.1), np.full(40, 5.0)]), np.repeat([0.0, 1.0], [400, 40])
     far = [abs(toxic.choose_cut(np.tile(score, k), np.tile(y, k), np.full(440 * k, w)) - toxic.CUT) for k, w in ((1, 0.5), (1, 1.0), (4, 1.0), (16, 1.0))]
     assert far == sorted(far) and far[0] > 0
+
+
+def test_standing_blocks_are_components(spark):
+    """Lines that always follow one another share a block; a line that stands elsewhere has its own."""
+    rows = [(k, f"Rights reserved\nShare this page\nAll about us\nown text {chr(97 + k % 26)}{chr(97 + k // 26)}\n" + ("Lonely line" if k % 2 else "other" + chr(97 + k % 26) * 3), "a") for k in range(60)]
+    got = {(r["line_no"], r["block"]) for r in standing.find_standing(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect() if r["doc_id"] == 1}
+    block = dict(got)
+    assert len(got) == 4 and block[0] == block[1] == block[2] != block[4]
