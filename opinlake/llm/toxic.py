@@ -3,11 +3,14 @@
 Method: maximum-scoring segments over token log-odds. Tokens are the character n-grams of a text brought to its letters (case, widths,
 look-alike digits, signs between letters and drawn-out letters undone). Each has a log-odds of abusive against clean text under an
 informative Dirichlet prior; a linear scan finds the passages of maximal total score, and their scores become p-values by the
-extreme-value law of maximal segments, calibrated on clean text. A row's score is -log10 of the p-value of its worst passage.
+extreme-value law of maximal segments, calibrated on clean text. A row's score is -log10 of the p-value of its passages together.
 
-Training: seed phrases, a bounded sample of hand-rated rows (``TRAIN_RATED``; rows whose raters differ are left out, single ratings count
-half) and all comments as background, from which sentences that the round before scores high are taken out again. A language of more than
-``PER_LANGUAGE`` sentences weighs as much as that many, each of its sentences the same. The cut is the one
+A row's passages that chance would hold in fewer than ``ALPHA`` of clean rows are added up by the law of sums of the best scores.
+
+Training: a small lexicon, a bounded sample of hand-rated rows (``TRAIN_RATED``; rows whose raters differ are left out, single ratings count
+half) and all comments as background, from which sentences that the round before scores high are taken out again; those that it scores very high
+count as abusive, so that turns nobody has rated are learnt too. Languages weigh by the square root of their number of sentences, and from ``FULL``
+sentences on, counts are taken in proportion to that many, so that evidence means the same at every size. The cut is the one
 that the rated rows support best, drawn towards ``CUT`` by as much as there are few of them.
 
 Scale: the comments' letters are kept once in the shared folder; each round sums n-gram counts and score histograms of fixed size over
@@ -36,7 +39,7 @@ from . import langid, sums, toxic_seeds
 from .samples import bounded
 
 TRAIN_RATED = 20000
-PER_LANGUAGE = 40000
+FULL = 200_000.0
 BITS = 20
 ORDERS = (2, 3, 4, 5, 6)
 WEIGHTS = (0.06, 0.16, 0.24, 0.27, 0.27)
@@ -45,8 +48,15 @@ DRIFT = 1.2
 FLOOR = -1.5  # the background holds unrated abuse, so its evidence for clean is bounded
 CUT = 2.6
 CUT_ROWS = 60
-ROUNDS = 4
+ROUNDS = 3
 SUSPECT = 3e-3
+CERTAIN = 1e-5
+LEARNT = 1.0  # what a sentence that nobody has rated weighs as abuse, beside a rated one
+ALPHA = 0.05
+UNSUPPORTED, DOUBT = 0.3, 0.4  # a rated row that nothing else supports by this p-value weighs so much
+SYLLABLE = 1.0
+TOP_ODDS = 7.0
+RATED = 1.0  # what a rated row weighs beside a word of the lexicon
 STEPS, TOP = 512, 1 << 16  # histograms: steps of a score to 1, and steps
 _SENTENCE = re.compile(r"[.!?。！？…~]+(?:\s|$)|[。！？]|\n| / ")
 
@@ -56,7 +66,9 @@ _LAUGH = re.compile("[ㅋㅎㅉㅠㅜㅡᄏ후ᅲ]+")
 _ADDRESS = re.compile(r"\S*[\w.]@[\w-]+\.\S*|https?://\S+|\S+ ?[\[(]at[\])] ?[\w-]+(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]+)*|\S+ at [\w-]+(?: dot [\w-]+)+|\S+ 골뱅이 \S+", re.I)
 _LETTERS = re.compile(r"[^\W\d_]+|\x01+")
 BREAK = "\x01"
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint32(0x9E3779B1)
+_POWERS = [np.uint32(pow(0x85EBCA6B, k, 1 << 32) | 1) for k in range(max(ORDERS))]
+CHUNK = 60_000  # letters at a time, so that the arrays stay in the cache
 
 
 def squash(text: str) -> str:
@@ -76,33 +88,31 @@ def squash(text: str) -> str:
 def pack(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(code points with a 0 after each text, text of each position); runs of one Latin letter become one."""
     codes = np.frombuffer(("\0".join(texts) + "\0").encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    of = np.cumsum(codes == 0) - (codes == 0)
     keep = np.ones(len(codes), bool)
     keep[1:] = (codes[1:] != codes[:-1]) | (codes[1:] > 0x24F) | (codes[1:] == 0)
-    return codes[keep].astype(np.uint64), of[keep]
+    codes = codes[keep]
+    end = codes == 0
+    return codes, np.cumsum(end) - end
 
 
-def grams(codes: np.ndarray) -> list[np.ndarray]:
-    """For each order the hashed n-gram that ends at each position; -1 where it would reach into another text."""
-    out = []
+def grams(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order the hashed n-gram that ends at each position, and whether it lies within one sentence."""
     n = len(codes)
-    ends = codes <= 1
-    h = codes.copy()
-    bad = ends.copy()
+    at = np.arange(n, dtype=np.int32)
+    run = at - np.maximum.accumulate(np.where(codes <= 1, at, -1))  # letters since the sentence began
+    h = codes * _STEP
     past = 1
     for order in ORDERS:
         while past < order:
-            shifted = np.zeros(n, np.uint64)
-            shifted[past:] = codes[:-past] if past < n else 0
-            h = h * _STEP + shifted
-            gone = np.ones(n, bool)
-            gone[past:] = ends[:-past] if past < n else True
-            bad = bad | gone
+            if past < n:
+                h[past:] += codes[:-past] * _POWERS[past]
             past += 1
-        ids = (((h + np.uint64(order)) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS)).astype(np.int64)
-        ids[bad] = -1
-        out.append(ids)
-    return out
+        x = h + np.uint32(order)
+        x ^= x >> np.uint32(15)
+        x *= np.uint32(0x2C1B3C6D)
+        x ^= x >> np.uint32(12)
+        x *= np.uint32(0x297A2D39)
+        yield x >> np.uint32(32 - BITS), run >= order
 
 
 class ToxicModel:
@@ -111,21 +121,29 @@ class ToxicModel:
     def __init__(self, odds: np.ndarray):
         self.odds, self.lam, self.k, self.cut = odds, 1.0, 0.1, CUT
 
+    def odds_of(self, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
+        return self.odds[ids]
+
     def positions(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The score of each position and the text that it belongs to; the position after a text scores so low that it ends every passage."""
         codes, of = pack(squashed)
-        s = np.full(len(codes), -DRIFT, dtype=np.float64)
-        total, seen = np.zeros(len(codes)), np.full(len(codes), 1e-9)
-        for w, ids in zip(WEIGHTS, grams(codes)):
-            ok = ids >= 0
-            total += w * np.where(ok, self.odds[ids], 0.0)
-            seen += w * ok
-        s += total / seen  # the orders that fit before this position
+        total, seen = np.zeros(len(codes), np.float32), np.full(len(codes), 1e-9, np.float32)
+        for w, (ids, ok) in zip(WEIGHTS, grams(codes)):
+            total += np.float32(w) * self.odds_of(ids, of) * ok
+            seen += np.float32(w) * ok
+        s = (total / seen).astype(np.float64) - DRIFT  # the orders that fit before this position
+        s[codes >= 0x1100] *= SYLLABLE
         s[codes == 0] = -1e6
         return s, of
 
     def best(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(score of the maximal passage, number of letters) of each text, by one linear scan over all of them."""
+        top, letters = np.zeros(len(squashed)), np.zeros(len(squashed))
+        for a, b in _chunks(squashed, CHUNK):
+            top[a:b], letters[a:b] = self._best(squashed[a:b])
+        return top, letters
+
+    def _best(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         n = len(squashed)
         s, of = self.positions(squashed)
         real = s > -1e5
@@ -148,17 +166,40 @@ class ToxicModel:
         which = [unique.setdefault(squash(t), len(unique)) if t else -1 for t in texts]
         out = np.zeros(len(texts))
         if unique:
-            s, n = self.best(list(unique))
-            value = np.where(s > 0, -np.log10(np.maximum(self.p_values(s, n), 1e-12)), 0.0)
+            names = list(unique)
+            s, n = self.best(names)
+            p = self.p_values(s, n)
+            value = np.where(s > 0, -np.log10(np.maximum(p, 1e-12)), 0.0)
+            for i in np.flatnonzero((p <= ALPHA) & (s > 0)):
+                value[i] = max(value[i], self.together(self._segments(names[i]), n[i]))
             at = np.array(which)
             out[at >= 0] = value[at[at >= 0]]
         return out
 
+    def together(self, segments: list[tuple[int, int, float]], letters: float) -> float:
+        """-log10 of the p-value of the significant passages of a text: of the sums of its r best, normalised, the least likely, each r weighing half
+        of the one before."""
+        t = sorted((self.lam * s - np.log(self.k * max(letters, 1.0)) for _, _, s in segments), reverse=True)
+        best, total, fact = 0.0, 0.0, 0.0
+        for r, x in enumerate(t, 1):
+            if r > 1 and -np.expm1(-np.exp(-x)) > ALPHA:
+                break
+            total += x
+            fact += np.log(r) + (np.log(r - 1) if r > 1 else 0.0)  # r! (r - 1)!
+            p = -np.expm1(-np.exp(-total)) if r == 1 else np.exp(min(0.0, -total + (r - 1) * np.log(max(total, 1e-9)) - fact + (r - 1) * np.log(2)))
+            best = max(best, -np.log10(max(p, 1e-12)))
+        return best
+
     def passages(self, text: str) -> list[tuple[int, int, float]]:
         """All maximal passages (start, end, -log10 p) of one text's letters, by the linear stack algorithm."""
         squashed = squash(text)
         if not squashed:
             return []
+        found = self._segments(squashed)
+        p = self.p_values(np.array([s for _, _, s in found]), np.full(len(found), float(len(pack([squashed])[0]) - 1)))
+        return [(a, b, float(-np.log10(max(q, 1e-12)))) for (a, b, _), q in zip(found, p)]
+
+    def _segments(self, squashed: str) -> list[tuple[int, int, float]]:
         s, _ = self.positions([squashed])
         stack: list[list] = []  # [start, end, sum before, sum after]
         total = 0.0
@@ -176,29 +217,61 @@ class ToxicModel:
                     break
                 new = [stack[j][0], i + 1, stack[j][2], total]
                 del stack[j:]
-        p = self.p_values(np.array([b[3] - b[2] for b in stack]), np.full(len(stack), len(s) - 1.0))
-        return [(b[0], b[1], float(-np.log10(max(q, 1e-12)))) for b, q in zip(stack, p)]
+        return [(b[0], b[1], b[3] - b[2]) for b in stack]
+
+
+def _chunks(texts: list[str], letters: int) -> Iterator[tuple[int, int]]:
+    """Ranges of about so many letters."""
+    start = room = 0
+    for i, t in enumerate(texts):
+        room += len(t) + 1
+        if room >= letters:
+            yield start, i + 1
+            start, room = i + 1, 0
+    if start < len(texts):
+        yield start, len(texts)
 
 
 def _counts(texts: list[str], weights: np.ndarray) -> np.ndarray:
     out = np.zeros(1 << BITS)
     if not texts:
         return out
-    codes, of = pack(texts)
-    for ids in grams(codes):
-        ok = ids >= 0
-        out += np.bincount(ids[ok], weights=weights[of[ok]], minlength=1 << BITS)
+    for a, b in _chunks(texts, 20 * CHUNK):
+        codes, of = pack(texts[a:b])
+        w = weights[a:b][of]
+        for ids, ok in grams(codes):
+            out += np.bincount(ids[ok], weights=w[ok], minlength=1 << BITS)
     return out
 
 
-def log_odds(bad: np.ndarray, clean: np.ndarray, prior: float = PRIOR) -> np.ndarray:
-    """Log-odds under Dirichlet priors in proportion to each side's size, so that an unseen token says nothing; uncertain ones are shrunk."""
-    nb, nc = max(bad.sum(), 1.0), max(clean.sum(), 1.0)
+def log_odds(bad: np.ndarray, clean: np.ndarray, nb: float | None = None, nc: float | None = None, prior: float = PRIOR) -> np.ndarray:
+    """Log-odds under Dirichlet priors in proportion to each side's size (``nb``, ``nc``), so that an unseen token says nothing; uncertain ones are
+    shrunk."""
+    nb, nc = max(bad.sum() if nb is None else nb, 1.0), max(clean.sum() if nc is None else nc, 1.0)
     q = 0.5 * (bad / nb + clean / nc)
     ab, ac = prior * nb * q + 1e-12, prior * nc * q + 1e-12
     d = np.log((bad + ab) / (nb * (1 + prior))) - np.log((clean + ac) / (nc * (1 + prior)))
     spread = np.sqrt(1 / (bad + ab + 0.3) + 1 / (clean + ac + 0.3))
-    return np.clip(d * np.minimum(1.0, np.abs(d) / (1.2 * spread)), FLOOR, 5).astype(np.float32)
+    return np.clip(d * np.minimum(1.0, np.abs(d) / (1.2 * spread)), FLOOR, TOP_ODDS).astype(np.float32)
+
+
+class _Apart(ToxicModel):
+    """The model of some sentences without what each of them has taught it itself."""
+
+    def __init__(self, model: ToxicModel, bad: np.ndarray, good: np.ndarray, own: np.ndarray):
+        self.bad, self.good, self.own, self.lam, self.k = bad, good, own, model.lam, model.k
+        self.nb, self.nc = bad.sum(), good.sum()
+
+    def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(score of the maximal passage, number of letters) of each sentence."""
+        if not texts:
+            return np.zeros(0), np.zeros(0)
+        self.texts = texts
+        return self._best(texts)
+
+    def odds_of(self, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
+        own = np.append(self.own, 0.0)[of]
+        return log_odds(np.maximum(self.bad[ids] - own, 0.0), self.good[ids], self.nb, self.nc)
 
 
 def training_sample(unified_rows: DataFrame, review_labels: DataFrame, n_rated: int = TRAIN_RATED):
@@ -259,11 +332,15 @@ class Part:
         total += np.bincount(self.of, weights=self.n_parts, minlength=len(total))
 
     def clean(self, model: ToxicModel | None, weights: np.ndarray, total: np.ndarray) -> None:
-        """Adds the n-grams of the sentences that the model doesn't score high."""
-        w = self.n_parts * weights[self.of]
-        if model is not None and self.parts:
-            w = w * (model.p_values(*model.best(self.parts)) > SUSPECT)
-        total += _counts(self.parts, w)
+        """Adds the n-grams of the sentences that the model doesn't score high and, behind them, of those that it scores very high."""
+        w, n = self.n_parts * weights[self.of], 1 << BITS
+        if model is None or not self.parts:
+            total[:n] += _counts(self.parts, w)
+            return
+        p = model.p_values(*model.best(self.parts))
+        total[:n] += _counts(self.parts, w * (p > SUSPECT))
+        sure = np.flatnonzero(p <= CERTAIN)
+        total[n:] += _counts([self.parts[i] for i in sure], w[sure])
 
     def scores(self, model: ToxicModel, whole: bool, total: np.ndarray) -> None:
         """Adds the histograms of the scores and letters of the sentences or the comments."""
@@ -325,40 +402,52 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send:
     abusive, as the others may be clean; sentences of the background that score high stop counting as clean. Then calibration and the choice of
     the cut."""
     seeds, clean = [squash(t) for t in toxic_seeds.phrases()], [squash(t) for t in toxic_seeds.clean()]
-    pos = [(x, 1.0 if n > 1 else 0.5) for _, t, share, n in labelled if share == 1.0 and (x := sentences(t))]
-    neg = [(y, 1.0 if n > 1 else 0.5) for _, t, share, n in labelled if share == 0.0 for y in sentences(t)]
+    pos = [(x, RATED if n > 1 else 0.5 * RATED) for _, t, share, n in labelled if share == 1.0 and (x := sentences(t))]
+    neg = [(y, RATED if n > 1 else 0.5 * RATED) for _, t, share, n in labelled if share == 0.0 for y in sentences(t)]
     flat = [y for x, _ in pos for y in x]
     room = reduce(lambda p, total: p.rooms(total), len(langid.LANGS))
     back = bool(room.any())
-    even = np.minimum(1.0, PER_LANGUAGE / np.maximum(room, 1))
+    even = np.sqrt(np.maximum(room, 1).max() / np.maximum(room, 1)) * min(1.0, FULL / max(np.sqrt(room).sum() * np.sqrt(room.max()), 1.0))
     balance = _Balance(langs, seeds, room * even if back else np.bincount(_langs(langs, [y for y, _ in neg]), minlength=len(langid.LANGS)))
     seed_counts = _counts(seeds, balance.of(seeds, True))
     clean_counts = 20.0 * _counts(clean, balance.of(clean, True)) + _counts([t for t, _ in neg], np.array([w for _, w in neg]) * balance.of([t for t, _ in neg]))
-    back_weight, flat_weight = balance.corpus * even, balance.of(flat)
+    back_weight, flat_weight = balance.corpus * even, balance.of(flat, True)
     owner = np.repeat(np.arange(len(pos)), [len(x) for x, _ in pos]) if pos else np.zeros(0, np.int64)
     weight = np.array([w for _, w in pos])[owner] if pos else np.zeros(0)
-    share = np.ones(len(flat))
+    size = np.array([len(x) for x, _ in pos], dtype=float)
+    share = 1.0 / size[owner] if pos else np.ones(0)
     model = None
     for _ in range(ROUNDS):
         sent = send(model)
-        kept = reduce(lambda p, total, m=sent: p.clean(m.value, back_weight, total), 1 << BITS) if back else 0.0
-        bad = seed_counts + _counts(flat, weight * share * flat_weight)
-        good = clean_counts + kept + _counts(flat, weight * (1 - share) * flat_weight)
+        kept = reduce(lambda p, total, m=sent: p.clean(m.value, back_weight, total), 2 << BITS).reshape(2, -1) if back else np.zeros((2, 1))
+        bad = seed_counts + _counts(flat, weight * share * flat_weight) + LEARNT * kept[1]
+        own = _counts(flat, share * back_weight[_langs(langs, flat)]) if back and flat else 0.0  # rated abuse stands in the background too
+        good = clean_counts + np.maximum(kept[0] - own, 0.0) + _counts(flat, weight * (1 - share) * flat_weight)
         model = ToxicModel(log_odds(bad, good))
         if back:
             sent = send(model)
             _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, False, total), 2 * TOP))
         if flat:
-            s, n = model.best(flat)
-            value = s - 0.01 * np.arange(len(s)) / len(s)
+            apart = _Apart(model, bad, good, weight * share * flat_weight)
+            s, n = apart.scores(flat)
             top = np.full(len(pos), -1e9)
-            np.maximum.at(top, owner, value)
-            share = (value >= top[owner]).astype(float)
+            np.maximum.at(top, owner, s)
+            soft = np.exp(np.maximum(model.lam * (s - top[owner]), -30.0))
+            share = soft / np.bincount(owner, weights=soft, minlength=len(pos))[owner]
+            share *= np.where(model.p_values(top, np.bincount(owner, weights=n, minlength=len(pos))) <= UNSUPPORTED, 1.0, DOUBT)[owner]  # raters err
     sent = send(model)
     _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, True, total), 2 * TOP))
     truth = [(t, y, 1.0 if n > 1 else 0.5) for _, t, y, n in labelled if y in (0.0, 1.0)]
     if truth:
-        model.cut = choose_cut(model.score([t for t, _, _ in truth]), np.array([y for _, y, _ in truth]), np.array([w for _, _, w in truth]))
+        value, y = model.score([t for t, _, _ in truth]), np.array([y for _, y, _ in truth])
+        if flat:  # what abusive rows would score had they not been rated
+            s, n = apart.scores(flat)
+            top = np.zeros(len(pos))
+            np.maximum.at(top, owner, s)
+            unseen = -np.log10(np.maximum(model.p_values(top, np.bincount(owner, weights=n, minlength=len(pos))), 1e-12))
+            has = np.array([bool(sentences(t)) for t, _, _ in truth])
+            value[(y == 1.0) & has] = np.minimum(value[(y == 1.0) & has], unseen)
+        model.cut = choose_cut(value, y, np.array([w for _, _, w in truth]))
     return model
 
 

@@ -1,82 +1,63 @@
-"""Seed phrases that teach the scorer what abuse looks like before any rating is read. Fixed values, for moderation only."""
+"""A small lexicon that tells the scorer which side is which before any rating is read. Fixed values, for moderation only: common insults, obscene
+words, threats and sexual words, and ordinary words that resemble some of them. No sentences: turns of phrase are learnt from the rated rows."""
 
-# Words that insult, per language.
-INSULTS = {
-    "ko": "병신 등신 멍청이 바보새끼 개새끼 개자식 미친놈 미친년 또라이 찌질이 머저리 쓰레기같은놈 버러지같은인간 인간말종 쌍놈 호구새끼 벌레새끼 돌대가리 양아치새끼 얼간이 쓰레기새끼 정신병자 새대가리 무뇌충 틀딱 꼰대새끼 한남충 김치녀 맘충 급식충",
-    "en": "idiot|moron|imbecile|asshole|dickhead|piece of shit|cretin|scumbag|lying rat|freak|retard|loser|bastard|son of a bitch|bitch|cunt|wanker|dumbass|motherfucker|trash human|pig|degenerate|parasite|vermin|pathetic clown|shithead|jackass|twat|prick",
-    "es": "imbécil|idiota|gilipollas|hijo de puta|pedazo de mierda|cabrón|payaso|escoria|subnormal|estúpido|tarado|basura humana|rata mentirosa|capullo|cretino|zorra|maricón|inútil de mierda",
-    "pt": "idiota|imbecil|babaca|filho da puta|pedaço de merda|otário|escória|retardado|burro|lixo humano|palhaço|canalha|cretino|vagabunda|arrombado|corno|verme",
-    "de": "Idiot|Arschloch|Vollidiot|Vollpfosten|Hurensohn|Stück Scheiße|Drecksau|Abschaum|Wichser|Spast|Schwachkopf|Missgeburt|Trottel|Dreckskerl|Schlampe|Penner|Mistkerl|Depp",
-    "ja": "馬鹿野郎|クズ|ゴミ人間|間抜け|くそったれ|アホ|カス|低能|キチガイ|ブス|死に損ない|クソ野郎|能無し|バカ",
-    "zh": "傻逼|白痴|废物|人渣|垃圾|王八蛋|混蛋|脑残|蠢货|狗东西|畜生|贱人|神经病|臭婊子|杂种|智障",
+# Insults and obscene words.
+ABUSE = {
+    "ko": "병신 등신 멍청이 머저리 얼간이 개새끼 새끼야 개자식 미친놈 미친년 또라이 찌질이 쌍놈 쌍년 씨발 시발 씨팔 ㅅㅂ ㅆㅂ ㅂㅅ ㅈㄹ 지랄 좆같 좆까 닥쳐 꺼져 엿먹어 개소리 걸레년 창녀 쓰레기새끼 벌레같은 돌대가리 양아치 틀딱 한남충 김치녀 맘충 급식충 인간쓰레기 뒈져 죽어라 죽여버 때려죽 패버린 찢어죽",
+    "en": "idiot moron imbecile asshole dickhead cretin scumbag retard bastard bitch cunt wanker dumbass motherfucker degenerate vermin subhuman shithead jackass twat prick whore slut faggot fuck fucking fucker shit bullshit",
+    "es": "imbécil idiota gilipollas mierda cabrón escoria subnormal estúpido tarado capullo cretino zorra maricón puta joder coño cállate muérete pendejo",
+    "pt": "idiota imbecil babaca merda otário escória retardado canalha cretino vagabunda arrombado corno porra caralho",
+    "de": "Idiot Arschloch Vollidiot Hurensohn Scheiße Drecksau Abschaum Wichser Spast Schwachkopf Missgeburt Trottel Schlampe Mistkerl Fotze Scheiß ficken verrecke Untermensch",
+    "ja": "馬鹿野郎 クズ くそったれ アホ カス 低能 キチガイ ブス クソ野郎 死ね 黙れ 消えろ くたばれ 殺す うざい ゴミ野郎 変態",
+    "zh": "傻逼 白痴 废物 人渣 王八蛋 混蛋 脑残 蠢货 畜生 贱人 神经病 婊子 杂种 智障 他妈的 操你妈 去死 滚蛋 闭嘴 杀了你 打死你",
 }
-FRAMES = {
-    "ko": "너는 진짜 {}구나|여기 {}들만 모였네|이 글 쓴 {} 누구냐|{}, 그것도 모르냐|{} 소리 듣기 싫으면 조용히 해|야 이 {}아|{} 같은 게 어디서|정말 {}네|{} 새끼야 꺼져",
-    "en": "you are a complete {}|what a {}|only a {} would write this|listen, {}, nobody asked you|get lost you {}|shut up you {}|you stupid {}|go away {}|you {} are all the same",
-    "es": "eres un {}|menudo {}|solo un {} escribiría esto|oye, {}, nadie te preguntó|cállate, {}|lárgate, {}|qué {} eres|pareces un {}",
-    "pt": "você é um {}|que {}|só um {} escreveria isso|escuta, {}, ninguém te perguntou|cala a boca, {}|some daqui, {}|seu {}",
-    "de": "du bist ein {}|so ein {}|was für ein {}|nur ein {} schreibt so etwas|hör zu, {}, dich hat keiner gefragt|halt die Klappe, {}|verpiss dich, du {}",
-    "ja": "お前みたいな{}は書き込むな|{}、そんなことも知らないのか|この{}が|お前は本当に{}だな|黙れ{}|ここは{}しかいない|書いた{}は誰だ",
-    "zh": "你就是个{}|你这个{}|只有{}才会这么写|闭嘴吧{}|滚开{}|真是个{}|写这个的{}是谁|这里全是{}",
+# Sexual words.
+SEXUAL = {
+    "ko": "야동 포르노 알몸 나체 섹스 자위 보지 자지 성관계 꼴린다",
+    "en": "porn nude nudes naked tits boobs cock pussy blowjob horny cum masturbate",
+    "es": "porno desnuda desnudo tetas polla follar pajas",
+    "pt": "pornô nua pelada peitos pau gostoso transar",
+    "de": "Porno nackt Titten Schwanz ficken Nacktfoto geil",
+    "ja": "エロ ポルノ 裸 おっぱい セックス オナニー 巨乳",
+    "zh": "黄片 裸照 约炮 做爱 色情 奶子 自慰 打飞机",
 }
-# Groups that are degraded.
-GROUPS = {
-    "ko": "외지인들|늙은것들|애 딸린 여자들|장애 있는 것들|저 종교 믿는 것들|이주 노동자들|저쪽 동네 것들|젊은것들|여자들|남자들|조선족들|게이들|흑인들",
-    "en": "migrant workers|the disabled ones|those old leeches|kids from that district|single mothers|people of that faith|outsiders|foreigners|women|gays|the old ones|poor people",
-    "es": "los de fuera|los de ese barrio|los viejos|las madres solteras|los inmigrantes|los de esa religión|los discapacitados|las mujeres|los extranjeros",
-    "pt": "os de fora|os daquele bairro|os velhos|as mães solteiras|os imigrantes|os daquela religião|os deficientes|as mulheres|os estrangeiros",
-    "de": "die Zugezogenen|die aus dem Viertel|die alten Säcke|die Ausländer|die Behinderten|die alleinerziehenden Weiber|die von dieser Religion|die Fremden|die Frauen",
-    "ja": "よそ者|あの地区の連中|年寄りども|外国人ども|障害者ども|あの宗教の連中|子連れの女ども|移民ども",
-    "zh": "外地人|那个区的人|老东西们|残疾的那些人|信那个教的人|单亲妈妈们|外国劳工|那些女人|移民们",
+# Insults and threats of two or three words.
+TURNS = {
+    "ko": "죽여 버린다|입 닥쳐|꺼져 버려|때려 죽인다",
+    "en": "screw you|piss off|shut up|kill you|kill yourself|beat you up|rot in hell|go to hell|dick pic",
+    "es": "hijo de puta|te mato|vete al carajo|que te den",
+    "pt": "filho da puta|te mato|cala a boca|vai se ferrar",
+    "de": "halt's Maul|bring dich um|leck mich|du Sau",
+    "ja": "ぶっ殺す|死んでしまえ",
+    "zh": "去你妈的|宰了你",
 }
-DEGRADES = {
-    "ko": "{}은 싹 다 없어져야 한다|{} 숨 쉬는 것도 아깝다|{}이란 사람 취급도 하면 안 된다|{}은 다 쫓아내야 한다|{} 벌레랑 다를 게 없다|{}은 전부 가둬 놔야 한다|{} 때문에 나라가 망한다 다 죽어야 해",
-    "en": "{} are vermin and nothing else|{} are not even human|{} do not deserve the air they breathe|{} deserve to disappear|{} should all be locked up|kick out all {}|{} are animals|{} should be wiped out",
-    "es": "{} no son ni personas|{} deberían desaparecer todos|{} son una plaga|{} no merecen el aire que respiran|habría que encerrar a {}|{} son animales|hay que echar a {}",
-    "pt": "{} nem são gente|{} deviam desaparecer todos|{} são uma praga|{} não merecem o ar que respiram|tinham que prender {}|{} são animais|tem que expulsar {}",
-    "de": "{} sind Ungeziefer|{} sind keine Menschen|{} sollten alle verschwinden|{} verdienen die Luft zum Atmen nicht|{} gehören alle weggesperrt|{} sind Tiere|raus mit {}",
-    "ja": "{}は全員消えるべきだ|{}は害虫と同じだ|{}は人間扱いしなくていい|{}は追い出せ|{}は息をする価値もない|{}は閉じ込めておけ",
-    "zh": "{}都该消失|{}跟害虫没两样|{}根本不算人|{}都该被赶出去|{}不配呼吸|{}都该关起来",
-}
-# Obscene interjections and the turns they come in.
-SWEARS = "씨발|시발|ㅅㅂ|ㅆㅂ|ㅂㅅ|ㅈㄹ하네|지랄하네|지랄|닥쳐|꺼져|엿이나 먹어|개소리 집어쳐|좆까|젠장할 새끼|미친 새끼"
-SHORT = {"en": "fuck off|eat shit|go to hell|kiss my ass|screw you|fuck you", "es": "que te jodan|vete a la mierda|vete al infierno|come mierda", "de": "fick dich|leck mich|verpiss dich|friss Scheiße", "pt": "vai se foder|vai à merda", "ja": "死ね|黙れ|くたばれ", "zh": "滚蛋|去死吧"}
-TURNS = "아 {}|{} 진짜|됐고 {}|{} 너나 잘해|{}|이런 {}|와 {}"
-# Threats, obscene swearing and sexual messages.
-PHRASES = {
-    "ko": "만나면 가만 안 둔다, 각오해|밤길 조심해라, 찾아간다|목숨 아까우면 입 다물어라|네 집 알아내서 박살 낸다|너 같은 건 세상에서 사라지는 게 답이다|죽여 버린다|집 주소 다 안다 기다려라|씨발 진짜|아 시발|ㅅㅂ 진짜|ㅂㅅ 진짜|ㅈㄹ하네 너나 잘해|지랄하네|됐고 닥쳐|꺼져 너나 잘해|엿이나 먹어|좆까|개소리 집어쳐|뒤져라|가슴 사진 올리면 추천 준다|야동 링크 공유한다, 화끈하다|다리 벌린 영상 있는 사람|벗은 몸 보고 싶다, 연락해|야한 사진이나 보내 봐|오늘 밤 같이 잘 사람 찾는다, 섹스 환영|알몸 사진 보내줘|손가락을 잘라 버린다|네 가족도 무사하지 못할 거다",
-    "en": "watch your back, I will find you|when I see you I will break your jaw|I know your street and I am coming over|I will kill you|you will regret this, I know where you live|the world is better without you, disappear|go kill yourself|go to hell|kiss my ass|screw you|what a dumb bastard|whoever posted this is a lying rat|braindead clown|hot porn link in my profile|show us your tits|keep talking and you will bleed|they should be locked away for good|they should all be thrown out|fuck you|fuck off|eat shit|shut the fuck up|bullshit, piss off|what the fuck is this shit|anyone up for sex tonight, message me|I want to see you naked and moaning|send me your nudes|show me your tits|hot porn link here|spread your legs on video|want to fuck someone tonight|suck my dick",
-    "es": "vete a la mierda|que te jodan|vete al infierno|me cago en todo|come mierda|cuidado por la calle, te voy a encontrar|sé dónde vives y voy a por ti|cuando te vea te parto la cara|te voy a matar|el mundo estaría mejor sin ti|busco sexo esta noche, escríbeme|quiero verte desnuda y gimiendo|manda fotos desnuda|enséñame las tetas|paso enlaces porno|chúpame la polla",
-    "pt": "vai à merda|vai se foder|vai pro inferno|vai tomar no cu|porra nenhuma, caralho|cuidado na rua, vou te achar|sei onde você mora e vou até aí|quando te encontrar quebro a tua cara|vou te matar|o mundo seria melhor sem você|procuro sexo hoje à noite, me chama|quero te ver nua e gemendo|manda fotos nua|mostra os peitos|passo link de pornô",
-    "de": "fick dich|verpiss dich|leck mich am Arsch|friss Scheiße|fahr zur Hölle|halt die Fresse|pass auf, ich finde dich|ich weiß, wo du wohnst, ich komme vorbei|wenn ich dich sehe, breche ich dir den Kiefer|ich bring dich um|die Welt ist besser ohne dich|wer will heute Nacht Sex, melde dich|ich will dich nackt und stöhnend sehen|schick Nacktfotos|zeig deine Titten|Pornolinks gibt es hier|lutsch meinen Schwanz",
-    "ja": "死ね|黙れ|消えろ|くたばれ|うるせえクソが|ふざけんなクソ|夜道に気をつけろ、見つけ出すぞ|会ったらただじゃおかない|家は知ってるぞ、行くからな|殺してやる|お前なんか消えたほうがいい|裸の写真を送れ|今夜セックスする人募集、連絡して|裸で喘ぐところが見たい|胸の写真を上げろ|エロ動画のリンクあるぞ|股を開いた動画ある人",
-    "zh": "去死吧|滚蛋|他妈的|操你妈|放你的狗屁|吃屎去吧|走夜路小心点,我会找到你|我知道你住哪,等着|见到你打断你的腿|我要杀了你|你这种人就该从世上消失|今晚有人约炮吗,私信我|想看你光着身子叫|发裸照来|发胸部照片就点赞|黄片链接分享|张开腿的视频谁有",
-}
-# Sentences that only look alike: reports about abuse, harsh criticism, and words that hold an abusive one.
-CLEAN = {
-    "ko": "욕설 댓글 때문에 게시판이 닫혔다고 합니다|기사마다 혐오 표현을 지워 달라는 신고가 들어왔다고 한다|병신년 달력까지 꺼내서 날짜를 확인했습니다|논의의 시발점이 무엇이었는지 기억해야 합니다|새끼손가락 걸고 약속했는데|성교육 강사님이 강의도 하셨어요|이 초안은 정말 형편없고 최악입니다|이 정책은 완전히 실패했고 쓰레기통에 들어가야 할 보고서다|시발역에서 종점까지|쓰레기 분리수거 예산이 적다니 놀랍다|연락처 공일공 일이삼사 오육칠팔 남겨요|급하면 공일공 구공일오 사삼이일 로 전화 주세요|제 번호 공일공 칠칠육구 이공팔삼 입니다|상담원이 공일공 공팔육일 삼사구이 번으로 다시 건다고 했어요|공일공 이구팔일 육사삼칠|악플 신고가 늘었다|협박 사건 보도를 읽었다|섹션별로 정리했다|저도 궁금해요|공감 백번|정답입니다|또 시작이네요|잘 읽었습니다|이건 아니죠|그러게요",
-    "en": "moderators removed abusive replies, the report says|hate speech rules were discussed along with it|the assessment is a classic case of bad timing|a sex education teacher also explained it|the naked truth is that|she killed it in the debate|my cockatoo and I read it|this draft is terrible and a complete failure|a shameful, awful proposal that should be scrapped|the grape harvest in Scunthorpe|the therapist passed the assignment in class|insults were deleted by the staff|here we go again|same here|well said|that is right|I agree|asking the same|not convinced",
-    "es": "borraron insultos en el foro|se habló de la educación sexual en la escuela|este borrador es malísimo y un fracaso|los mensajes de odio fueron denunciados|la computadora del disputado análisis|estoy de acuerdo|bien dicho|otra vez lo mismo|tiene razón|no me convence",
-    "pt": "apagaram insultos no fórum|falaram sobre educação sexual na escola|este rascunho é péssimo e um fracasso|as mensagens de ódio foram denunciadas|o computador e a disputa|concordo|bem dito|de novo isso|não me convence",
-    "de": "Beleidigungen im Forum wurden gelöscht|im Unterricht ging es um Sexualkunde|der Entwurf ist miserabel und gescheitert|über Hassrede wurde gesprochen|die Klassenfahrt nach Wichsenstein|sehe ich auch so|gut gesagt|überzeugt mich nicht|schon wieder|danke dafür",
-    "ja": "悪口の書き込みが消されたそうです|性教育の授業がありました|この修正案はひどい出来だと思います|ヘイトスピーチの対策が話し合われた|バカンスの計画|カスタマー窓口|同感です|なるほど|また始まった|その通りです",
-    "zh": "辱骂的评论被删除了|学校讲了性教育|这份草案非常糟糕|讨论了仇恨言论的规定|垃圾分类的规定|操作说明|我同意这个看法|说得对|又来了|我不太信",
+# Ordinary words, some of which hold an abusive one or are about abuse.
+PLAIN = {
+    "ko": "욕설 혐오표현 신고 악플 삭제 시발점 시발역 병신년 새끼손가락 성교육 쓰레기통 분리수거 실패 형편없 최악 반대 동의 감사 정책 의견 섹션 시작 공감",
+    "en": "insults removed report moderator terrible failure shameful draft policy class assessment classic passion Scunthorpe cocktail grape analysis title agree thanks",
+    "es": "insultos odio borraron denuncia computadora disputa fracaso borrador acuerdo gracias análisis",
+    "pt": "insultos ódio apagaram denúncia computador disputa fracasso rascunho concordo obrigado",
+    "de": "Beleidigung Hassrede gelöscht Meldung Sexualkunde Entwurf gescheitert danke Klasse Analyse Massage",
+    "ja": "悪口 削除 通報 性教育 修正案 反対 同感 感謝 バカンス カスタマー",
+    "zh": "辱骂 删除 举报 性教育 草案 反对 同意 感谢 垃圾分类 操作",
 }
+# What may stand before an insult.
+BEFORE = {"ko": "이 야 너 진짜 그", "en": "you a such stupid", "es": "un eres qué", "pt": "um seu que", "de": "du so", "ja": "この お前", "zh": "你 这个 真是"}
 
 
 def phrases() -> list[str]:
-    """All abusive seed phrases."""
+    """The abusive side: each word alone and behind a short word."""
     out = []
-    for lang, frames in FRAMES.items():
-        words = INSULTS[lang].split("|") if "|" in INSULTS[lang] else INSULTS[lang].split()
-        out += [f.format(w) for w in words for f in frames.split("|")]
-        out += [f.format(g) for g in GROUPS[lang].split("|") for f in DEGRADES[lang].split("|")]
-        out += PHRASES[lang].split("|") * 3
-    out += [f.format(w) for w in SWEARS.split("|") for f in TURNS.split("|")] * 6  # short turns need weight of their own
-    out += [x for v in SHORT.values() for x in v.split("|")] * 6
-    return out
+    for lang, words in ABUSE.items():
+        for w in words.split():
+            out += [w, w, *(f"{b} {w}" for b in BEFORE[lang].split())]
+    for turns in TURNS.values():
+        out += turns.split("|") * 4
+    for words in SEXUAL.values():
+        out += words.split() * 4
+    return [x for x in out if len(x) > 1]
 
 
 def clean() -> list[str]:
-    """Seed sentences that aren't abusive."""
-    return [s for v in CLEAN.values() for s in v.split("|")]
+    """The clean side."""
+    return [w for v in PLAIN.values() for w in v.split()]
