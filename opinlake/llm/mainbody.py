@@ -32,6 +32,7 @@ from .sequence import BiLSTM
 
 TRAIN_POSTS = 1500
 TRAIN_DOCS = 2500
+SAMPLE_CHARS = 30_000  # longer pages don't teach the labeller: bounds what the driver gets
 BUCKETS = 8192
 EMB = 24
 HIDDEN = 24
@@ -237,36 +238,51 @@ class Labeller:
         return [(a, b, prob[e - n:e]) for a, b, e, n in zip(pages.numbers, pages.lines, ends, pages.lengths)]
 
 
-def _generated(words: list[str], r: np.random.Generator) -> list[str]:
-    """Lines of a list, a table or junk out of a page's own words."""
-    w = lambda k=1: " ".join(words[int(i)] for i in r.integers(0, len(words), k))
-    num = lambda: ["-", f"{r.integers(0, 1000) / 10}%", f"{r.integers(1000, 999999):,}", str(r.integers(1, 99999)), str(r.integers(1990, 2030))][int(r.integers(0, 5))]
-    rand = lambda k: "".join("abcdefghijklmnopqrstuvwxyz0123456789"[int(i)] for i in r.integers(0, 36, k))
-    kind, n = int(r.integers(0, 15)), int(r.integers(4, 22))
-    sep = ["   ", "\t", "|", ";", ",", " | "][int(r.integers(0, 6))]
-    bullet = ["• ", "- ", "* ", "{}. ", "{}) ", "", "· "][int(r.integers(0, 7))]
-    if kind <= 3:
-        head = [sep.join(w(2) for _ in range(5))] + (["|".join(["---"] * 5)] if sep == "|" and r.random() < 0.5 else [])
-        return head + [sep.join([w(3), *(num() for _ in range(4))]) for _ in range(n)]
-    if kind <= 5:
-        return [bullet.format(i + 1) + w(int(r.integers(2, 5))) for i in range(n)]
+def _field(words: list[str], r: np.random.Generator):
+    """A maker of one kind of field: words of the page, numbers, codes or symbols, each by a rule drawn once."""
+    k, kind = int(r.integers(1, 5)), int(r.integers(0, 9))
+    alphabet = ["0123456789", "0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789"][int(r.integers(0, 5))]
+    size, point, group = int(r.integers(1, 14)), int(r.integers(0, 4)), bool(r.random() < 0.3)
+    joint = ["/", ".", "-", ":", "_", "="][int(r.integers(0, 6))]
+    code = lambda n: "".join(alphabet[int(i)] for i in r.integers(0, len(alphabet), n))
+    word = lambda n: " ".join(words[int(i)] for i in r.integers(0, len(words), n))
+    number = lambda: f"{r.integers(0, 10 ** int(r.integers(1, 6))) / 10**point:{',' if group else ''}.{point}f}"
+    if kind <= 2:
+        return lambda: word(int(r.integers(1, k + 1)))
+    if kind <= 4:
+        return number
+    if kind == 5:
+        return lambda: code(int(r.integers(max(1, size // 2), size + 1)))
     if kind == 6:
-        return [f"{w(2)} {rand(1).upper()}{r.integers(1, 99)}: {num()}" for _ in range(n)]
+        return lambda: joint.join(code(int(r.integers(1, 6))) for _ in range(k))
     if kind == 7:
-        return [", ".join(w(2) for _ in range(int(r.integers(6, 25)))) for _ in range(int(r.integers(1, 5)))]
-    if kind == 8:
-        return [" ".join("#" + w(2).replace(" ", "") for _ in range(int(r.integers(5, 20)))) for _ in range(int(r.integers(1, 5)))]
-    if kind == 9:
-        return [f"https://{['www', 'm', 'a', 'b'][int(r.integers(0, 4))]}.{rand(5)}.example/{['p', 'view', 'n'][int(r.integers(0, 3))]}/{r.integers(1000, 999999)}" for _ in range(n)]
-    if kind == 10:
-        return [f"{['ERR', 'INFO', 'WARN'][int(r.integers(0, 3))]} [{r.integers(1000, 999999)}] mod_{rand(2)}: code={r.integers(100, 999)} t={r.integers(0, 9999) / 10000} {w(1)}" for _ in range(n)]
-    if kind == 11:
-        return [" ".join(rand(int(r.integers(1, 13))) for _ in range(int(r.integers(4, 16)))) for _ in range(int(r.integers(2, 9)))]
-    if kind == 12:
-        return [[w(1)[:1] * int(r.integers(8, 40)), w(3).encode().decode("latin-1"), rand(40)][int(r.integers(0, 3))] for _ in range(int(r.integers(2, 8)))]
-    if kind == 13:
-        return [w(int(r.integers(10, 60))) for _ in range(int(r.integers(1, 5)))]
-    return [f"[{r.integers(1, 13):02d}/{r.integers(1, 29):02d}] {w(int(r.integers(3, 7)))}" if r.random() < 0.6 else f"{w(2)}{[' ★', '?', ''][int(r.integers(0, 3))]} / {w(2)}" for _ in range(n)]
+        return lambda: joint.join(x.strip(".,") for x in word(k).split(" ")).lower()
+    return lambda: word(1)[:1] * size
+
+
+def _generated(words: list[str], r: np.random.Generator) -> list[str]:
+    """Lines of a list, a table or junk out of a page's own words: all lines follow one pattern, drawn at random, of fields between marks."""
+    marks = ["", " ", "  ", "   ", "\t", "|", " | ", ";", ",", ", ", ": ", "=", " - ", " / ", "/", " (", ") ", " [", "] ", "#", " #", "://", "@", "%", " ★ ", "? "]
+    mark = lambda: marks[int(r.integers(0, len(marks)))]
+    u, n = r.random(), int(r.integers(3, 24))
+    if u < 0.2:  # words without sentences
+        return [" ".join(words[int(i)] for i in r.integers(0, len(words), int(r.integers(8, 60)))) for _ in range(int(r.integers(1, 6)))]
+    if u < 0.3:  # broken encoding and random characters
+        return [" ".join(words[int(i)] for i in r.integers(0, len(words), 4)).encode().decode("latin-1") if r.random() < 0.5 else "".join(chr(int(c)) for c in r.integers(33, 127, int(r.integers(10, 80)))) for _ in range(int(r.integers(2, 9)))]
+    fields = [_field(words, r) for _ in range(1 + int(r.integers(0, 2) if u < 0.6 else r.integers(1, 7)))]
+    same = mark() if r.random() < 0.6 else None
+    lead, tail = ("", "") if r.random() < 0.4 else (["- ", "* ", "• ", "· ", "{}. ", "{}) ", "[", "> ", "("][int(r.integers(0, 9))], mark().rstrip() if r.random() < 0.2 else "")
+    between = [mark() if same is None else same for _ in fields]
+    out = []
+    for i in range(n):
+        line = lead.format(i + 1)
+        for f, m in zip(fields, between):
+            line += f() + m
+        out.append(line[:len(line) - len(between[-1])] + tail)
+    if u > 0.8 and len(out) > 3:  # several on a line
+        k = int(r.integers(2, 9))
+        out = [(mark() or " ").join(out[i:i + k]) for i in range(0, len(out), k)]
+    return [x.replace("\n", " ") for x in out if x.strip()]
 
 
 def _post_pages(posts: list, r: np.random.Generator):
@@ -344,13 +360,15 @@ def _doc_pages(docs: list, net: BiLSTM | None):
 
 def training_sample(raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame, n_posts: int = TRAIN_POSTS, n_docs: int = TRAIN_DOCS):
     """The bounded sample: posts with their bodies, and documents; chosen by a hash of the key."""
-    posts = bounded(raw_posts.filter("raw_text IS NOT NULL AND raw_text <> ''").select("row_id", F.col("id").alias("post_id"), "title", "raw_text"), "row_id", n_posts)
-    posts = posts.dropDuplicates(["post_id"])
-    ids = F.broadcast(posts)  # n_posts rows at most
-    bodies = unified_rows.filter("comment_index IS NULL AND text IS NOT NULL").select(F.col("id").alias("u_id"), F.col("text").alias("body"))
-    joined = ids.join(bodies, F.col("post_id") == F.col("u_id")).groupBy("row_id").agg(F.first("title").alias("title"), F.first("raw_text").alias("raw_text"), F.min("body").alias("body"))
-    docs = bounded(documents.filter("text IS NOT NULL AND text <> ''").select("doc_id", "source", "title", "text"), "doc_id", n_docs)
-    return sorted(joined.collect(), key=lambda r: r["row_id"]), docs.collect()
+    fits = lambda c: f"{c} IS NOT NULL AND {c} <> '' AND length({c}) <= {SAMPLE_CHARS}"
+    posts = bounded(raw_posts.filter(fits("raw_text")).select("row_id", F.col("id").alias("post_id"), "title", "raw_text"), "row_id", n_posts).dropDuplicates(["post_id"]).collect()
+    spark = raw_posts.sparkSession
+    ids = F.broadcast(spark.createDataFrame([(r["post_id"],) for r in posts], "post_id string"))  # n_posts ids at most
+    bodies = unified_rows.filter("comment_index IS NULL AND " + fits("text")).select(F.col("id").alias("u_id"), "text")
+    body = {r["post_id"]: r["body"] for r in bodies.join(ids, F.col("post_id") == F.col("u_id")).groupBy("post_id").agg(F.min("text").alias("body")).collect()}
+    joined = [{"row_id": r["row_id"], "title": r["title"], "raw_text": r["raw_text"], "body": body[r["post_id"]]} for r in posts if r["post_id"] in body]
+    docs = bounded(documents.filter(fits("text")).select("doc_id", "source", "title", "text"), "doc_id", n_docs)
+    return sorted(joined, key=lambda r: r["row_id"]), docs.collect()
 
 
 def fit(posts: list, docs: list, seed: int = 5) -> Labeller:
@@ -399,14 +417,16 @@ def main_text(pages: DataFrame, model: Broadcast) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            texts = b["text"].tolist()
-            got = model.value.furniture(texts, b["title"].tolist())
-            out, n = [], []
-            for t, (numbers, _, p) in zip(texts, got):
-                gone = {numbers[i] for i in np.flatnonzero(p >= model.value.cut)}
-                out.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone).strip("\n") if t else "")
-                n.append(len(gone))
-            yield from filled(pd.DataFrame({"tbl": b["tbl"], "row_key": b["row_key"], "main_text": out, "n_removed": np.array(n, dtype=np.int64)}))
+            for a in range(0, len(b), 1024):
+                part = b.iloc[a:a + 1024]
+                texts = part["text"].tolist()
+                got = model.value.furniture(texts, part["title"].tolist())
+                out, n = [], []
+                for t, (numbers, _, p) in zip(texts, got):
+                    gone = {numbers[i] for i in np.flatnonzero(p >= model.value.cut)}
+                    out.append("\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone).strip("\n") if t else "")
+                    n.append(len(gone))
+                yield from filled(pd.DataFrame({"tbl": part["tbl"], "row_key": part["row_key"], "main_text": out, "n_removed": np.array(n, dtype=np.int64)}))
 
     return pages.select("tbl", "row_key", "text", "title").mapInPandas(run, "tbl string, row_key long, main_text string, n_removed long")
 

@@ -42,7 +42,7 @@ STATS = (
 CHI2_MEDIAN = len(STATS) * (1 - 2 / (9 * len(STATS))) ** 3  # makes the median distance that of normal data
 _STOPS = re.compile(r"[.!?。！？…]+(?=\s|$)|[。！？]")
 _PAIRED = re.compile(r"(?<=\S) {2}(?=\S)")
-_MARKED = re.compile(r"[•▪\-*·■●#>\[(]|\d+[.)]\s|https?:|[A-Z]{3,5} \[")
+_MARKED = re.compile(r"[•▪\-*·■●#>\[(]|\d+[.)]\s|https?:")
 _SIDE = (np.uint64(1), np.uint64(0x10001), np.uint64(0x1000003D))
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -243,6 +243,7 @@ class Judged:
 
 
 N_ALL = len(langid.LANGS) + 1
+SETTLED = 0.001  # concentration ends when no group gains or loses more than this share of its passages
 TOTALS = (2 << GRAM_BITS) + (N_ALL << 16)
 BINS = 8192
 EDGES = np.append(0.0, np.geomspace(1e-3, 1e6, BINS))
@@ -338,7 +339,7 @@ def _robust(reduce: Callable, weight: float = 60.0, keep: float = 0.95, steps: i
         rows = n if rows is None else rows
         if rows[-1] < 30:
             return None
-        if before is not None and (n == before).all():
+        if before is not None and (np.abs(n - before) <= SETTLED * before).all():
             break
         before = n
         means, inverses, covs = means.copy(), inverses.copy(), covs.copy()
