@@ -5,8 +5,9 @@ is a query; for an item the threshold is the least score that a passage with ``R
 nothing that could be a leak is pruned: blocks of items whose summed block maxima stay below are skipped, the
 rest is scored, and what reaches the threshold is verified on the words themselves.
 
-Scale: the index is broadcast after a check of its size (``max_index_words``); a larger test set goes through a
-shuffle join on hashes of word runs, with the same verification. Documents are read once and never shuffled.
+Scale: the index is broadcast, never more than ``max_index_words`` words at once: a larger test set is cut by a hash of its ids into
+slices, each with an index of its own, and the documents are searched slice by slice. Documents are never shuffled. Bounds are kept only for the pairs
+of passage and block that share a word, ``SLICE`` texts at a time.
 
 Defined results: null or short texts and items of fewer than ``RUN`` words give no rows; repeated items or documents give
 rows by their own ids; empty tables give an empty result; extra columns are ignored.
@@ -28,6 +29,7 @@ RUN = 12
 PASSAGE = 64
 BLOCK = 8
 MAX_INDEX_WORDS = 5_000_000
+SLICE = 512
 K1, B = 1.2, 0.75
 _WORD = re.compile(r"[^\W_]+")
 _MULT = np.uint64(1_000_003)
@@ -102,6 +104,10 @@ def _spread(start: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 def search(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int]]:
     """(text number, item number) of all leaks."""
+    return [(a + i, j) for a in range(0, len(texts), SLICE) for i, j in _search(index, texts[a:a + SLICE])]
+
+
+def _search(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int]]:
     if not len(index.item_ids):
         return []
     get = index.vocab.get
@@ -129,13 +135,16 @@ def search(index: LeakIndex, texts: list[str | None]) -> list[tuple[int, int]]:
         return []
     term, passage = np.concatenate(p_term), np.concatenate(p_of)
     which, at = _spread(index.b_start, term)
-    bound = np.bincount(passage[which] * index.n_blocks + index.b_block[at], weights=index.b_max[at], minlength=len(spans) * index.n_blocks).reshape(len(spans), index.n_blocks)
-    live = bound >= 0.999
-    need = live.any(axis=1)[passage]
+    pair, back = np.unique(passage[which] * index.n_blocks + index.b_block[at], return_inverse=True)
+    live = pair[np.bincount(back, weights=index.b_max[at], minlength=len(pair)) >= 0.999]
+    if not len(live):
+        return []
+    need = np.isin(passage, live // index.n_blocks)
     term, passage = term[need], passage[need]
     which, at = _spread(index.start, term)
     p, o, s = passage[which], index.owner[at], index.impact[at]
-    keep = live[p, o // BLOCK]
+    block = p * index.n_blocks + o // BLOCK
+    keep = live[np.minimum(np.searchsorted(live, block), len(live) - 1)] == block
     p, o, s = p[keep], o[keep], s[keep]
     n_items = len(index.item_ids)
     key, inverse = np.unique(p * n_items + o, return_inverse=True)
@@ -158,33 +167,8 @@ def _has_run(d: np.ndarray, run: np.ndarray) -> bool:
     return any(d[s] == run[0] and np.array_equal(d[s:s + len(run)], run) for s in range(len(d) - len(run) + 1))
 
 
-def _find_by_shuffle(documents: DataFrame, items: DataFrame) -> DataFrame:
-    """The way beyond the size bound: join on the words of each run; exact, hot runs are split by the adaptive skew join."""
-
-    def runs(df: DataFrame, key: str) -> DataFrame:
-        def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                k, r = [], []
-                for i, t in zip(b[key], b["text"]):
-                    w = words_of(t)
-                    seen = {" ".join(w[j:j + RUN]) for j in range(len(w) - RUN + 1)}
-                    k += [i] * len(seen)
-                    r += seen
-                yield from filled(pd.DataFrame({key: np.array(k, dtype=np.int64), f"run_{key}": r}))
-
-        return df.select(key, "text").mapInPandas(go, f"{key} long, run_{key} string")
-
-    d, i = runs(documents, "doc_id"), runs(items, "item_id")
-    return d.join(i, F.col("run_doc_id") == F.col("run_item_id")).select("doc_id", "item_id").distinct()
-
-
-def find_leaks(documents: DataFrame, items: DataFrame, max_index_words: int = MAX_INDEX_WORDS) -> DataFrame:
-    """(doc_id, item_id): documents with at least RUN consecutive words in common with an item."""
-    spark = documents.sparkSession
-    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
-    if size > max_index_words * 6:
-        return _find_by_shuffle(documents, items)
-    index = spark.sparkContext.broadcast(LeakIndex([(r["item_id"], r["text"]) for r in items.select("item_id", "text").collect()]))
+def _in_slice(documents: DataFrame, items: DataFrame) -> DataFrame:
+    index = documents.sparkSession.sparkContext.broadcast(LeakIndex([(r["item_id"], r["text"]) for r in items.select("item_id", "text").collect()]))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -192,7 +176,18 @@ def find_leaks(documents: DataFrame, items: DataFrame, max_index_words: int = MA
             ids = b["doc_id"].to_numpy()
             yield from filled(pd.DataFrame({"doc_id": np.array([ids[a] for a, _ in hits], dtype=np.int64), "item_id": np.array([index.value.item_ids[i] for _, i in hits], dtype=np.int64)}))
 
-    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long").distinct()
+    return documents.select("doc_id", "text").mapInPandas(run, "doc_id long, item_id long")
+
+
+def find_leaks(documents: DataFrame, items: DataFrame, max_index_words: int = MAX_INDEX_WORDS) -> DataFrame:
+    """(doc_id, item_id): documents with at least RUN consecutive words in common with an item."""
+    size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("n")).first()["n"]
+    slices = max(1, -(-size // (max_index_words * 6)))  # a word has some six characters
+    out = [_in_slice(documents, items if slices == 1 else items.filter(F.pmod(F.xxhash64("item_id"), F.lit(slices)) == k)) for k in range(slices)]
+    found = out[0]
+    for x in out[1:]:
+        found = found.unionByName(x)
+    return found.distinct()
 
 
 def leak_report(documents: DataFrame, items: DataFrame) -> DataFrame:
