@@ -16,7 +16,6 @@ sources with a target, or less where a cap binds; repeated rows are separate doc
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,7 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir, filled
+from ..session import filled
+from .sums import kept
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -34,8 +34,8 @@ TOLERANCE = 1e-6
 PART_ROWS = 50_000
 
 
-def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, n_tokens) with a public byte-level tokenizer's vocabulary file."""
+def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER, pattern: str = PATTERN) -> DataFrame:
+    """(doc_id, source, n_tokens) with a public byte-level tokenizer's vocabulary file and the pattern that parts texts before it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import base64
@@ -44,12 +44,6 @@ def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
 
         with open(tokenizer, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
-        try:
-            import public_tokenizers
-
-            pattern = public_tokenizers.PATTERN
-        except (ImportError, AttributeError):
-            pattern = PATTERN
         enc = tiktoken.Encoding("mix", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         for b in batches:
             n = [len(enc.encode_ordinary(t)) if t else 0 for t in b["text"]]
@@ -58,15 +52,6 @@ def count_tokens(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     return documents.select("doc_id", "source", "text").mapInPandas(run, "doc_id long, source string, n_tokens long")
 
 
-def _kept(df: DataFrame) -> DataFrame:
-    """The table written once to the shared folder and read again: it survives the loss of executors."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/tokens-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.parquet(path)
-
-
 def solve(tokens: DataFrame, targets: list[dict]) -> dict[str, dict]:
     """For each source lambda, mean length, cap and aim; the dual is solved by Newton steps kept inside a bracket."""
     base = {r["source"]: r for r in tokens.filter("n_tokens > 0").groupBy("source").agg(F.sum("n_tokens").alias("total"), F.avg("n_tokens").alias("mean")).filter("source IS NOT NULL").join(
@@ -110,7 +95,7 @@ def mix(documents: DataFrame, mix_targets: DataFrame, tokenizer: str = TOKENIZER
     if n > MAX_SOURCES:
         raise ValueError(f"mix_targets has {n} rows; the solver keeps a number per source and is meant for {MAX_SOURCES} at most")
     targets = [r.asDict() for r in mix_targets.select("source", "target_share", "max_repeats").collect()]
-    tokens = _kept(count_tokens(documents, tokenizer))
+    tokens = kept(count_tokens(documents, tokenizer), "tokens")
     state = solve(tokens, targets)
     params = spark.createDataFrame([(s, float(x["lam"]), float(x["mean"]), float(x["cap"]), float(x["share"])) for s, x in state.items()], "p_source string, lam double, mean double, cap double, target_share double")
     rate = F.least(F.exp(F.col("lam") * F.col("n_tokens") / F.col("mean")), F.col("cap"))
