@@ -67,14 +67,19 @@ def _components(pdf: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"source": [source] * len(parent), "key": list(parent), "block": [root(k) for k in parent]})
 
 
-def blocks(occ: DataFrame, nodes: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
-    """(source, key, n_docs, block): connected components over edges of high support; a source's kept graph is small (see above)."""
+def edges(occ: DataFrame, nodes: DataFrame, min_docs: int = MIN_DOCS, min_share: float = MIN_SHARE) -> DataFrame:
+    """(source, key, next_key) of kept lines that follow one another in enough of a source's documents."""
     w = Window.partitionBy("doc_id").orderBy("seq")
     follows = occ.select("doc_id", "source", "key", "seq", F.lead("key").over(w).alias("next_key"), F.lead("seq").over(w).alias("next_seq")).filter(F.col("next_seq") == F.col("seq") + 1)
-    edges = follows.groupBy("source", "key", "next_key").agg(F.count_distinct("doc_id").alias("support"))
+    # a document counts an edge once: combined per document first, so that a source's hot edge is no single task
+    support = follows.select("doc_id", "source", "key", "next_key").distinct().groupBy("source", "key", "next_key").agg(F.count(F.lit(1)).alias("support"))
     totals = nodes.select(F.col("source").alias("t_source"), "total").distinct()
-    kept = edges.join(totals, F.col("source").eqNullSafe(F.col("t_source"))).filter((F.col("support") >= min_docs) & (F.col("support") + 1e-6 >= F.col("total") * F.lit(min_share)))
-    graph = nodes.select("source", "key", F.col("key").alias("next_key")).unionByName(kept.select("source", "key", "next_key"))
+    return support.join(totals, F.col("source").eqNullSafe(F.col("t_source"))).filter((F.col("support") >= min_docs) & (F.col("support") + 1e-6 >= F.col("total") * F.lit(min_share))).select("source", "key", "next_key")
+
+
+def blocks(nodes: DataFrame, kept: DataFrame) -> DataFrame:
+    """(source, key, n_docs, block): connected components over edges of high support; a source's kept graph is small (see above)."""
+    graph = nodes.select("source", "key", F.col("key").alias("next_key")).unionByName(kept)
     # a node is an edge to itself: with a null, pandas would turn the 64-bit keys into floats
     comp = graph.groupBy("source").applyInPandas(_components, "source string, key long, block long")
     n = nodes.select(F.col("source").alias("n_source"), F.col("key").alias("n_key"), "n_docs")
@@ -86,7 +91,7 @@ def find_standing(documents: DataFrame) -> DataFrame:
     lines = line_keys(documents)
     nodes = standing_lines(lines)
     occ = occurrences(lines, nodes)
-    b = blocks(occ, nodes).select(F.col("source").alias("b_source"), F.col("key").alias("b_key"), "block")
+    b = blocks(nodes, edges(occ, nodes)).select(F.col("source").alias("b_source"), F.col("key").alias("b_key"), "block")
     return occ.join(b, (F.col("key") == F.col("b_key")) & F.col("source").eqNullSafe(F.col("b_source"))).select("doc_id", "line_no", "block")
 
 
@@ -100,3 +105,13 @@ def remove_standing(documents: DataFrame) -> DataFrame:
         .withColumn("n_removed", F.coalesce(F.size("gone"), F.lit(0)).cast("long"))
         .drop("g_doc_id", "gone")
     )
+
+
+def report(documents: DataFrame) -> DataFrame:
+    """(source, n_lines, n_edges, n_blocks): per source the kept lines, the kept edges between different lines, and the blocks that they form."""
+    lines = line_keys(documents)
+    nodes = standing_lines(lines)
+    kept = edges(occurrences(lines, nodes), nodes)
+    b = blocks(nodes, kept).groupBy("source").agg(F.count(F.lit(1)).alias("n_lines"), F.count_distinct("block").alias("n_blocks"))
+    e = kept.filter("key <> next_key").groupBy(F.col("source").alias("e_source")).agg(F.count(F.lit(1)).alias("n_edges"))
+    return b.join(e, F.col("source").eqNullSafe(F.col("e_source")), "left").select("source", "n_lines", F.coalesce("n_edges", F.lit(0)).cast("long").alias("n_edges"), "n_blocks")

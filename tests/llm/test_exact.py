@@ -57,6 +57,8 @@ def test_copies(spark):
     df = spark.createDataFrame(rows, "row_id long, id string, comment_text string")
     got = [(x["row_id_a"], x["row_id_b"]) for x in copies.pairs(df).collect()]
     assert len(got) == len(set(got)) and set(got) == want
+    m = {x["row_id"]: (x["first_id"], x["n_copies"]) for x in copies.members(df).collect()}
+    assert m == {k: (min(g), len(g)) for g in groups.values() if len(g) > 1 for k in g} and copies.members(df.limit(0)).count() == 0
     c = {x["row_id"]: x["n_copies"] for x in copies.collapse(df).collect()}
     assert sum(c.values()) == len(rows) and c[1000] == 60 and c[900] == c[901] == 1
     assert copies.pairs(df.limit(0)).count() == 0 and copies.collapse(df.limit(0)).count() == 0
@@ -84,5 +86,5 @@ def test_leaks(spark):
     want = {(i, j) for i, x in docs for j, w in items if runs(leaks.words_of(x)) & runs(w)}
     got = [(x["doc_id"], x["item_id"]) for x in leaks.find_leaks(d, t).collect()]
     assert len(got) == len(set(got)) and set(got) == want and want
-    assert {(x["doc_id"], x["item_id"]) for x in leaks.find_leaks(d, t, max_index_words=0).collect()} == want
+    assert {(x["doc_id"], x["item_id"]) for x in leaks.find_leaks(d, t, max_index_words=60).collect()} == want
     assert leaks.find_leaks(d.limit(0), t).count() == 0 and leaks.find_leaks(d, t.limit(0)).count() == 0

@@ -38,19 +38,41 @@ def test_language_frame(spark, lang_model):
     assert langid.find_in_rows(df.limit(0), b).count() == 0 and langid.segments_of_rows(df, b).count() == 2
 
 
-def test_toxic_seeds_alone(spark):
-    clean = ["The report on fees was published this week and I read it.", "회의 자료를 읽고 의견을 정리했습니다.", "El informe salió ayer y lo leí."] * 40
-    m = toxic.fit([], clean + toxic_seeds.clean())
-    bad, good = m.score(["You are a complete idiot", "너는 진짜 병신구나", "y.o.u a.r.e a c0mpl3t3 1d10t", "eres un imbécil"]), m.score(["The report on fees was published", "회의 자료를 읽었습니다", None, "", "👍"])
+CALM = ["The report on fees was published this week and I read it.", "회의 자료를 읽고 의견을 정리했습니다.", "El informe salió ayer y lo leí.", "Der Bericht kam gestern und ich habe ihn gelesen."]
+
+
+def test_toxic_lexicon_alone(spark):
+    """Without ratings the lexicon teaches; none of these sentences is in it."""
+    m = toxic.fit([], CALM * 40)
+    bad = m.score(["what an utter moron he is, honestly", "이런 개자식아 조용히 해라", "stop it, m.o.r.o.n, stop", "ese tipo es un gilipollas", "the b1tch and the b@stard"])
+    good = m.score(["The fees were published on Monday", "회의 자료를 다시 읽었습니다", None, "", "👍"])
     assert bad.min() > good.max() and good[2] == good[3] == 0
-    assert m.passages("you are a complete idiot, said nobody") and m.passages("") == []
-    df = spark.createDataFrame([(1, "a", "s", None, None, None, 0, "you are a complete idiot", None), (2, "b", None, None, None, None, 0, None, None)], U)
+    assert m.passages("what a fucking moron, said nobody") and m.passages("") == []
+    df = spark.createDataFrame([(1, "a", "s", None, None, None, 0, "fuck off, you stupid moron", None), (2, "b", None, None, None, None, 0, None, None)], U)
     b = spark.sparkContext.broadcast(m)
     got = {r["row_id"]: r for r in toxic.scores(df, b).collect()}
     assert got[1]["offensive"] and got[1]["n_passages"] >= 1 and got[2]["score"] == 0
     assert toxic.rates(df, b).count() == 1 and toxic.scores(df.limit(0), b).count() == 0
 
 
+def test_toxic_learns_turns_from_ratings():
+    """A turn of phrase without a word of the lexicon is learnt from rated rows and found in wordings that none of them has."""
+    who = ["plumbers", "bakers", "drivers", "gardeners", "painters", "teachers", "sailors", "cooks"]
+    rated = [(k, f"The lot of {who[k % 4]} ought to be flushed away for ever. {CALM[k % 4]}", 1.0, 2) for k in range(24)]
+    rated += [(100 + k, f"{who[k % 8].capitalize()} came to the meeting. {CALM[k % 4]}", 0.0, 2) for k in range(60)]
+    back = [t for _, t, _, _ in rated] + CALM * 200 + [f"We met {w} at the counter and read the report." for w in who] * 20
+    m = toxic.fit(rated, back)
+    s = m.score([f"the lot of {w} ought to be flushed away" for w in who[4:]] + [f"We met {w} again at the counter" for w in who[4:]])
+    assert s[:4].min() > s[4:].max() and (s[:4] >= m.cut).all() and (s[4:] < m.cut).all()
+
+
+def test_passages_add_up():
+    """Two significant passages are less likely by chance than one of them."""
+    m = toxic.fit([], CALM * 40)
+    part = [(0, 5, 14.0), (9, 14, 13.0)]
+    assert m.together(part, 60) > m.together(part[:1], 60) > 0 and m.together([], 60) == 0
+
+
 def test_max_segment_scan():
     """The vectorised scan against a plain one."""
     m = toxic.ToxicModel(np.random.default_rng(0).normal(0, 1, 1 << toxic.BITS).astype(np.float32))
@@ -66,31 +88,63 @@ def test_max_segment_scan():
         assert not m.passages(texts[i]) or abs(max(m.p_values(np.array([top]), np.array([1.0]))) - max(m.p_values(np.array([best[i]]), np.array([1.0])))) < 1e-6
 
 
-@pytest.fixture(scope="module")
-def pii_model():
-    return pii.fit(["오늘 회의가 있었습니다", "the meeting was long"] * 50, epochs=2)
+QUIET = ["오늘 회의가 길었습니다", "비가 와서 늦게 도착했어요", "the meeting was long and loud", "we walked home in the rain", "la reunión fue muy larga", "das Treffen war lang und laut", "昨日は雨でした", "今天开会时间很长"]
+
 
+def _words(texts):
+    total = np.zeros((2 << pii.WORD_BITS) + 1)
+    pii.word_counts(texts, total)
+    return pii.Words(total)
 
-def test_pii_held_out(pii_model):
-    hit = n = extra = 0
-    for text, gold in pii.training_set(["오늘 회의가 있었습니다"] * 20, n=400, seed=123):
-        got, want = {s.type for s in pii_model.find(text)}, {t for _, _, t in gold}
-        hit += len(got & want)
-        n += len(want)
-        extra += len(got - want)
-    assert hit / n > 0.85 and extra / n < 0.08
+
+@pytest.fixture(scope="module")
+def pii_model():
+    return pii.fit(QUIET * 40, _words(QUIET * 40), rounds=1)
+
+
+def test_pii_unseen_wordings(pii_model):
+    """Sentences written for this test: training puts values at random places and knows none of them."""
+    cases = [
+        ("Leave word at jo.kranz@postbox.net before noon", {"email"}), ("schick es bitte an lena99 [at] kiste [dot] de", {"email"}), ("제 주소창에 hana.k@uchi.org 적어 주시면 됩니다", {"email"}), ("메일은 jh7@ab.kr 이에요", {"email"}), ("anna.k ät postfach punkt de", {"email"}),
+        ("After six try 415-555-0137, I never sleep", {"phone"}), ("밤에는 010-4821-7730 이 더 빨라요", {"phone"}), ("marca el +34 612 45 78 90 y pregunta", {"phone"}), ("공일공 사팔이일 칠칠삼공 여기로요", {"phone"}),
+        ("their form printed 666-21-4839 on the cover", {"id_number"}), ("옆 사람이 900231-1234567 이라고 크게 읽더라고요", {"id_number"}), ("ponía 12345678-Z en la portada", {"id_number"}),
+        ("we used to rent 48 Bramley Lane, Flat 7, Nortwick", {"address"}), ("작년까지 송미시 다온구 해찬로 27번길 15 에 있었죠", {"address"}), ("damals in der Kerzenmacherstraße 12, 01234 Bornau", {"address"}), ("nos mudamos a calle del Molino Viejo 9, 3º A, Villarosa", {"address"}),
+        ("옆자리 남궁하람 씨한테 들었어요", {"name"}), ("박도윤 교수님 강의가 좋았죠", {"name"}), ("they asked Brunhild Ostrander to sign it", {"name"}), ("la tía Casilda Montesclaros lo vio", {"name"}),
+    ]
+    miss = [(t, want) for t, want in cases if not want <= {s.type for s in pii_model.find(t)}]
+    assert len(miss) <= 2, miss
+    plain = ["the sum was 1,204,300 in all", "release 4.12.7 came on 2024-05-17", "접수 2023-11-9042 건", "seen by 4500 people at 10:30", "표 3-2-11 을 보세요", "retired at 62.5 or later", "@nobody and user4711 wrote", "Bus 12 fährt um 8"]
+    assert sum(bool(pii_model.find(t)) for t in plain) <= 1
+
+
+def test_pii_gates_lose_nothing(pii_model):
+    """The cheap tests before the grammars change no result, on texts thrown together from pieces."""
+    r = np.random.default_rng(12)
+    pieces = ["k1@b2.io", "jh7@ab.kr", "a at b dot c", "an.na (at) x [dot] de", "x 골뱅이 y.kr", "ät", "punkt", "punto com", "010", "O1O-1234-5678", "12", "3456", "7890123", "로 15", "느티길3", "강남구", "동 7", "calle", "C/ Sol", "plaza Mayor 3", "Weg 9", "Hofstr. 4a", "Am", "oh seven six five one two three", "one", "two-three", "zero", "nine", "eight", "seven", "six", "St", "4 Elm St", "Anna", "Kovel", "ANNA", "kovel", "李明", "田中太郎さん", "東京都", "1丁目2番", "김하늘", "씨", "남궁민수", "님", "X1234567L", "12.345.678-Z", "１２３", ",", ".", "(", "[at]", "\n"]
+    for _ in range(400):
+        t = str(r.choice([" ", " ", ""])).join(r.choice(pieces, int(r.integers(1, 14))))
+        a, b = pii.candidates(t, pii_model.words), pii.candidates(t, pii_model.words, gated=False)
+        key = lambda x: sorted((s.start, s.end, s.type, sorted(s.feats)) for s in x)
+        assert key(a) == key(b), t
 
 
 def test_pii_redaction(spark, pii_model):
     assert pii_model.redact("문의: a.b@mail.example 또는 010-1234-5678") == "문의: [EMAIL] 또는 [PHONE]"
-    for t in (None, "", "접수번호 2025-26-8828 건은 아직 처리 중입니다", "x" * 50_000):
+    for t in (None, "", "x" * 50_000):
         assert pii_model.redact(t) == t
     b = spark.sparkContext.broadcast(pii_model)
-    df = spark.createDataFrame([(1, "a", "s", None, None, "문의: a@b.example", 0, "연락처 010-1234-5678 남겨요", None), (2, "b", "s", None, None, None, 0, None, None)], U)
+    df = spark.createDataFrame([(1, "a", "s", None, None, "문의: a@b.example", 0, "연락 010-1234-5678", None), (2, "b", "s", None, None, None, 0, None, None)], U)
     assert {tuple(r) for r in pii.find(df, b).collect()} == {(1, "text", "email"), (1, "comment_text", "phone")}
     assert pii.redact(df, b).count() == 2 and pii.find(df.limit(0), b).count() == 0
 
 
+def test_pii_counts_words_of_all_rows(spark):
+    df = spark.createDataFrame([(k, "a", "s", None, None, "body word", None if k % 3 == 0 else 0, "said Word twice word", None) for k in range(3000)], U).repartition(4)
+    total, want = pii.count_words(df), np.zeros((2 << pii.WORD_BITS) + 1)
+    pii.word_counts(["body word\nsaid Word twice word" if k % 3 == 0 else "said Word twice word" for k in range(3000)], want)
+    assert (total == want).all() and total[-1] == 3000
+
+
 @pytest.fixture(scope="module")
 def labeller():
     r = np.random.default_rng(0)

@@ -37,7 +37,7 @@ def test_abuse_counts_every_comment(spark):
     assert len(labelled) == 5
     got, want = toxic.trained(spark, df, ratings).value, toxic.fit(labelled, texts)
     assert np.allclose(got.odds, want.odds, atol=1e-4) and abs(got.lam - want.lam) < 1e-3 and abs(got.k - want.k) < 1e-3 * want.k + 1e-9
-    rare = np.concatenate([x[x >= 0] for x in toxic.grams(toxic.pack(["wombatsjuggledjonquils"])[0])[3:]])
+    rare = np.concatenate([x[ok] for x, ok in list(toxic.grams(toxic.pack(["wombatsjuggledjonquils"])[0]))[3:]])
     assert (got.odds[rare] < 0).mean() > 0.9  # three comments of 26,000 are evidence for clean
 
 
@@ -57,7 +57,7 @@ def test_cut_has_one_rule():
     clean = [f"The report number {k} about the garden came late." for k in range(200)]
 
     def cut(n, raters=1):
-        rated = [(k, f"You are a complete idiot and number {k}", 1.0, raters) for k in range(n)] + [(1000 + k, t, 0.0, raters) for k, t in enumerate(clean)]
+        rated = [(k, f"You utter moron, fuck off with number {k}", 1.0, raters) for k in range(n)] + [(1000 + k, t, 0.0, raters) for k, t in enumerate(clean)]
         return toxic.fit(rated, clean).cut
 
     few, below, above = cut(6), cut(59), cut(61)
@@ -74,3 +74,6 @@ def test_standing_blocks_are_components(spark):
     got = {(r["line_no"], r["block"]) for r in standing.find_standing(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect() if r["doc_id"] == 1}
     block = dict(got)
     assert len(got) == 4 and block[0] == block[1] == block[2] != block[4]
+    rows = [(k, f"Rights reserved\nShare this page\nAll about us\nown {chr(97 + k % 26)}{chr(97 + k // 26)}", "a") for k in range(40)]
+    report = standing.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert [(r["n_lines"], r["n_edges"], r["n_blocks"]) for r in report] == [(3, 2, 1)]
