@@ -22,18 +22,16 @@ def _posts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unified(spark, d)
-    return toxic.scores(rows, toxic.trained(spark, rows, table(spark, d, "review_labels"))).filter("offensive").select("row_id")
+    return p1_scores(spark, d).filter("offensive").select("row_id")
 
 
 def p1_scores(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unified(spark, d)
-    return toxic.scores(rows, toxic.trained(spark, rows, table(spark, d, "review_labels")))
+    model, letters = toxic.trained(spark, _unified(spark, d), table(spark, d, "review_labels"))
+    return toxic.scores_of_letters(letters, model)
 
 
 def p1_rates(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unified(spark, d)
-    return toxic.rates(rows, toxic.trained(spark, rows, table(spark, d, "review_labels")))
+    return toxic.rates(p1_scores(spark, d))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:

@@ -13,8 +13,8 @@ count as abusive, so that turns nobody has rated are learnt too. Languages weigh
 sentences on, counts are taken in proportion to that many, so that evidence means the same at every size. The cut is the one
 that the rated rows support best, drawn towards ``CUT`` by as much as there are few of them.
 
-Scale: the comments' letters are kept once in the shared folder; each round sums n-gram counts and score histograms of fixed size over
-all of them. Scoring is one narrow pass, no shuffle; the table of log-odds (4 MB) is broadcast. Only the rated rows' texts are joined, by a broadcast
+Scale: the comments' letters are kept once in the shared folder, each round's scores beside them; a round sums n-gram counts and score histograms of
+fixed size over all of them, and the final scores are read from the same letters. Scoring is one narrow pass, no shuffle; the table of log-odds (4 MB) is broadcast. Only the rated rows' texts are joined, by a broadcast
 of at most ``TRAIN_RATED`` keys.
 
 Defined results: null, blank and wordless texts score 0; repeated rows score alike; without ratings the seeds alone teach; rates
@@ -66,8 +66,11 @@ _LAUGH = re.compile("[ㅋㅎㅉㅠㅜㅡᄏ후ᅲ]+")
 _ADDRESS = re.compile(r"\S*[\w.]@[\w-]+\.\S*|https?://\S+|\S+ ?[\[(]at[\])] ?[\w-]+(?:(?:\.| ?[\[(]dot[\])] ?)[\w-]+)*|\S+ at [\w-]+(?: dot [\w-]+)+|\S+ 골뱅이 \S+", re.I)
 _LETTERS = re.compile(r"[^\W\d_]+|\x01+")
 BREAK = "\x01"
+_KO, _JA = re.compile("[가-힣ㄱ-ㅎ]"), re.compile("[ぁ-ヶ]")
 _STEP = np.uint32(0x9E3779B1)
 _POWERS = [np.uint32(pow(0x85EBCA6B, k, 1 << 32) | 1) for k in range(max(ORDERS))]
+NOTHING = 1 << BITS
+_SEEN = np.array([max(1e-9, sum(w for w, o in zip(WEIGHTS, ORDERS) if o <= k)) for k in range(ORDERS[-1] + 1)], np.float32)
 CHUNK = 60_000  # letters at a time, so that the arrays stay in the cache
 
 
@@ -95,11 +98,12 @@ def pack(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.cumsum(end) - end
 
 
-def grams(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each order the hashed n-gram that ends at each position, and whether it lies within one sentence."""
+def grams(codes: np.ndarray, out_of: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each order the hashed n-gram that ends at each position, and whether it lies within one sentence; with ``out_of``, n-grams that don't get the
+    id ``NOTHING`` instead and the letters since the sentence began come second."""
     n = len(codes)
     at = np.arange(n, dtype=np.int32)
-    run = at - np.maximum.accumulate(np.where(codes <= 1, at, -1))  # letters since the sentence began
+    run = at - np.maximum.accumulate(np.where(codes <= 1, at, np.int32(-1)))
     h = codes * _STEP
     past = 1
     for order in ORDERS:
@@ -112,26 +116,34 @@ def grams(codes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         x *= np.uint32(0x2C1B3C6D)
         x ^= x >> np.uint32(12)
         x *= np.uint32(0x297A2D39)
-        yield x >> np.uint32(32 - BITS), run >= order
+        x >>= np.uint32(32 - BITS)
+        if out_of is None:
+            yield x, run >= order
+        else:
+            x[run < order] = NOTHING
+            yield x, run
 
 
 class ToxicModel:
     """Log-odds of hashed n-grams, the extreme-value parameters and the cut."""
 
     def __init__(self, odds: np.ndarray):
-        self.odds, self.lam, self.k, self.cut = odds, 1.0, 0.1, CUT
+        self.odds, self.lam, self.k, self.cut = np.append(odds, np.float32(0)), 1.0, 0.1, CUT  # last: no n-gram
 
     def odds_of(self, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
-        return self.odds[ids]
+        return self.odds.take(ids)
 
     def positions(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The score of each position and the text that it belongs to; the position after a text scores so low that it ends every passage."""
         codes, of = pack(squashed)
-        total, seen = np.zeros(len(codes), np.float32), np.full(len(codes), 1e-9, np.float32)
-        for w, (ids, ok) in zip(WEIGHTS, grams(codes)):
-            total += np.float32(w) * self.odds_of(ids, of) * ok
-            seen += np.float32(w) * ok
-        s = (total / seen).astype(np.float64) - DRIFT  # the orders that fit before this position
+        total = np.zeros(len(codes), np.float32)
+        run = None
+        for w, (ids, run) in zip(WEIGHTS, grams(codes, 0)):
+            part = self.odds_of(ids, of)
+            part *= np.float32(w)
+            total += part
+        total /= _SEEN[np.minimum(run, ORDERS[-1])]  # the orders that fit before this position
+        s = total.astype(np.float64) - DRIFT
         s[codes >= 0x1100] *= SYLLABLE
         s[codes == 0] = -1e6
         return s, of
@@ -156,6 +168,12 @@ class ToxicModel:
         top[of[first]] = np.maximum(np.maximum.reduceat(gain, first), 0.0)
         return top, np.bincount(of[real], minlength=n).astype(np.float64)
 
+    def rule(self) -> ToxicModel:
+        """The extreme-value parameters alone."""
+        out = ToxicModel(np.zeros(0, np.float32))
+        out.lam, out.k = self.lam, self.k
+        return out
+
     def p_values(self, score: np.ndarray, letters: np.ndarray) -> np.ndarray:
         """The chance that clean text of that length holds a passage of that score."""
         return -np.expm1(-self.k * np.maximum(letters, 1) * np.exp(-self.lam * score))
@@ -166,16 +184,23 @@ class ToxicModel:
         which = [unique.setdefault(squash(t), len(unique)) if t else -1 for t in texts]
         out = np.zeros(len(texts))
         if unique:
-            names = list(unique)
-            s, n = self.best(names)
-            p = self.p_values(s, n)
-            value = np.where(s > 0, -np.log10(np.maximum(p, 1e-12)), 0.0)
-            for i in np.flatnonzero((p <= ALPHA) & (s > 0)):
-                value[i] = max(value[i], self.together(self._segments(names[i]), n[i]))
             at = np.array(which)
-            out[at >= 0] = value[at[at >= 0]]
+            out[at >= 0] = self.judge(list(unique))[0][at[at >= 0]]
         return out
 
+    def judge(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(-log10 p, number of passages beyond the cut) of squashed texts."""
+        s, n = self.best(squashed)
+        p = self.p_values(s, n)
+        value, count = np.where(s > 0, -np.log10(np.maximum(p, 1e-12)), 0.0), np.zeros(len(squashed), dtype=np.int64)
+        for i in np.flatnonzero((p <= ALPHA) & (s > 0)):
+            found = self._segments(squashed[i])
+            value[i] = max(value[i], self.together(found, n[i]))
+            if value[i] >= self.cut:
+                each = self.p_values(np.array([x for _, _, x in found]), np.full(len(found), n[i]))
+                count[i] = max(1, int((-np.log10(np.maximum(each, 1e-12)) >= self.cut).sum()))
+        return value, count
+
     def together(self, segments: list[tuple[int, int, float]], letters: float) -> float:
         """-log10 of the p-value of the significant passages of a text: of the sums of its r best, normalised, the least likely, each r weighing half
         of the one before."""
@@ -259,7 +284,7 @@ class _Apart(ToxicModel):
     """The model of some sentences without what each of them has taught it itself."""
 
     def __init__(self, model: ToxicModel, bad: np.ndarray, good: np.ndarray, own: np.ndarray):
-        self.bad, self.good, self.own, self.lam, self.k = bad, good, own, model.lam, model.k
+        self.bad, self.good, self.own, self.lam, self.k = np.append(bad, 0.0), np.append(good, 0.0), own, model.lam, model.k
         self.nb, self.nc = bad.sum(), good.sum()
 
     def scores(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -271,7 +296,9 @@ class _Apart(ToxicModel):
 
     def odds_of(self, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
         own = np.append(self.own, 0.0)[of]
-        return log_odds(np.maximum(self.bad[ids] - own, 0.0), self.good[ids], self.nb, self.nc)
+        d = log_odds(np.maximum(self.bad[ids] - own, 0.0), self.good[ids], self.nb, self.nc)
+        d[ids == NOTHING] = 0.0
+        return d
 
 
 def training_sample(unified_rows: DataFrame, review_labels: DataFrame, n_rated: int = TRAIN_RATED):
@@ -289,9 +316,19 @@ def sentences(text: str) -> list[str]:
 
 
 def _langs(model: langid.LangModel, texts: list[str]) -> np.ndarray:
-    if not texts:
-        return np.zeros(0, np.int64)
-    return model.word_scores([t or "-" for t in texts]).argmax(axis=1)
+    """The language of each text; Hangul and kana tell it at once."""
+    out = np.zeros(len(texts), np.int64)
+    rest = []
+    for i, t in enumerate(texts):
+        if _KO.search(t):
+            out[i] = langid.LANGS.index("ko")
+        elif _JA.search(t):
+            out[i] = langid.LANGS.index("ja")
+        else:
+            rest.append(i)
+    if rest:
+        out[rest] = model.word_scores([texts[i] or "-" for i in rest]).argmax(axis=1)
+    return out
 
 
 class _Balance:
@@ -312,14 +349,16 @@ class _Balance:
 
 
 class Part:
-    """The different squashed comments and sentences of some texts, how often each occurs, and the sentences' languages."""
+    """The different squashed comments and sentences of some texts, how often each occurs, the sentences' languages and, once read by a model, their
+    scores."""
 
     def __init__(self, wholes: list[str], n_wholes: np.ndarray, parts: list[str], n_parts: np.ndarray, of: np.ndarray):
         self.wholes, self.n_wholes, self.parts, self.n_parts, self.of = wholes, n_wholes, parts, n_parts, of
+        self.s = self.n = np.zeros(0)
 
     @classmethod
-    def read(cls, texts: Iterable[str], langs: langid.LangModel) -> Part:
-        wholes = Counter(x for t in texts if (x := squash(t)))
+    def read(cls, squashed: Iterable[str], langs: langid.LangModel) -> Part:
+        wholes = Counter(x for x in squashed if x)
         parts: Counter[str] = Counter()
         for w, n in wholes.items():
             for x in w.split(BREAK):
@@ -332,21 +371,29 @@ class Part:
         total += np.bincount(self.of, weights=self.n_parts, minlength=len(total))
 
     def clean(self, model: ToxicModel | None, weights: np.ndarray, total: np.ndarray) -> None:
-        """Adds the n-grams of the sentences that the model doesn't score high and, behind them, of those that it scores very high."""
+        """Adds the n-grams of the sentences that the model, which has read them, doesn't score high and, behind them, of those that it scores very high."""
         w, n = self.n_parts * weights[self.of], 1 << BITS
         if model is None or not self.parts:
             total[:n] += _counts(self.parts, w)
             return
-        p = model.p_values(*model.best(self.parts))
+        p = model.p_values(self.s, self.n)
         total[:n] += _counts(self.parts, w * (p > SUSPECT))
         sure = np.flatnonzero(p <= CERTAIN)
         total[n:] += _counts([self.parts[i] for i in sure], w[sure])
 
-    def scores(self, model: ToxicModel, whole: bool, total: np.ndarray) -> None:
-        """Adds the histograms of the scores and letters of the sentences or the comments."""
-        texts, times = (self.wholes, self.n_wholes) if whole else (self.parts, self.n_parts)
-        if texts:
-            _histogram(*model.best(texts), times, total)
+    def scored(self, model: ToxicModel) -> None:
+        """Reads the sentences."""
+        self.s, self.n = model.best(self.parts) if self.parts else (np.zeros(0), np.zeros(0))
+
+    def histogram(self, total: np.ndarray) -> None:
+        """Adds the histograms of the sentences' scores and letters."""
+        if len(self.n_parts):
+            _histogram(self.s, self.n, self.n_parts, total)
+
+    def of_wholes(self, model: ToxicModel, total: np.ndarray) -> None:
+        """Adds the histograms of the comments' scores and letters."""
+        if self.wholes:
+            _histogram(*model.best(self.wholes), self.n_wholes, total)
 
 
 def _histogram(s: np.ndarray, n: np.ndarray, times: np.ndarray, total: np.ndarray) -> None:
@@ -355,39 +402,95 @@ def _histogram(s: np.ndarray, n: np.ndarray, times: np.ndarray, total: np.ndarra
         total[k * TOP:(k + 1) * TOP] += np.bincount(np.minimum(v, TOP - 1).astype(np.int64), weights=times[ok], minlength=TOP)
 
 
-def fit(labelled: list[tuple], background: list[str]) -> ToxicModel:
-    """Fit on lists."""
-    langs = langid.fit([])
-    part = Part.read(background, langs)
+class _List:
+    """All comments as one part, in memory."""
 
-    def reduce(f: Callable, size: int) -> np.ndarray:
+    def __init__(self, background: list[str], langs: langid.LangModel):
+        self.part = Part.read((squash(t) for t in background if t), langs)
+
+    def sum(self, f: Callable, size: int, columns: tuple[str, ...] = ()) -> np.ndarray:
         total = np.zeros(size)
-        f(part, total)
+        f(self.part, total)
         return total
 
-    return _fit(labelled, langs, reduce)
+    def read_by(self, model: ToxicModel) -> None:
+        self.part.scored(model)
 
+    def send(self, value):
+        return _Here(value)
 
-def fit_all(labelled: list[tuple], unified_rows: DataFrame) -> ToxicModel:
-    """Fit on the rated rows and all comments."""
-    langs = langid.fit([])
-    sent = unified_rows.sparkSession.sparkContext.broadcast(langs)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            p = Part.read(b["comment_text"], sent.value)
-            yield pd.DataFrame({"wholes": ["\n".join(p.wholes)], "n_wholes": [p.n_wholes.tobytes()], "parts": ["\n".join(p.parts)], "n_parts": [p.n_parts.tobytes()], "langs": [p.of.astype(np.uint8).tobytes()]})
+_TEXTS, _ARRAYS = ("wholes", "parts"), {"n_wholes": np.int64, "n_parts": np.int64, "langs": np.uint8, "s": np.float32, "n": np.float32}
+LETTERS = "keys binary, sources string, which binary, wholes string, n_wholes binary, parts string, n_parts binary, langs binary, s binary, n binary"
+
+
+def _parts_of(b: pd.DataFrame) -> Iterator[Part]:
+    """The parts that the rows of a kept table hold, as far as their columns were read."""
+    for i in range(len(b)):
+        text = {c: (b[c].iloc[i].split("\n") if b[c].iloc[i] else []) if c in b else [] for c in _TEXTS}
+        array = {c: np.frombuffer(b[c].iloc[i], t) if c in b else np.zeros(0, t) for c, t in _ARRAYS.items()}
+        part = Part(text["wholes"], array["n_wholes"], text["parts"], array["n_parts"], array["langs"].astype(np.int64))
+        part.s, part.n = array["s"].astype(np.float64), array["n"].astype(np.float64)
+        yield part
+
+
+class _Table:
+    """All comments, their letters kept in the shared folder; a model's scores of the sentences are kept beside them."""
+
+    def __init__(self, rows: DataFrame, langs: langid.LangModel):
+        sent = rows.sparkSession.sparkContext.broadcast(langs)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                squashed = [squash(t) if t else "" for t in b["comment_text"]]
+                p = Part.read(squashed, sent.value)
+                at = {w: i for i, w in enumerate(p.wholes)}
+                which = np.array([-2 if t is None else at.get(x, -1) for t, x in zip(b["comment_text"], squashed)], np.int32)
+                sources = "\n".join("" if x is None else "=" + x.replace("\n", " ") for x in b["source"])
+                yield pd.DataFrame({
+                    "keys": [b["row_id"].to_numpy(np.int64).tobytes()], "sources": [sources], "which": [which.tobytes()], "wholes": ["\n".join(p.wholes)], "n_wholes": [p.n_wholes.tobytes()],
+                    "parts": ["\n".join(p.parts)], "n_parts": [p.n_parts.tobytes()], "langs": [p.of.astype(np.uint8).tobytes()], "s": [b""], "n": [b""],
+                })
 
-    kept = sums.kept(unified_rows.filter("comment_text IS NOT NULL").select("comment_text").mapInPandas(run, "wholes string, n_wholes binary, parts string, n_parts binary, langs binary"), "letters")
+        self.kept = sums.kept(rows.select("row_id", "source", "comment_text").mapInPandas(run, LETTERS), "letters")
+        self.scored = self.kept
 
-    def reduce(f: Callable, size: int) -> np.ndarray:
+    def sum(self, f: Callable, size: int, columns: tuple[str, ...] = ("parts", "n_parts", "langs", "s", "n")) -> np.ndarray:
         def add(b: pd.DataFrame, total: np.ndarray) -> None:
-            for w, nw, p, np_, of in zip(b["wholes"], b["n_wholes"], b["parts"], b["n_parts"], b["langs"]):
-                f(Part(w.split("\n") if w else [], np.frombuffer(nw, np.int64), p.split("\n") if p else [], np.frombuffer(np_, np.int64), np.frombuffer(of, np.uint8).astype(np.int64)), total)
+            for p in _parts_of(b):
+                f(p, total)
 
-        return sums.summed(kept, add, size)
+        return sums.summed((self.kept if "wholes" in columns else self.scored).select(*columns), add, size)
 
-    return _fit(labelled, langs, reduce, unified_rows.sparkSession.sparkContext.broadcast)
+    def read_by(self, model: ToxicModel) -> None:
+        sent = self.send(model)
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                s, n = [], []
+                for p in _parts_of(b):
+                    p.scored(sent.value)
+                    s.append(p.s.astype(np.float32).tobytes())
+                    n.append(p.n.astype(np.float32).tobytes())
+                yield b.assign(s=s, n=n)
+
+        self.scored = sums.kept(self.kept.select("parts", "n_parts", "langs").mapInPandas(run, "parts string, n_parts binary, langs binary, s binary, n binary"), "scored")
+
+    def send(self, value):
+        return self.kept.sparkSession.sparkContext.broadcast(value)
+
+
+def fit(labelled: list[tuple], background: list[str]) -> ToxicModel:
+    """Fit on lists."""
+    langs = langid.fit([])
+    return _fit(labelled, langs, _List(background, langs))
+
+
+def fit_all(labelled: list[tuple], unified_rows: DataFrame) -> tuple[ToxicModel, DataFrame]:
+    """Fit on the rated rows and all comments; also all comments' letters, as kept."""
+    langs = langid.fit([])
+    table = _Table(unified_rows, langs)
+    return _fit(labelled, langs, table), table.kept
 
 
 class _Here:
@@ -397,15 +500,15 @@ class _Here:
         self.value = value
 
 
-def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send: Callable = _Here) -> ToxicModel:
-    """Rounds of counting over sentences; ``reduce(f, size)`` sums over all comments. Of a row rated abusive only its worst sentence counts as
+def _fit(labelled: list[tuple], langs: langid.LangModel, data: _List | _Table) -> ToxicModel:
+    """Rounds of counting over the sentences of all comments. Of a row rated abusive only its worst sentence counts as
     abusive, as the others may be clean; sentences of the background that score high stop counting as clean. Then calibration and the choice of
     the cut."""
     seeds, clean = [squash(t) for t in toxic_seeds.phrases()], [squash(t) for t in toxic_seeds.clean()]
     pos = [(x, RATED if n > 1 else 0.5 * RATED) for _, t, share, n in labelled if share == 1.0 and (x := sentences(t))]
     neg = [(y, RATED if n > 1 else 0.5 * RATED) for _, t, share, n in labelled if share == 0.0 for y in sentences(t)]
     flat = [y for x, _ in pos for y in x]
-    room = reduce(lambda p, total: p.rooms(total), len(langid.LANGS))
+    room = data.sum(lambda p, total: p.rooms(total), len(langid.LANGS), ("n_parts", "langs"))
     back = bool(room.any())
     even = np.sqrt(np.maximum(room, 1).max() / np.maximum(room, 1)) * min(1.0, FULL / max(np.sqrt(room).sum() * np.sqrt(room.max()), 1.0))
     balance = _Balance(langs, seeds, room * even if back else np.bincount(_langs(langs, [y for y, _ in neg]), minlength=len(langid.LANGS)))
@@ -418,15 +521,15 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send:
     share = 1.0 / size[owner] if pos else np.ones(0)
     model = None
     for _ in range(ROUNDS):
-        sent = send(model)
-        kept = reduce(lambda p, total, m=sent: p.clean(m.value, back_weight, total), 2 << BITS).reshape(2, -1) if back else np.zeros((2, 1))
+        rule = model.rule() if model else None
+        kept = data.sum(lambda p, total, m=rule: p.clean(m, back_weight, total), 2 << BITS).reshape(2, -1) if back else np.zeros((2, 1))
         bad = seed_counts + _counts(flat, weight * share * flat_weight) + LEARNT * kept[1]
         own = _counts(flat, share * back_weight[_langs(langs, flat)]) if back and flat else 0.0  # rated abuse stands in the background too
         good = clean_counts + np.maximum(kept[0] - own, 0.0) + _counts(flat, weight * (1 - share) * flat_weight)
         model = ToxicModel(log_odds(bad, good))
         if back:
-            sent = send(model)
-            _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, False, total), 2 * TOP))
+            data.read_by(model)
+            _calibrate(model, data.sum(lambda p, total: p.histogram(total), 2 * TOP, ("n_parts", "s", "n")))
         if flat:
             apart = _Apart(model, bad, good, weight * share * flat_weight)
             s, n = apart.scores(flat)
@@ -435,8 +538,8 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, reduce: Callable, send:
             soft = np.exp(np.maximum(model.lam * (s - top[owner]), -30.0))
             share = soft / np.bincount(owner, weights=soft, minlength=len(pos))[owner]
             share *= np.where(model.p_values(top, np.bincount(owner, weights=n, minlength=len(pos))) <= UNSUPPORTED, 1.0, DOUBT)[owner]  # raters err
-    sent = send(model)
-    _calibrate(model, reduce(lambda p, total, m=sent: p.scores(m.value, True, total), 2 * TOP))
+    sent = data.send(model)
+    _calibrate(model, data.sum(lambda p, total: p.of_wholes(sent.value, total), 2 * TOP, ("wholes", "n_wholes")))
     truth = [(t, y, 1.0 if n > 1 else 0.5) for _, t, y, n in labelled if y in (0.0, 1.0)]
     if truth:
         value, y = model.score([t for t, _, _ in truth]), np.array([y for _, y, _ in truth])
@@ -486,34 +589,53 @@ def _calibrate(model: ToxicModel, histograms: np.ndarray) -> None:
     model.k = float(-np.log1p(-over.sum() / n) / max(_at(letters, 0.5), 1.0) * np.exp(model.lam * lo / STEPS))
 
 
-def trained(spark: SparkSession, unified_rows: DataFrame, review_labels: DataFrame) -> Broadcast:
-    """The model, fitted on the rated rows and all comments, and sent to the executors."""
-    return spark.sparkContext.broadcast(fit_all(training_sample(unified_rows, review_labels), unified_rows))
+def trained(spark: SparkSession, unified_rows: DataFrame, review_labels: DataFrame) -> tuple[Broadcast, DataFrame]:
+    """The model, fitted on the rated rows and all comments, sent to the executors, and the comments' letters."""
+    model, letters = fit_all(training_sample(unified_rows, review_labels), unified_rows)
+    return spark.sparkContext.broadcast(model), letters
+
+
+SCORES = "row_id long, source string, score double, offensive boolean, n_passages long, has_comment boolean"
 
 
 def scores(unified_rows: DataFrame, model: Broadcast) -> DataFrame:
     """(row_id, source, score, offensive, n_passages, has_comment): every row with its score."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = model.value
         for b in batches:
             for a in range(0, len(b), 8192):
                 part = b.iloc[a:a + 8192]
-                texts = part["comment_text"].tolist()
-                score = m.score(texts)
-                bad = score >= m.cut
-                count = np.zeros(len(part), dtype=np.int64)
-                for i in np.flatnonzero(bad):
-                    count[i] = sum(1 for _, _, p in m.passages(texts[i]) if p >= m.cut)
-                yield from filled(pd.DataFrame({"row_id": part["row_id"], "source": part["source"], "score": score, "offensive": bad, "n_passages": count, "has_comment": part["comment_text"].notna()}))
+                unique: dict[str, int] = {}
+                which = np.array([-2 if t is None else unique.setdefault(x, len(unique)) if (x := squash(t)) else -1 for t in part["comment_text"]], np.int64)
+                yield from filled(_scored(model.value, part["row_id"].to_numpy(), part["source"].tolist(), which, list(unique)))
+
+    return unified_rows.select("row_id", "source", "comment_text").mapInPandas(run, SCORES)
+
+
+def scores_of_letters(letters: DataFrame, model: Broadcast) -> DataFrame:
+    """The same from the letters that ``trained`` has kept."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for keys, sources, which, wholes in zip(b["keys"], b["sources"], b["which"], b["wholes"]):
+                yield from filled(_scored(model.value, np.frombuffer(keys, np.int64), [x[1:] if x else None for x in sources.split("\n")], np.frombuffer(which, np.int32), wholes.split("\n") if wholes else []))
+
+    return letters.select("keys", "sources", "which", "wholes").mapInPandas(run, SCORES)
+
 
-    return unified_rows.select("row_id", "source", "comment_text").mapInPandas(run, "row_id long, source string, score double, offensive boolean, n_passages long, has_comment boolean")
+def _scored(model: ToxicModel, keys: np.ndarray, sources: list, which: np.ndarray, wholes: list[str]) -> pd.DataFrame:
+    value, count = model.judge(wholes) if wholes else (np.zeros(0), np.zeros(0, np.int64))
+    value, count = np.append(value, 0.0), np.append(count, 0)  # last: no letters
+    at = np.where(which < 0, len(wholes), which)
+    score = value[at]
+    bad = score >= model.cut
+    return pd.DataFrame({"row_id": keys, "source": sources, "score": score, "offensive": bad, "n_passages": np.where(bad, count[at], 0), "has_comment": which > -2})
 
 
-def rates(unified_rows: DataFrame, model: Broadcast) -> DataFrame:
-    """(source, n_rows, n_offensive, rate, mean_score) per source."""
+def rates(scored: DataFrame) -> DataFrame:
+    """(source, n_rows, n_offensive, rate, mean_score) per source, of the rows of ``scores``."""
     return (
-        scores(unified_rows, model).filter("has_comment").groupBy("source")
+        scored.filter("has_comment").groupBy("source")
         .agg(F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("offensive").cast("long")).alias("n_offensive"), F.avg("score").alias("mean_score"))
         .withColumn("rate", F.col("n_offensive") / F.col("n_rows"))
     )

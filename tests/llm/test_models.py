@@ -52,7 +52,7 @@ def test_toxic_lexicon_alone(spark):
     b = spark.sparkContext.broadcast(m)
     got = {r["row_id"]: r for r in toxic.scores(df, b).collect()}
     assert got[1]["offensive"] and got[1]["n_passages"] >= 1 and got[2]["score"] == 0
-    assert toxic.rates(df, b).count() == 1 and toxic.scores(df.limit(0), b).count() == 0
+    assert toxic.rates(toxic.scores(df, b)).count() == 1 and toxic.scores(df.limit(0), b).count() == 0
 
 
 def test_toxic_learns_turns_from_ratings():

@@ -35,7 +35,10 @@ def test_abuse_counts_every_comment(spark):
     ratings = spark.createDataFrame([(k, False) for k in range(5)], "row_id long, offensive boolean")
     labelled = toxic.training_sample(df, ratings)
     assert len(labelled) == 5
-    got, want = toxic.trained(spark, df, ratings).value, toxic.fit(labelled, texts)
+    (sent, letters), want = toxic.trained(spark, df, ratings), toxic.fit(labelled, texts)
+    got = sent.value
+    a, b = toxic.scores(df, sent), toxic.scores_of_letters(letters, sent)
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and b.count() == len(texts) + 1
     assert np.allclose(got.odds, want.odds, atol=1e-4) and abs(got.lam - want.lam) < 1e-3 and abs(got.k - want.k) < 1e-3 * want.k + 1e-9
     rare = np.concatenate([x[ok] for x, ok in list(toxic.grams(toxic.pack(["wombatsjuggledjonquils"])[0]))[3:]])
     assert (got.odds[rare] < 0).mean() > 0.9  # three comments of 26,000 are evidence for clean
