@@ -18,59 +18,81 @@ SITE_RULES = (
 ARTICLE_DROPPED = ("fbclid", "gclid", "mc_cid", "mc_eid")
 
 
-def parts(url: Column) -> dict[str, Column]:
-    """Scheme and host in lower case without user and default port, path, and the raw query."""
-    bare = F.regexp_replace(F.trim(url), "#.*$", "")
-    scheme = F.lower(F.regexp_extract(bare, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    rest = F.regexp_replace(bare, "^[A-Za-z][A-Za-z0-9+.-]*://", "")
-    host = F.lower(F.regexp_replace(F.regexp_extract(rest, "^([^/?]*)", 1), "^.*@", ""))
-    host = F.regexp_replace(host, ":(80|443)$", "")
-    path = F.regexp_extract(rest, "^[^/?]*([^?]*)", 1)
-    query = F.when(F.contains(rest, F.lit("?")), F.regexp_replace(rest, r"^[^?]*\?", "")).otherwise(F.lit(""))
-    return {"scheme": scheme, "host": host, "path": path, "query": query}
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+_SHAPE = r"^(?:([A-Za-z][A-Za-z0-9+.-]*):)?(?://([^/?]*))?([^?]*)(?:\?(.*))?$"
+
+
+def parsed(url: Column, use) -> Column:
+    """``use(p)`` with p the struct scheme, host (lower case, without user; other ports than 80 and 443 stay), path and query; no fragment and, as
+    ``;params`` of the last segment name no page, none of these."""
+
+    def split(bare: Column) -> Column:
+        part = lambda i: F.regexp_extract(bare, _SHAPE, i)
+        host = F.regexp_replace(F.regexp_replace(F.lower(part(2)), "^.*@", ""), ":(80|443)?$", "")
+        path = F.regexp_replace(part(3), ";[^/]*$", "")
+        return F.struct(F.lower(part(1)).alias("scheme"), host.alias("host"), path.alias("path"), part(4).alias("query"))
+
+    return let(F.regexp_replace(F.trim(url), "#.*$", ""), lambda bare: let(split(bare), use))
+
+
+def host_of(url: Column) -> Column:
+    return parsed(url, lambda p: p["host"])
 
 
 def pairs(query: Column) -> Column:
-    """(k, v) of a query, decoded; empty values are left out."""
-    items = F.filter(F.split(query, "&"), lambda x: F.contains(x, F.lit("=")))
+    """(k, v) of a query, decoded; a name without a value has an empty one."""
+    items = F.filter(F.split(query, "&"), lambda x: x != "")
     decode = lambda x: F.coalesce(F.try_url_decode(F.replace(x, F.lit("+"), F.lit(" "))), x)
-    kv = F.transform(items, lambda x: F.struct(decode(F.substring_index(x, "=", 1)).alias("k"), decode(F.regexp_replace(x, "^[^=]*=", "")).alias("v")))
-    return F.filter(kv, lambda p: p["v"] != "")
+    value = lambda x: F.when(F.contains(x, F.lit("=")), F.regexp_replace(x, "^[^=]*=", "")).otherwise(F.lit(""))
+    return F.transform(items, lambda x: F.struct(decode(F.substring_index(x, "=", 1)).alias("k"), decode(value(x)).alias("v")))
 
 
 def in_(key: Column, names: tuple[str, ...]) -> Column:
     return key.isin(*names) if names else F.lit(False)
 
 
-def only(kv: Column, keys: tuple[str, ...]) -> Column:
-    """The pairs whose key is one of ``keys``."""
-    return F.filter(kv, lambda x: in_(F.lower(x["k"]), keys))
+def allowed(p: Column, kv: Column) -> Column:
+    """The query keys that identify a page: its site's, else article ids and their companions if there is one; null for all."""
+    words = lambda names: F.array(*[F.lit(x) for x in names]).cast("array<string>")
+    path = F.lower(p["path"])
+    chosen = None
+    for host, where, keys in SITE_RULES:
+        hit = F.endswith(p["host"], F.lit(host)) & ((path == where[1:]) if where.startswith("=") else F.contains(path, F.lit(where)))
+        chosen = F.when(hit, words(keys)) if chosen is None else chosen.when(hit, words(keys))
+    return chosen.when(F.exists(kv, lambda x: in_(F.lower(x["k"]), ID_KEYS)), words(ID_KEYS + COMPANIONS))
 
 
 def normalize(url: Column) -> Column:
-    """The crawl's identity of a page: tracking parameters and fragment gone, site rules applied, the rest sorted."""
-    p = parts(url)
-    kv = F.filter(pairs(p["query"]), lambda x: ~in_(F.lower(x["k"]), TRACKING))
-    low = lambda x: F.lower(x["k"])
-    generic = F.when(F.exists(kv, lambda x: in_(low(x), ID_KEYS)), F.filter(kv, lambda x: in_(low(x), ID_KEYS + COMPANIONS))).otherwise(kv)
-    chosen = None
-    for host, path, keys in SITE_RULES:
-        at_path = (F.lower(p["path"]) == path[1:]) if path.startswith("=") else F.contains(F.lower(p["path"]), F.lit(path))
-        hit = ((p["host"] == host) | F.endswith(p["host"], F.lit("." + host))) & at_path
-        kept = only(kv, keys)
-        chosen = F.when(hit, kept) if chosen is None else chosen.when(hit, kept)
-    final = F.array_sort(chosen.otherwise(generic))
-    query = F.array_join(F.transform(final, lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&")
-    return F.concat(p["scheme"], F.lit("://"), p["host"], p["path"], F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    """The crawl's identity of a page: scheme (http if none) and host, a path (/ if none), the query without tracking parameters, site rules applied,
+    sorted; blank values stay, fragment and ;params go."""
+
+    def build(p: Column) -> Column:
+        return let(F.filter(pairs(p["query"]), lambda x: ~in_(F.lower(x["k"]), TRACKING)), lambda kv: let(allowed(p, kv), lambda keys: let(
+            F.array_join(F.transform(F.array_sort(F.filter(kv, lambda x: keys.isNull() | F.array_contains(F.coalesce(keys, F.array().cast("array<string>")), F.lower(x["k"])))), lambda x: F.concat(x["k"], F.lit("="), x["v"])), "&"),
+            lambda query: F.rtrim(F.concat(F.when(p["scheme"] == "", F.lit("http")).otherwise(p["scheme"]), F.lit("://"), p["host"], F.when(F.startswith(p["path"], F.lit("/")), p["path"]).otherwise(F.concat(F.lit("/"), p["path"])), F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit(""))), F.lit("?")))))
+
+    return parsed(url, build)
 
 
 def article_key(url: Column) -> Column:
-    """The article path's identity: scheme dropped, campaign parameters gone, order kept."""
-    p = parts(url)
-    kv = F.filter(pairs(p["query"]), lambda x: ~F.startswith(F.lower(x["k"]), F.lit("utm_")) & ~in_(F.lower(x["k"]), ARTICLE_DROPPED))
+    """The article path's identity: scheme, fragment and ;params dropped, slashes at the end too, campaign parameters gone, order and blank values
+    kept. A host's port and user stay."""
     encode = lambda x: F.replace(F.replace(F.url_encode(x), F.lit("*"), F.lit("%2A")), F.lit("%7E"), F.lit("~"))
-    query = F.array_join(F.transform(kv, lambda x: F.concat(encode(x["k"]), F.lit("="), encode(x["v"]))), "&")
-    return F.concat(F.lit("//"), p["host"], p["path"], F.when(query != "", F.concat(F.lit("?"), query)).otherwise(F.lit("")))
+    bare = F.regexp_replace(F.trim(url), "#.*$", "")
+
+    def build(x: Column) -> Column:
+        part = lambda i: F.regexp_extract(x, _SHAPE, i)
+        path = F.regexp_replace(F.regexp_replace(part(3), ";[^/]*$", ""), "/+$", "")
+        kv = F.filter(pairs(part(4)), lambda y: ~F.startswith(F.lower(y["k"]), F.lit("utm_")) & ~in_(F.lower(y["k"]), ARTICLE_DROPPED))
+        query = F.array_join(F.transform(kv, lambda y: F.concat(encode(y["k"]), F.lit("="), encode(y["v"]))), "&")
+        host = F.lower(part(2))
+        return F.concat(F.when(host != "", F.concat(F.lit("//"), host)).otherwise(F.lit("")), path, let(query, lambda q: F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit(""))))
+
+    return let(bare, build)
 
 
 def is_homepage(normalized: Column) -> Column:

@@ -10,6 +10,9 @@ from ..functions import text as T
 # Lines of one board's interface, at which a body ends or which are skipped before it.
 UI_LINES = ("목록보기", "목록으로", "이전글", "다음글", "첨부파일", "댓글쓰기", "댓글 쓰기", "글쓰기", "NO", "YES")
 UI_STARTS = ("추천하기", "다른의견", "신고", "댓글주소복사", "레벨", "알림", "짤방", "사진", "익명요구", "이미지추가", "코멘트", "갤러리")
+# The marks around one board's bodies.
+BODY_START = "갤러리 본문 영역"
+BODY_ENDS = ("하단 갤러리 리스트 영역", "갤러리 리스트 영역", "왼쪽 컨텐츠 영역")
 UI_MARKS = ("|", "△", "▽", "▶", "▲", "▼")
 
 
@@ -18,14 +21,35 @@ def length_between(text: Column, least: int, most: int) -> Column:
     return (n > 0) & (n >= least) & (n <= most)
 
 
-def keyword_quality(rows: DataFrame, title: str, text: str, keywords: tuple[str, ...], lang: str, langs: tuple[str, ...], least: int = 1) -> DataFrame:
-    """Adds hits (distinct keywords found), coverage, score, reasons and passed."""
-    body = F.lower(F.concat(F.coalesce(F.col(title), F.lit("")), F.lit("\n"), F.coalesce(F.col(text), F.lit(""))))
-    hit = F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(body, F.lower(k)))
-    n = F.size(hit)
-    right = F.coalesce(F.lower(F.col(lang)).isin(*langs), F.lit(False))
-    reasons = F.array_compact(F.array(F.when(~right, F.lit("lang")), F.when(n < least, F.lit("keywords"))))
-    return rows.withColumn("hits", n.cast("long")).withColumn("coverage", F.round(n / len(keywords), 6)).withColumn("score", F.round(F.when(right, 0.3).otherwise(0.0) + F.when(n > 0, 0.2).otherwise(0.0), 6)).withColumn("reasons", F.array_join(reasons, ",")).withColumn("passed", n >= least)
+def keyword_quality(rows: DataFrame, title: str, text: str, keywords: tuple[str, ...], lang: str, langs: tuple[str, ...], least: int = 1, fallback: str | None = None) -> DataFrame:
+    """Adds length, hits (keywords found in title and text), coverage, score, reasons and passed. An empty text gives way to ``fallback`` (a column such as a
+    post's comments, one a line); no language counts as ``und``."""
+    body = F.coalesce(F.col(text), F.lit(""))
+    if fallback:
+        body = F.when(body == "", F.coalesce(F.col(fallback), F.lit(""))).otherwise(body)
+    blended = F.lower(F.concat(F.when(F.col(title).isNotNull(), F.concat(F.col(title), F.lit("\n"))).otherwise(F.lit("")), body))
+    n = F.size(F.filter(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(blended, F.lower(k))))
+    language = F.coalesce(F.col(lang), F.lit("und"))
+    right = F.lower(language).isin(*langs)
+    reasons = F.array_compact(F.array(F.when(~right, F.concat(F.lit("lang="), language)), F.when(n < least, F.lit("keyword_hits"))))
+    score = F.when(right, 0.3).otherwise(0.0) + F.when(n >= least, 0.2).otherwise(0.0)
+    return rows.withColumn("length", F.length(body).cast("long")).withColumn("hits", n.cast("long")).withColumn("coverage", F.round(n / len(keywords), 3)).withColumn("score", F.round(score, 3)).withColumn("reasons", F.array_join(reasons, ",")).withColumn("passed", n >= least)
+
+
+def between_markers(text: Column, start: str = BODY_START, ends: tuple[str, ...] = BODY_ENDS) -> Column:
+    """What follows the last ``start``, if there is one, up to the first of each of ``ends`` in turn."""
+    t = F.coalesce(text, F.lit(""))
+    t = F.element_at(F.split(t, F.lit("\\Q" + start + "\\E")), -1) if start else t
+    for e in ends:
+        t = F.substring_index(t, e, 1)
+    return T.strip(t)
+
+
+def distinct_comments(comments: DataFrame, post: str, text: str, order: str) -> DataFrame:
+    """The first comment of each text of a page; blank ones are left out. Combined on the map side, so a hot page is no single task."""
+    t = F.trim(F.coalesce(F.col(text), F.lit("")))
+    first = comments.withColumn("_t", t).filter("_t <> ''").groupBy(F.col(post).alias("_post"), "_t").agg(F.min(order).alias("_first"))
+    return first.select(F.col("_post").alias(post), F.col("_first").alias(order), F.col("_t").alias(text))
 
 
 def words(rows: DataFrame, text: Column, label: str, pos: str, lang: str = "en", stop: tuple[str, ...] = ()) -> DataFrame:

@@ -127,3 +127,25 @@ def local_days(rows: DataFrame, time: str, zone: str, first: str, last: str) ->
 def percent(share, digits: int = 1):
     """A share as text."""
     return F.format_string(f"%.{digits}f%%", share * 100)
+
+
+def relevant(rows: DataFrame, flag: str = "is_related") -> DataFrame:
+    """Rows marked as relevant; no mark means not relevant."""
+    return rows.filter(F.coalesce(F.col(flag).cast("boolean"), F.lit(False)))
+
+
+def explained(rows: DataFrame, text: str = "explanation") -> DataFrame:
+    """Rows with an explanation that isn't blank, trimmed."""
+    return rows.withColumn(text, F.trim(text)).filter(F.length(text) > 0)
+
+
+def in_bucket(rows: DataFrame, day: str | None = None, hour: int | None = None) -> DataFrame:
+    """The rows behind a bucket of a chart; rows without a time belong to none."""
+    out = rows if day is None else rows.filter(F.col("day") == day)
+    return out if hour is None else out.filter(F.col("hr") == hour)
+
+
+def label_counts_all(rows: DataFrame, by: str, label: str, labels: tuple[str, ...]) -> DataFrame:
+    """(by, label, n) with a row for each of ``labels``, 0 where none was seen: one pivoted count, then a row per label."""
+    n = rows.groupBy(by).agg(*[F.count_if(F.col(label) == x).alias(x) for x in labels])
+    return n.select(by, F.explode(F.array(*[F.struct(F.lit(x).alias("label"), F.col(x).alias("n")) for x in labels])).alias("s")).select(by, "s.label", "s.n")

@@ -34,12 +34,23 @@ def rank_rotate(missing: DataFrame, cursor: int) -> DataFrame:
 
 
 def cooldowns(rounds: DataFrame) -> DataFrame:
-    """(bucket, n_stored, n_duplicates) -> with dup_ratio and the rounds to rest: little stored or mostly duplicates."""
-    seen = F.col("n_stored") + F.col("n_duplicates")
-    ratio = F.when(seen > 0, F.col("n_duplicates") / seen).otherwise(F.lit(0.0))
+    """(bucket, n_stored, n_fetched, n_duplicates) -> with dup_ratio, the duplicates' share of what was fetched or skipped, and the rounds to rest: little
+    stored or mostly duplicates."""
+    seen = F.greatest(F.lit(1), F.col("n_fetched") + F.greatest(F.lit(0), F.col("n_duplicates")))
+    ratio = F.col("n_duplicates") / seen
     return rounds.withColumn("dup_ratio", F.round(ratio, 6)).withColumn("rest", F.when((F.col("n_stored") < 1) | (ratio >= DUP_LIMIT), F.lit(COOLDOWN_ROUNDS)).otherwise(F.lit(0)).cast("long"))
 
 
+def tick(resting: DataFrame) -> DataFrame:
+    """The rests after another round: each one shorter, the last round's gone."""
+    return resting.withColumn("rest", F.col("rest") - 1).filter("rest > 0")
+
+
+def merge_rests(resting: DataFrame, new: DataFrame) -> DataFrame:
+    """(bucket, rest): the longer of what is left and what the round has added."""
+    return resting.select("bucket", "rest").unionByName(new.select("bucket", "rest")).groupBy("bucket").agg(F.max("rest").alias("rest")).filter("rest > 0")
+
+
 def windows(spark: SparkSession, start: str, end: str, days: int, overlap: int) -> DataFrame:
     """Overlapping windows over a period; the last one is the tail of the overlap's length."""
     return spark.sql(f"SELECT s AS w_start, least(date_add(s, {days}), date'{end}') AS w_end FROM (SELECT explode(sequence(date'{start}', date_sub(date'{end}', 1), interval {days - overlap} day)) AS s)")
@@ -73,9 +84,14 @@ def cap_per_source(rows: DataFrame, cap: int, order: str) -> DataFrame:
 
 
 def chunks(ids: DataFrame, key: str, size: int) -> DataFrame:
-    """(key, chunk) for calls that take ``size`` ids at once. Numbers run inside ranges of the key, so that no task sorts everything."""
-    part = F.floor(F.col(key) / F.lit(size))
-    return ids.withColumn("chunk", part.cast("long"))
+    """(key, chunk) for calls that take ``size`` ids at once: chunk k has the ids k x size to (k + 1) x size - 1 in the order of the key (distinct
+    values). Ids are ranged by buckets of their hash-free order: each range is numbered by itself and shifted by the sizes of the ranges before it, so no
+    task sorts everything."""
+    spread = ids.repartitionByRange(key).withColumn("_part", F.spark_partition_id())
+    inside = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(key)))
+    sizes = spread.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))  # a row per partition
+    before = sizes.select(F.col("_part").alias("_p"), (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    return inside.join(F.broadcast(before), F.col("_part") == F.col("_p")).withColumn("chunk", F.floor((F.col("_n") + F.col("_before") - 1) / F.lit(size)).cast("long")).drop("_part", "_p", "_n", "_before")
 
 
 def month_bounds(counts: DataFrame, now: str) -> DataFrame:

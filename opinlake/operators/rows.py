@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from ..functions.times import lenient_ntz
-from ..functions.text import strip
+from ..functions.text import EVENT_KEYWORDS, first_paragraph, strip
+from ..functions.times import comment_clock, lenient_ntz
 
 CANONICAL = ("id", "source", "lang", "title", "text", "published_at", "comment_index", "comment_text", "comment_publishedAt")
 REQUIRED = ("id", "source", "lang", "title", "text", "published_at")
@@ -58,6 +58,31 @@ def time_sorted(rows: DataFrame, pos: str = "row_id") -> DataFrame:
     return rows.withColumn("sort_time", time_key()).orderBy(F.col("sort_time").asc_nulls_first(), pos)
 
 
+def time_ranked(rows: DataFrame, pos: str = "row_id") -> DataFrame:
+    """Adds sort_time and sort_rank, the row's place (from 1) in that order: each range is numbered by itself and shifted by the sizes of those before it."""
+    spread = rows.withColumn("sort_time", time_key()).repartitionByRange(F.col("sort_time").asc_nulls_first(), F.col(pos)).withColumn("_part", F.spark_partition_id())
+    inside = spread.withColumn("_n", F.row_number().over(Window.partitionBy("_part").orderBy(F.col("sort_time").asc_nulls_first(), pos)))
+    sizes = spread.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))  # a row per partition
+    before = sizes.select(F.col("_part").alias("_p"), (F.sum("_size").over(Window.orderBy("_part")) - F.col("_size")).alias("_before"))
+    return inside.join(F.broadcast(before), F.col("_part") == F.col("_p")).withColumn("sort_rank", (F.col("_n") + F.col("_before")).cast("long")).drop("_part", "_p", "_n", "_before")
+
+
+def limit_valid(rows: DataFrame, valid, n: int, pos: str = "row_id") -> DataFrame:
+    """The first ``n`` valid rows in the order of ``pos``: rows that can't be read don't count."""
+    return rows.filter(valid).orderBy(pos).limit(n)
+
+
+def success_ratio(rows: DataFrame, valid) -> DataFrame:
+    """(n_rows, n_valid, ratio) of a conversion."""
+    return rows.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(valid).alias("n_valid")).withColumn("ratio", F.when(F.col("n_rows") > 0, F.round(F.col("n_valid") / F.col("n_rows"), 6)).otherwise(F.lit(0.0)))
+
+
+def counted(rows: DataFrame, name: str, **counters):
+    """(rows, observation): counters that fill while the rows are written, without a pass of their own."""
+    seen = Observation(name)
+    return rows.observe(seen, F.count(F.lit(1)).alias("n_rows"), *[F.count_if(c).alias(k) for k, c in counters.items()]), seen
+
+
 def summary(rows: DataFrame) -> DataFrame:
     return rows.groupBy(F.coalesce(F.nullif("source", F.lit("")), F.lit("unknown")).alias("source"), F.coalesce(F.nullif("doc_type", F.lit("")), F.lit("unknown")).alias("doc_type")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -74,6 +99,28 @@ def flatten(posts: DataFrame, comments: DataFrame, keep_blank: bool = True) -> D
     return p.unionByName(joined)
 
 
+def flatten_board(posts: DataFrame, comments: DataFrame, board: str) -> DataFrame:
+    """Post and comment rows as one board's export wants them.
+
+    ``paragraph``: the body is the first paragraph, the title what stands before its first pipe, the language Korean; blank comments left out; without a body
+    a comment row has no text at all (``has_text`` false) and a later merge drops it. ``events``: posts whose title announces an event are left
+    out, blank comments stay with a null text, a time of day alone takes the post's date. ``own_lang``: a comment's own language goes before its post's;
+    blank comments left out."""
+    has_lang = "lang" in comments.columns
+    if board == "paragraph":
+        posts = posts.withColumn("title", F.trim(F.substring_index(F.coalesce("title", F.lit("")), "|", 1))).withColumn("text", F.nullif(first_paragraph(F.col("text")), F.lit(""))).withColumn("lang", F.lit("ko"))
+    elif board == "events":
+        low = F.lower(F.coalesce("title", F.lit("")))
+        posts = posts.filter(~F.exists(F.array(*[F.lit(k.lower()) for k in EVENT_KEYWORDS]), lambda k: F.contains(low, k)))
+    rows = flatten(posts, comments, keep_blank=board == "events")
+    if board == "own_lang" and has_lang:
+        own = comments.filter("lang IS NOT NULL AND lang <> ''").select(F.concat("post_id", F.lit("_"), F.col("comment_index").cast("string")).alias("o_id"), F.col("lang").alias("o_lang"))
+        rows = rows.join(own, F.col("id") == F.col("o_id"), "left").withColumn("lang", F.coalesce("o_lang", "lang")).drop("o_id", "o_lang")
+    if board == "events":
+        rows = rows.withColumn("comment_publishedAt", comment_clock(F.col("published_at"), F.col("comment_publishedAt")))
+    return rows.withColumn("has_text", (F.col("doc_type") == "post") | F.col("text").isNotNull()) if board == "paragraph" else rows
+
+
 def flatten_arrays(posts: DataFrame, comments: str = "comments", drop_blank: bool = False, raw_positions: bool = True) -> DataFrame:
     """The same from an array of JSON elements in the post itself; scalars among them are skipped. ``raw_positions``: comment_index is the
     position in the array, else the count after the elements that aren't objects are left out."""

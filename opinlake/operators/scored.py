@@ -107,7 +107,10 @@ def explanation(label_ko: Column, text: Column) -> Column:
 
 def scoring_text(df: DataFrame, least: int = 5) -> DataFrame:
     """Adds ``scoring_text``: title, body and comment as the scorer wants them by kind; texts under ``least`` characters are empty."""
-    t, b, c = (strip(F.coalesce(F.col(x), F.lit(""))) for x in ("title", "text", "comment_text"))
+    names = df.columns
+    # stripped once, in an array below the branches, which only refer to it
+    df = df.withColumn("_p", F.transform(F.array("title", "text", "comment_text"), lambda x: strip(F.coalesce(x, F.lit("")))))
+    t, b, c = (F.col("_p")[k] for k in range(3))
     gap = F.lit("\n\n")
     kind = F.coalesce(F.nullif(F.col("doc_type"), F.lit("")), F.lit("post"))
     post = F.when((t != "") & (b != ""), F.concat(t, gap, b)).when(t != "", t).otherwise(b)
@@ -116,7 +119,7 @@ def scoring_text(df: DataFrame, least: int = 5) -> DataFrame:
     other = F.when(t != "", F.concat(t, gap, b)).otherwise(b)
     text = F.when(kind == "post", post).when(kind == "comment", comment).otherwise(other)
     text = F.when(text == "", t).otherwise(text)
-    return df.withColumn("scoring_text", F.when(F.length(text) < least, F.lit("")).otherwise(text))
+    return df.withColumn("scoring_text", F.when(F.length(text) < least, F.lit("")).otherwise(text)).select(*[F.col(f"`{n}`") for n in names if n != "scoring_text"], "scoring_text")
 
 
 # A small offline lexicon; a remote scorer is injected instead in production.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,8 @@ from .functions import text as T
 from .functions import times as C
 from .functions import url as U
 from .operators import content, dashboard, dedup, planner, rows, scored, timestamps
-from .session import table
+from .session import ensure_checkpoint_dir, table
+from .sources import jsonl
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -17,7 +20,7 @@ ORACLES: dict[str, str] = {}
 
 def _plain(df: DataFrame) -> DataFrame:
     """Dates as text, so that results look alike in every engine."""
-    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes])
+    return df.select(*[F.date_format(c, "yyyy-MM-dd").alias(c) if t == "date" else F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) if t.startswith("timestamp") else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def query(sql: str | None = None):
@@ -274,10 +277,10 @@ def month_rank_rotate(s, d):
     return planner.rank_rotate(planner.deficits(planner.month_counts(_ev(s, d)), 200), 2)
 
 
-@query(EV + ", r AS (SELECT source AS bucket, sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_stored, sum(CASE WHEN label <> 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_duplicates FROM e GROUP BY source, day) SELECT bucket, n_stored, n_duplicates, round(n_duplicates / CAST(n_stored + n_duplicates AS DOUBLE), 6) AS dup_ratio, CAST(CASE WHEN n_stored < 1 OR n_duplicates / CAST(n_stored + n_duplicates AS DOUBLE) >= 0.8 THEN 3 ELSE 0 END AS BIGINT) AS rest FROM r")
+@query(EV + ", r AS (SELECT source AS bucket, sum(CASE WHEN label = 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_stored, sum(CASE WHEN label <> 'negative' THEN 1 ELSE 0 END)::BIGINT AS n_duplicates, count_if(user_id % 4 = 0)::BIGINT AS n_fetched FROM e GROUP BY source, day) SELECT bucket, n_stored, n_duplicates, n_fetched, round(n_duplicates / CAST(greatest(1, n_fetched + n_duplicates) AS DOUBLE), 6) AS dup_ratio, CAST(CASE WHEN n_stored < 1 OR n_duplicates / CAST(greatest(1, n_fetched + n_duplicates) AS DOUBLE) >= 0.8 THEN 3 ELSE 0 END AS BIGINT) AS rest FROM r")
 def cooldown_rule(s, d):
-    r = _ev(s, d).groupBy("source", "day").agg(F.count_if(F.col("label") == "negative").alias("n_stored"), F.count_if(F.col("label") != "negative").alias("n_duplicates"))
-    return planner.cooldowns(r.select(F.col("source").alias("bucket"), "n_stored", "n_duplicates"))
+    r = _ev(s, d).groupBy("source", "day").agg(F.count_if(F.col("label") == "negative").alias("n_stored"), F.count_if(F.col("label") != "negative").alias("n_duplicates"), F.count_if(F.col("user_id") % 4 == 0).alias("n_fetched"))
+    return planner.cooldowns(r.select(F.col("source").alias("bucket"), "n_stored", "n_duplicates", "n_fetched"))
 
 
 @query("WITH s AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-02-29', INTERVAL 6 DAY)) AS DATE) AS w_start), w AS (SELECT w_start, least(CAST(w_start + INTERVAL 7 DAY AS DATE), DATE '2024-03-01') AS w_end FROM s) SELECT DISTINCT event_type AS keyword, strftime(w_start, '%Y-%m-%d') AS w_start, strftime(w_end, '%Y-%m-%d') AS w_end FROM events CROSS JOIN w")
@@ -296,7 +299,7 @@ def per_source_cap(s, d):
     return planner.cap_per_source(_posts(s, d).select("row_id", "source"), 20, "row_id")
 
 
-@query("SELECT row_id, CAST(floor(row_id / 50) AS BIGINT) AS chunk FROM raw_posts")
+@query("SELECT row_id, CAST(floor((row_number() OVER (ORDER BY row_id) - 1) / 50) AS BIGINT) AS chunk FROM raw_posts")
 def id_chunks(s, d):
     return planner.chunks(_posts(s, d).select("row_id"), "row_id", 50)
 
@@ -323,10 +326,10 @@ _NTZ = r"""CASE WHEN regexp_matches({0}, '^\d{{4}}-\d{{2}}-\d{{2}}([T ]\d{{2}}:\
 _TIME = f"""WITH x AS (SELECT row_id, source, {_NTZ.format('"comment_publishedAt"')} AS c, {_NTZ.format('published_at')} AS p FROM unified_rows)"""
 
 
-@query(_TIME + " SELECT row_id, strftime(coalesce(c, p), '%Y-%m-%d %H:%M:%S') AS sort_time FROM x")
+@query(_TIME + " SELECT row_id, strftime(coalesce(c, p), '%Y-%m-%d %H:%M:%S') AS sort_time, row_number() OVER (ORDER BY coalesce(c, p) NULLS FIRST, row_id) AS sort_rank FROM x")
 def merge_time_sort_pos(s, d):
-    x = rows.time_sorted(_rows(s, d).select("row_id", "published_at", "comment_publishedAt"))
-    return x.select("row_id", "sort_time")
+    x = rows.time_ranked(_rows(s, d).select("row_id", "published_at", "comment_publishedAt"))
+    return x.select("row_id", "sort_time", "sort_rank")
 
 
 @query("SELECT coalesce(nullif(source, ''), 'unknown') AS source, coalesce(nullif(doc_type, ''), 'unknown') AS doc_type, count(*) AS n FROM unified_rows GROUP BY ALL")
@@ -421,11 +424,16 @@ def assembly_cascade(s, d):
 
 # --- URLs
 _NORM = r"""regexp_replace(regexp_extract(url, '^([^?#]*)', 1), '^https?://', '')"""
-_URL = r"""WITH u AS (SELECT row_id, url, lower(regexp_extract(url, '^([a-z]+)://', 1)) AS scheme, lower(regexp_extract(url, '^[a-z]+://([^/?]*)', 1)) AS host, regexp_extract(url, '^[a-z]+://[^/?]*([^?]*)', 1) AS path,
- CASE WHEN contains(url, '?') THEN regexp_replace(url, '^[^?]*\?', '') ELSE '' END AS query FROM raw_posts),
-v AS (SELECT *, list_filter(string_split(query, '&'), lambda x: contains(x, '=') AND split_part(x, '=', 2) <> '' AND NOT list_contains(['utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'igshid', 'mibextid', 'ref', 'ref_src', 'spm'], lower(split_part(x, '=', 1)))) AS kv FROM u),
-x AS (SELECT *, list_filter(kv, lambda y: list_contains(['id', 'no', 'idx', 'idxno', 'arcid', 'aid', 'oid', 'ud', 'newsid', 'articleid', 'article_id', 'seq', 'sn', 'docid', 'code', 'b', 'board', 'cid', 'category', 'mid'], lower(split_part(y, '=', 1)))) AS ids, len(list_filter(kv, lambda y: list_contains(['id', 'no', 'idx', 'idxno', 'arcid', 'aid', 'oid', 'ud', 'newsid', 'articleid', 'article_id', 'seq', 'sn', 'docid'], lower(split_part(y, '=', 1))))) AS n_ids FROM v),
-n AS (SELECT row_id, url, scheme || '://' || host || path || CASE WHEN len(CASE WHEN n_ids > 0 THEN ids ELSE kv END) > 0 THEN '?' || array_to_string(list_sort(CASE WHEN n_ids > 0 THEN ids ELSE kv END), '&') ELSE '' END AS norm_url FROM x)
+_KV = "list_transform(list_filter(string_split(query, '&'), lambda x: x <> ''), lambda x: {'k': url_decode(replace(split_part(x, '=', 1), '+', ' ')), 'v': CASE WHEN contains(x, '=') THEN url_decode(replace(substr(x, instr(x, '=') + 1), '+', ' ')) ELSE '' END})"
+_IDS = "'id', 'no', 'idx', 'idxno', 'arcid', 'aid', 'oid', 'ud', 'newsid', 'articleid', 'article_id', 'seq', 'sn', 'docid'"
+# from the rule itself: scheme and host in lower case, http and / where there is none, ;params and fragment gone, blank values kept, decoded pairs sorted;
+# no host of the tables has a rule of its own
+_URL = r"""WITH b AS (SELECT row_id, url, regexp_replace(trim(url), '#.*$', '') AS bare FROM raw_posts),
+u AS (SELECT row_id, url, lower(regexp_extract(bare, '^([A-Za-z]+)://', 1)) AS scheme, lower(regexp_extract(bare, '^[A-Za-z]+://([^/?]*)', 1)) AS host, regexp_replace(regexp_extract(bare, '^[A-Za-z]+://[^/?]*([^?]*)', 1), ';[^/]*$', '') AS path,
+ CASE WHEN contains(bare, '?') THEN substr(bare, instr(bare, '?') + 1) ELSE '' END AS query FROM b),
+v AS (SELECT *, list_filter(""" + _KV + r""", lambda y: NOT list_contains(['utm_source', 'utm_medium', 'utm_campaign', 'utm_term', 'utm_content', 'fbclid', 'gclid', 'igshid', 'mibextid', 'ref', 'ref_src', 'spm'], lower(y.k))) AS kv FROM u),
+x AS (SELECT *, CASE WHEN len(list_filter(kv, lambda y: list_contains([""" + _IDS + r"""], lower(y.k)))) > 0 THEN list_filter(kv, lambda y: list_contains([""" + _IDS + r""", 'code', 'b', 'board', 'cid', 'category', 'mid'], lower(y.k))) ELSE kv END AS kept FROM v),
+n AS (SELECT row_id, url, scheme || '://' || regexp_replace(host, ':(80|443)$', '') || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(kept) > 0 THEN '?' || array_to_string(list_transform(list_sort(kept), lambda y: y.k || '=' || y.v), '&') ELSE '' END AS norm_url FROM x)
 """
 
 
@@ -444,7 +452,7 @@ def url_first_wins(s, d):
     return dedup.url_first_wins(_posts(s, d).select("row_id", "url")).select("norm_url", "row_id")
 
 
-@query(_URL + ", k AS (SELECT row_id, host, path, list_filter(string_split(query, '&'), lambda x: contains(x, '=') AND split_part(x, '=', 2) <> '' AND NOT starts_with(lower(x), 'utm_') AND NOT list_contains(['fbclid', 'gclid', 'mc_cid', 'mc_eid'], lower(split_part(x, '=', 1)))) AS kv FROM u) SELECT row_id, '//' || host || path || CASE WHEN len(kv) > 0 THEN '?' || array_to_string(kv, '&') ELSE '' END AS article_key FROM k")
+@query(_URL + ", k AS (SELECT row_id, host, regexp_replace(path, '/+$', '') AS path, list_filter(" + _KV + ", lambda y: NOT starts_with(lower(y.k), 'utm_') AND NOT list_contains(['fbclid', 'gclid', 'mc_cid', 'mc_eid'], lower(y.k))) AS kv FROM u) SELECT row_id, '//' || host || path || CASE WHEN len(kv) > 0 THEN '?' || array_to_string(list_transform(kv, lambda y: replace(url_encode(y.k), '%20', '+') || '=' || replace(url_encode(y.v), '%20', '+')), '&') ELSE '' END AS article_key FROM k")
 def url_article_key(s, d):
     return _posts(s, d).select("row_id", U.article_key(F.col("url")).alias("article_key"))
 
@@ -456,7 +464,7 @@ def homepage_filter(s, d):
 
 @query("WITH h AS (SELECT DISTINCT lower(regexp_extract(url, '^[a-z]+://([^/?]*)', 1)) AS host FROM raw_posts) SELECT host, CAST(CASE WHEN host = 'plaza-sur.example' THEN 0.5 WHEN host LIKE '%.example' THEN 2.5 ELSE 0.05 END AS DOUBLE) AS pause FROM h")
 def host_pause_lookup(s, d):
-    h = _posts(s, d).select(U.parts(F.col("url"))["host"].alias("host")).distinct()
+    h = _posts(s, d).select(U.host_of(F.col("url")).alias("host")).distinct()
     p = s.createDataFrame([("plaza-sur.example", 0.5, 1), ("example", 2.5, 2)], "host string, pause double, ord int")
     return planner.host_pause(h, p, 0.05)
 
@@ -504,11 +512,11 @@ def lang_filter(s, d):
 _KW = ("국민연금", "연금", "보험료율", "기금", "노후", "pension", "fund", "contribution")
 
 
-@query("""WITH x AS (SELECT doc_id, lower(coalesce(title, '') || chr(10) || coalesce(text, '')) AS b, coalesce(lower(lang) IN ('ko', 'en'), false) AS ok FROM documents),
-h AS (SELECT doc_id, ok, len(list_filter(['""" + "', '".join(_KW) + """'], lambda k: contains(b, k))) AS n FROM x)
-SELECT doc_id, CAST(n AS BIGINT) AS hits, round(n / 8.0::DOUBLE, 6) AS coverage, round(CASE WHEN ok THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN n > 0 THEN 0.2::DOUBLE ELSE 0 END, 6) AS score, concat_ws(',', CASE WHEN NOT ok THEN 'lang' END, CASE WHEN n < 1 THEN 'keywords' END) AS reasons, n >= 1 AS passed FROM h""")
+@query("""WITH x AS (SELECT doc_id, coalesce(text, '') AS body, lower(CASE WHEN title IS NULL THEN '' ELSE title || chr(10) END || coalesce(text, '')) AS b, coalesce(lang, 'und') AS l FROM documents),
+h AS (SELECT doc_id, length(body) AS length, l, lower(l) IN ('ko', 'en') AS ok, len(list_filter(['""" + "', '".join(_KW) + """'], lambda k: contains(b, k))) AS n FROM x)
+SELECT doc_id, CAST(length AS BIGINT) AS length, CAST(n AS BIGINT) AS hits, round(n / 8.0::DOUBLE, 3) AS coverage, round(CASE WHEN ok THEN 0.3::DOUBLE ELSE 0 END + CASE WHEN n >= 2 THEN 0.2::DOUBLE ELSE 0 END, 3) AS score, concat_ws(',', CASE WHEN NOT ok THEN 'lang=' || l END, CASE WHEN n < 2 THEN 'keyword_hits' END) AS reasons, n >= 2 AS passed FROM h""")
 def keyword_quality(s, d):
-    return content.keyword_quality(_docs(s, d), "title", "text", _KW, "lang", ("ko", "en")).select("doc_id", "hits", "coverage", "score", "reasons", "passed")
+    return content.keyword_quality(_docs(s, d), "title", "text", _KW, "lang", ("ko", "en"), 2).select("doc_id", "length", "hits", "coverage", "score", "reasons", "passed")
 
 
 @query("SELECT doc_id FROM documents WHERE NOT (" + " OR ".join(f"contains(lower(coalesce(title, '')), '{k}')" for k in T.EVENT_KEYWORDS) + ")")
@@ -627,3 +635,167 @@ def p4_found(s, d):
 def p4_fields(s, d):
     values = timestamps.stack_values(s.read.parquet(f"{d}/unified_rows.parquet"), s.read.parquet(f"{d}/raw_comments.parquet"))
     return timestamps.normalise(values, table(s, d, "source_info")).groupBy("tbl", "field").agg(F.count(F.lit(1)).alias("n_settled"), F.count_if(F.col("instant_utc") == "").alias("n_unclear"))
+
+
+# --- board exports, stamps of listings, page pieces
+_TRIM = "regexp_replace({0}, '^\\s+|\\s+$', '', 'g')"
+_BOARD = """WITH p AS (SELECT row_id, id, source, title, lang, published_at, raw_text AS text FROM raw_posts QUALIFY row_number() OVER (PARTITION BY id ORDER BY row_id) = 1),
+c AS (SELECT post_id, comment_index, nullif(trim(text, ' '), '') AS comment_text, published_at_raw AS comment_time, author FROM raw_comments)"""
+
+
+@query(_BOARD + ", q AS (SELECT id, trim(split_part(coalesce(title, ''), '|', 1), ' ') AS title, nullif(" + _BLANK.format(f"split_part({_UNIX.format('text')}, chr(10) || chr(10), 1)") + ", '') AS text FROM p) SELECT id, 'post' AS doc_type, title, text, true AS has_text FROM q UNION ALL SELECT q.id || '_' || comment_index, 'comment', title, text, text IS NOT NULL FROM q JOIN c ON q.id = c.post_id WHERE comment_text IS NOT NULL")
+def flatten_first_paragraph(s, d):
+    return rows.flatten_board(_post_rows(s, d), _comments(s, d), "paragraph").select("id", "doc_type", "title", "text", "has_text")
+
+
+_CLOCK = "CASE WHEN trim(t, ' ') = '' THEN NULL WHEN day IS NOT NULL AND contains(trim(t, ' '), ':') AND NOT contains(trim(t, ' '), ' ') THEN day || ' ' || trim(t, ' ') ELSE trim(t, ' ') END"
+
+
+@query(_BOARD + ", q AS (SELECT *, strftime(" + _NTZ.format("trim(published_at, ' ')") + ", '%Y-%m-%d') AS day FROM p WHERE NOT (" + " OR ".join(f"contains(lower(coalesce(title, '')), '{k}')" for k in T.EVENT_KEYWORDS) + ")), x AS (SELECT q.id || '_' || comment_index AS id, comment_text, comment_time AS t, day FROM q JOIN c ON q.id = c.post_id) SELECT id, NULL AS comment_text, NULL AS comment_time FROM q UNION ALL SELECT id, comment_text, " + _CLOCK + " FROM x")
+def flatten_event_boards(s, d):
+    return rows.flatten_board(_post_rows(s, d), _comments(s, d), "events").select("id", "comment_text", F.col("comment_publishedAt").alias("comment_time"))
+
+
+@query(_BOARD + " SELECT id, lang FROM p UNION ALL SELECT p.id || '_' || comment_index, CASE WHEN regexp_matches(comment_text, '[가-힣]') THEN 'ko' ELSE lang END FROM p JOIN c ON p.id = c.post_id WHERE comment_text IS NOT NULL")
+def flatten_comment_lang(s, d):
+    c = _comments(s, d).withColumn("lang", F.when(F.col("text").rlike("[가-힣]"), F.lit("ko")))
+    return rows.flatten_board(_post_rows(s, d), c, "own_lang").select("id", "lang")
+
+
+@query("WITH x AS (SELECT comment_key, published_at_raw AS t, strftime(fetched_at, '%Y-%m-%d') AS day FROM raw_comments) SELECT comment_key, " + _CLOCK + " AS at FROM x")
+def comment_clock_time(s, d):
+    c = s.read.parquet(f"{d}/raw_comments.parquet")
+    return c.select("comment_key", C.comment_clock(F.date_format("fetched_at", "yyyy-MM-dd"), F.col("published_at_raw")).alias("at"))
+
+
+_MAKE = "strftime(try_strptime({y} || '-' || {0} || '-' || {1} || ' ' || {2} || ':' || {3} || ':' || {4}, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S')"
+_PART = "coalesce(nullif(regexp_extract(t, '{0}', {1}), ''), '0')"
+
+
+def _made(form: str, year: str, first: int) -> str:
+    return _MAKE.format(*[_PART.format(form, first + k) for k in range(5)], y=year)
+
+
+_DAY = r"(\d{1,2})[./-](\d{1,2})(?:\s+(\d{1,2}):(\d{2})(?::(\d{2}))?)?"
+_L4, _L2 = r"(\d{4})[./-]" + _DAY, r"(\d{2})[./-]" + _DAY
+_LC = r"(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})Z?"
+_Y2 = "CAST(CASE WHEN CAST(regexp_extract(t, '{0}', 1) AS INT) < {1} THEN 2000 ELSE 1900 END + CAST(regexp_extract(t, '{0}', 1) AS INT) AS VARCHAR)"
+_ISO = r"CASE WHEN regexp_matches(t, '^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?)?(Z|[+-]\d{2}:?\d{2})?$') THEN strftime(TRY_CAST(regexp_replace(t, '(Z|[+-]\d{2}:?\d{2})$', '') AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') END"
+
+
+@query("WITH x AS (SELECT comment_key, trim(regexp_replace(regexp_replace(published_at_raw, '\\([^)]*\\)', ' ', 'g'), '\\s+', ' ', 'g'), ' ') AS t FROM raw_comments) SELECT comment_key, coalesce(" + _ISO + ", CASE WHEN regexp_matches(t, '" + _L4 + "') THEN " + _made(_L4, f"regexp_extract(t, '{_L4}', 1)", 2)
+       + " END, CASE WHEN regexp_matches(t, '" + _L2 + "') THEN " + _made(_L2, _Y2.format(_L2, 70).replace("{{", "{").replace("}}", "}"), 2) + " END, CASE WHEN regexp_matches(t, '" + _LC + "') THEN " + _made(_LC, f"regexp_extract(t, '{_LC}', 1)", 2) + " END) AS at FROM x")
+def loose_time(s, d):
+    return s.read.parquet(f"{d}/raw_comments.parquet").select("comment_key", C.loose(F.col("published_at_raw")).alias("at"))
+
+
+_LIST = r"^(\d{4}|\d{2})[-./](\d{1,2})[-./](\d{1,2})(?:\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?)?$"
+_SAME = r"(regexp_matches(t, '^\d+-\d+-\d+($|\s)') OR regexp_matches(t, '^\d+\.\d+\.\d+($|\s)') OR regexp_matches(t, '^\d+/\d+/\d+($|\s)'))"
+
+
+@query("WITH x AS (SELECT row_id, trim(published_at, ' ') AS t, regexp_replace(published_at, '\\D', '', 'g') AS g FROM raw_posts) SELECT row_id, coalesce(CASE WHEN regexp_matches(t, '" + _LIST + "') AND " + _SAME + " THEN " + _made(_LIST, f"CASE WHEN length(regexp_extract(t, '{_LIST}', 1)) = 4 THEN regexp_extract(t, '{_LIST}', 1) ELSE " + "CAST(CASE WHEN CAST(regexp_extract(t, '" + _LIST + "', 1) AS INT) < 69 THEN 2000 ELSE 1900 END + CAST(regexp_extract(t, '" + _LIST + "', 1) AS INT) AS VARCHAR) END", 2)
+       + " END, CASE WHEN length(g) = 14 THEN strftime(try_strptime(g, '%Y%m%d%H%M%S'), '%Y-%m-%d %H:%M:%S') WHEN length(g) = 12 THEN strftime(try_strptime(g, '%Y%m%d%H%M'), '%Y-%m-%d %H:%M:%S') WHEN length(g) = 8 THEN strftime(try_strptime(g, '%Y%m%d'), '%Y-%m-%d %H:%M:%S') END) AS at FROM x")
+def listing_time(s, d):
+    return _posts(s, d).select("row_id", C.listing(F.col("published_at")).alias("at"))
+
+
+@query("SELECT row_id, " + _BLANK.format("split_part(split_part(split_part(string_split(raw_text, '갤러리 본문 영역')[-1], '하단 갤러리 리스트 영역', 1), '갤러리 리스트 영역', 1), '왼쪽 컨텐츠 영역', 1)") + " AS body FROM raw_posts")
+def body_between_markers(s, d):
+    return _posts(s, d).select("row_id", content.between_markers(F.col("raw_text")).alias("body"))
+
+
+@query("SELECT post_id, min(comment_index) AS comment_index, trim(text, ' ') AS text FROM raw_comments WHERE trim(text, ' ') <> '' GROUP BY post_id, trim(text, ' ')")
+def comments_distinct(s, d):
+    return content.distinct_comments(s.read.parquet(f"{d}/raw_comments.parquet"), "post_id", "text", "comment_index")
+
+
+@query(EV + ", r AS (SELECT *, CASE user_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS is_related FROM e) SELECT pos_id FROM r WHERE is_related")
+def relevant_rows(s, d):
+    m = F.col("user_id") % 3
+    return dashboard.relevant(_ev(s, d).withColumn("is_related", F.when(m == 0, F.lit(True)).when(m == 1, F.lit(False)))).select("pos_id")
+
+
+@query("SELECT row_id, trim(title, ' ') AS explanation FROM raw_posts WHERE trim(title, ' ') <> ''")
+def explained_rows(s, d):
+    return dashboard.explained(_posts(s, d).select("row_id", F.col("title").alias("explanation")))
+
+
+@query(EV + "SELECT pos_id FROM e WHERE hr = 9 AND source = 'view' OR day = (SELECT max(day) FROM e)")
+def bucket_rows(s, d):
+    e = _ev(s, d)
+    last = e.agg(F.max("day").alias("last"))  # one row
+    on_day = e.join(F.broadcast(last), F.col("day") == F.col("last")).select("pos_id")
+    return dashboard.in_bucket(e.filter("source = 'view'"), hour=9).select("pos_id").union(on_day).distinct()
+
+
+@query(EV + ", d AS (SELECT DISTINCT day FROM e), l AS (SELECT unnest(['negative', 'neutral', 'positive', 'unscored']) AS label) SELECT d.day, l.label, count(e.pos_id) AS n FROM d CROSS JOIN l LEFT JOIN e ON e.day = d.day AND e.label = l.label GROUP BY d.day, l.label")
+def label_counts_with_zeros(s, d):
+    return dashboard.label_counts_all(_ev(s, d), "day", "label", ("negative", "neutral", "positive", "unscored"))
+
+
+@query("SELECT row_id FROM raw_posts WHERE json_valid(extra) ORDER BY row_id LIMIT 100")
+def limit_after_parse(s, d):
+    return rows.limit_valid(_posts(s, d).select("row_id", "extra"), F.json_object_keys("extra").isNotNull(), 100).select("row_id")
+
+
+@query("SELECT count(*) AS n_rows, count_if(coalesce(json_valid(extra), false)) AS n_valid, round(count_if(coalesce(json_valid(extra), false)) / count(*), 6) AS ratio FROM raw_posts")
+def parse_success_ratio(s, d):
+    return rows.success_ratio(_posts(s, d), F.coalesce(F.json_object_keys("extra").isNotNull(), F.lit(False)))
+
+
+_EXTRA = "article struct<site:string,comments:bigint>, forum struct<site:string,comments:bigint>, video struct<site:string,comments:bigint>"
+_SIX = [f"{k}.{f}" for k in ("article", "forum", "video") for f in ("site", "comments")]
+
+
+@query("SELECT row_id, " + ", ".join(f"CAST(json_extract_string(extra, '$.{x}') AS {'VARCHAR' if x.endswith('site') else 'BIGINT'}) AS \"{x}\"" for x in _SIX) + " FROM raw_posts WHERE json_valid(extra)")
+def json_dotted(s, d):
+    x = _posts(s, d).filter(F.json_object_keys("extra").isNotNull()).select("row_id", F.from_json("extra", _EXTRA).alias("e")).select("row_id", "e.*")
+    return jsonl.dotted(x)
+
+
+# --- JSON lines, written to and read from the shared folder
+def _as_lines(s: SparkSession, d: str, name: str) -> str:
+    """The posts as JSON lines, with a malformed line and a blank one per partition."""
+    ensure_checkpoint_dir(s)
+    path = f"{s.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
+    good = _posts(s, d).select(F.to_json(F.struct("row_id", "id", "title", "raw_text")).alias("value"))
+    bad = good.limit(3).select(F.lit('{"row_id": 1, "id": ').alias("value")).union(good.limit(2).select(F.lit("  ").alias("value"))).union(good.limit(2).select(F.lit("[1, 2]").alias("value")))
+    good.union(bad).write.text(path)
+    return path
+
+
+@query("SELECT row_id, id, title, length(raw_text) AS n_chars FROM raw_posts")
+def jsonl_lenient(s, d):
+    x = jsonl.lenient(s, _as_lines(s, d, "lines"), "row_id long, id string, title string, raw_text string")
+    return x.select("row_id", "id", "title", F.length("raw_text").cast("long").alias("n_chars"))
+
+
+@query("SELECT count(*) + 5 AS n_lines, count(*) AS n_objects FROM raw_posts")
+def jsonl_in_order(s, d):
+    x = jsonl.in_order(s, _as_lines(s, d, "ordered"))
+    return x.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.json_object_keys("line").isNotNull()).alias("n_objects"))
+
+
+@query("SELECT count(*) + 5 AS n_lines, count(*) AS n_objects FROM raw_posts")
+def jsonl_any_encoding(s, d):
+    x = jsonl.any_encoding(s, _as_lines(s, d, "encoded"))
+    return x.agg(F.count(F.lit(1)).alias("n_lines"), F.count_if(F.json_object_keys("line").isNotNull()).alias("n_objects"))
+
+
+@query("SELECT CASE WHEN i.kind = 'forum' THEN 'forum_' || p.source ELSE p.source END AS bucket, count(*) AS n FROM raw_posts p JOIN source_info i ON p.source = i.source GROUP BY 1")
+def jsonl_per_source(s, d):
+    ensure_checkpoint_dir(s)
+    path = f"{s.sparkContext._jsc.sc().getCheckpointDir().get()}/store-{uuid.uuid4().hex}"
+    i = table(s, d, "source_info").select(F.col("source").alias("i_source"), F.col("kind").alias("discovered_type"))
+    jsonl.append_per_source(_posts(s, d).select("row_id", "source", "title").join(i, F.col("source") == F.col("i_source")).drop("i_source"), path)
+    return s.read.schema("row_id long, bucket string").json(path).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT DISTINCT id FROM raw_posts")
+def seen_index(s, d):
+    ensure_checkpoint_dir(s)
+    path = f"{s.sparkContext._jsc.sc().getCheckpointDir().get()}/seen-{uuid.uuid4().hex}"
+    p = _posts(s, d)
+    jsonl.update_index(p.filter("row_id % 2 = 0"), path, ("id",))
+    jsonl.update_index(p, path, ("id",))  # what is there already isn't added again
+    return s.read.parquet(path).select("id")

@@ -25,6 +25,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     sc.setCheckpointDir(named or os.path.join(tempfile.gettempdir(), "opinlake-checkpoint"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -44,12 +45,41 @@ def any_encoding(spark: SparkSession, paths: str | list[str], encodings: tuple[s
                         break
                     except UnicodeDecodeError:
                         continue
-                rows = [x for x in text.lstrip("﻿").splitlines() if x.strip()]
+                rows = [x for x in (y.rstrip("\r") for y in text.lstrip("\ufeff").split("\n")) if x.strip()]  # other line separators may stand inside a string
                 yield from filled(pd.DataFrame({"file": [path] * len(rows), "line": rows}))
 
     return spark.read.format("binaryFile").load(paths).select("path", "content").mapInPandas(run, "file string, line string")
 
 
+def dotted(rows: DataFrame) -> DataFrame:
+    """Nested structs become columns named by their path, joined with dots; arrays and maps stay as they are."""
+    from pyspark.sql.types import StructType as Struct
+
+    def walk(fields, path: tuple[str, ...]):
+        for f in fields:
+            at = (*path, f.name)
+            if isinstance(f.dataType, Struct):
+                yield from walk(f.dataType.fields, at)
+            else:
+                yield F.col(".".join(f"`{x}`" for x in at)).alias(".".join(at))
+
+    return rows.select(*walk(rows.schema.fields, ()))
+
+
+def in_order(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """(file, at, line) of all matching files; ``file`` and ``at`` (a line's place in it) order the rows by path, as a reader of one file after another
+    sees them. Files are read whole, one a row."""
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("at", "line"))
+    return whole.withColumn("line", F.regexp_replace("line", "\r$", "")).filter(F.trim("line") != "").withColumn("at", F.col("at") + 1)
+
+
+def strict_in_order(spark: SparkSession, paths: str | list[str], schema: StructType | str) -> DataFrame:
+    """As ``strict``, and the error names the line's number too."""
+    x = in_order(spark, paths)
+    ok = F.when(F.json_object_keys("line").isNotNull(), F.col("line")).otherwise(F.raise_error(F.concat(F.lit("malformed line "), F.col("at").cast("string"), F.lit(" of "), F.col("file"))))
+    return x.select("file", "at", F.from_json(ok, schema).alias("r")).select("file", "at", "r.*")
+
+
 def folder(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """All .jsonl and .json files below a folder; a .json file holds one object or an array of them."""
     opts = {"recursiveFileLookup": "true"}
@@ -74,5 +104,15 @@ def overwrite(rows: DataFrame, path: str) -> None:
 
 
 def update_index(rows: DataFrame, path: str, keys: tuple[str, ...] = ("id", "norm_url")) -> None:
-    """The seen index is a table that only grows; membership is an anti join on it."""
-    rows.select(*keys).distinct().write.mode("append").parquet(path)
+    """The seen index is a table that only grows, by what it doesn't hold yet; membership is an anti join on it. Without a table it is begun."""
+    new = rows.select(*keys).distinct()
+    try:
+        old = rows.sparkSession.read.parquet(path).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    except AnalysisException:
+        old = None
+    if old is not None:
+        same = F.lit(True)
+        for k in keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
+        new = new.join(old, same, "left_anti")
+    new.write.mode("append").parquet(path)

@@ -120,8 +120,44 @@ def test_planner(spark):
     h = spark.createDataFrame([("a.b.example",), ("b.example",), ("z.test",)], "host string")
     p = spark.createDataFrame([("b.example", 2.0, 1), ("a.b.example", 9.0, 2)], "host string, pause double, ord int")
     assert {x["host"]: x["pause"] for x in planner.host_pause(h, p, 0.1).collect()} == {"a.b.example": 9.0, "b.example": 2.0, "z.test": 0.1}
-    r = spark.createDataFrame([("a", 0, 0), ("b", 1, 9), ("c", 5, 1)], "bucket string, n_stored long, n_duplicates long")
-    assert [x["rest"] for x in planner.cooldowns(r).orderBy("bucket").collect()] == [3, 3, 0]
+    r = spark.createDataFrame([("a", 0, 0, 0), ("b", 1, 9, 2), ("c", 5, 1, 5), ("d", 1, 4, 6)], "bucket string, n_stored long, n_duplicates long, n_fetched long")
+    rest = planner.cooldowns(r)
+    assert [(x["dup_ratio"], x["rest"]) for x in rest.orderBy("bucket").collect()] == [(0.0, 3), (0.818182, 3), (0.166667, 0), (0.4, 0)]
+    left = planner.tick(spark.createDataFrame([("a", 1), ("b", 3), ("e", 2)], "bucket string, rest long"))
+    assert {x["bucket"]: x["rest"] for x in planner.merge_rests(left, rest).collect()} == {"a": 3, "b": 3, "e": 1}
+    ids = spark.range(60).selectExpr("id * 50 AS k").repartition(7)
+    got = planner.chunks(ids, "k", 50).collect()
+    assert {x["k"] // 50: x["chunk"] for x in got} == {k: k // 50 for k in range(60)} and planner.chunks(ids.limit(0), "k", 50).count() == 0
+
+
+def test_quality(spark):
+    q = spark.createDataFrame([("t", "", "국민연금 최고", "KO"), (None, "nothing", None, "fr"), ("국민연금", None, None, None)], "title string, text string, comments string, lang string")
+    got = content.keyword_quality(q, "title", "text", ("국민연금", "x1", "x2"), "lang", ("ko",), fallback="comments").collect()
+    assert [(x["hits"], x["coverage"], x["score"], x["reasons"], x["length"]) for x in got] == [(1, 0.333, 0.5, "", 7), (0, 0.0, 0.0, "lang=fr,keyword_hits", 7), (1, 0.333, 0.2, "lang=und", 0)]
+
+
+def test_boards(spark):
+    p = spark.createDataFrame([("a", "s", "Head | x", "en", "2025-01-02 03:04:05", "첫줄\n\n둘째"), ("b", "s", None, None, None, None), ("c", "s", "쿠폰 나눔", "ko", "no time", "t")], "id string, source string, title string, lang string, published_at string, text string")
+    c = spark.createDataFrame([("a", 0, " one ", "10:20", "ko"), ("a", 1, " ", "11:00:01", None), ("b", 0, "two", "12:00", ""), ("c", 0, "x", None, None)], "post_id string, comment_index int, text string, published_at string, lang string")
+    got = {x["id"]: x for x in rows.flatten_board(p, c, "paragraph").collect()}
+    assert set(got) == {"a", "b", "c", "a_0", "b_0", "c_0"} and got["a_0"]["title"] == "Head" and got["a_0"]["text"] == "첫줄" and got["a_0"]["has_text"] and not got["b_0"]["has_text"] and got["b"]["has_text"]
+    got = {x["id"]: x for x in rows.flatten_board(p, c, "events").collect()}
+    assert set(got) == {"a", "b", "a_0", "a_1", "b_0"} and got["a_0"]["comment_publishedAt"] == "2025-01-02 10:20" and got["a_1"]["comment_text"] is None and got["b_0"]["comment_publishedAt"] == "12:00"
+    got = {x["id"]: x["lang"] for x in rows.flatten_board(p, c, "own_lang").collect()}
+    assert got == {"a": "en", "b": None, "c": "ko", "a_0": "ko", "b_0": None, "c_0": "ko"}
+    assert rows.flatten_board(p.limit(0), c, "events").count() == 0
+
+
+def test_counters(spark):
+    df = spark.range(10)
+    out, seen = rows.counted(df, "pages", n_even=F.col("id") % 2 == 0)
+    assert out.count() == 10 and seen.get == {"n_rows": 10, "n_even": 5}
+    assert rows.success_ratio(df.limit(0), F.col("id") > 3).first()["ratio"] == 0.0
+    t = spark.createDataFrame([(1, None, None), (2, "2025-01-01 00:00:00", None), (3, None, "2024-01-01")], "row_id long, published_at string, comment_publishedAt string").repartition(3)
+    assert {x["row_id"]: x["sort_rank"] for x in rows.time_ranked(t).collect()} == {1: 1, 3: 2, 2: 3}
+    c = spark.createDataFrame([("p", 2, "same"), ("p", 0, " same "), ("p", 1, " "), ("q", 5, "same")], "post string, at int, text string")
+    assert sorted(tuple(x) for x in content.distinct_comments(c, "post", "text", "at").collect()) == [("p", 0, "same"), ("q", 5, "same")]
+    assert content.between_markers(F.lit("x")) is not None
 
 
 def test_dashboard_empty(spark):

@@ -21,7 +21,16 @@ def test_jsonl(spark, tmp_path):
     jsonl.append_per_source(df, str(tmp_path / "out"))
     assert sorted(p.name for p in (tmp_path / "out").glob("bucket=*")) == ["bucket=forum_s", "bucket=s"]
     jsonl.update_index(df.selectExpr("id", "id as norm_url"), str(tmp_path / "ix"))
+    jsonl.update_index(df.selectExpr("id", "id as norm_url"), str(tmp_path / "ix"))  # nothing new
     assert spark.read.parquet(str(tmp_path / "ix")).count() == 2
+    (tmp_path / "u.jsonl").write_text('{"id": "a\u2028b"}\n{"id": "c\u0085d"}\r\n', encoding="utf-8")
+    assert len(jsonl.any_encoding(spark, str(tmp_path / "u.jsonl")).collect()) == 2
+    got = jsonl.in_order(spark, [str(tmp_path / "u.jsonl"), str(tmp_path / "a.jsonl")]).orderBy("file", "at").collect()
+    assert [(r["file"][-7:], r["at"]) for r in got] == [("a.jsonl", 1), ("a.jsonl", 3), ("a.jsonl", 4), ("a.jsonl", 5), ("u.jsonl", 1), ("u.jsonl", 2)]
+    with pytest.raises(Exception, match="malformed line 3 of"):
+        jsonl.strict_in_order(spark, str(tmp_path / "a.jsonl"), "id string").collect()
+    nested = spark.sql("SELECT 1 AS id, named_struct('b', named_struct('c', 2, 'd', array(1)), 'e', 'x') AS a")
+    assert jsonl.dotted(nested).columns == ["id", "a.b.c", "a.b.d", "a.e"]
 
 
 def test_fetch(spark):
