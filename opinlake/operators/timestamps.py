@@ -174,9 +174,12 @@ def _zone(mask: str, at: int):
     return ("signed", -1 if m["sign"] == "-" else 1, (m.span("oh"), m.span("om") if m["om"] else None))
 
 
+FIRST = -2_208_988_800  # 1900
+
+
 @lru_cache(maxsize=1024)
 def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
-    """UTC seconds at which the offset changes and the offsets from then on, 1970 to 2099; None for an unknown zone."""
+    """UTC seconds at which the offset changes and the offsets from then on, 1900 to 2099 (before it: the first one known); None for an unknown zone."""
     from datetime import datetime, timedelta, timezone
     from zoneinfo import ZoneInfo
 
@@ -185,8 +188,8 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
     except Exception:  # noqa: BLE001 - unknown or malformed zone names mean "no zone"
         return None
     off = lambda s: int(datetime.fromtimestamp(s, timezone.utc).astimezone(z).utcoffset() / timedelta(seconds=1))
-    step, last, times, offsets = 86400 * 5, off(0), [-(2**62)], [off(0)]
-    for s in range(step, 4_102_444_800, step):
+    step, last, times, offsets = 86400 * 5, off(FIRST), [-(2**62)], [off(FIRST)]
+    for s in range(FIRST + step, 4_102_444_800, step):
         now = off(s)
         if now != last:
             lo, hi = s - step, s
@@ -200,13 +203,24 @@ def transitions(zone: str) -> tuple[np.ndarray, np.ndarray] | None:
 
 
 def zone_database_version() -> str:
-    """The version of the zone database the tables come from."""
+    """The version of the zone database that the tables come from: its package's, else that of the system's files, else a fingerprint of some tables."""
+    import hashlib
     import importlib.metadata
-
+    import zoneinfo
+    from pathlib import Path
+
+    for folder in zoneinfo.TZPATH:  # zoneinfo reads these before the package
+        for name in ("tzdata.zi", "+VERSION"):
+            f = Path(folder) / name
+            if f.exists():
+                return "system " + f.read_text(errors="replace").splitlines()[0].lstrip("# version")
+        if Path(folder).is_dir():
+            parts = [transitions(z) for z in ("Europe/Berlin", "America/New_York", "America/Sao_Paulo", "Asia/Seoul")]
+            return "system " + hashlib.sha1(b"".join(a.tobytes() for p in parts if p for a in p)).hexdigest()[:12]
     try:
         return "tzdata " + importlib.metadata.version("tzdata")
     except importlib.metadata.PackageNotFoundError:
-        return "system"
+        return "none"
 
 
 def local_to_utc(local: np.ndarray, zone: str) -> tuple[np.ndarray, np.ndarray]:

@@ -634,7 +634,7 @@ def p4_found(s, d):
 @query()
 def p4_fields(s, d):
     values = timestamps.stack_values(s.read.parquet(f"{d}/unified_rows.parquet"), s.read.parquet(f"{d}/raw_comments.parquet"))
-    return timestamps.normalise(values, table(s, d, "source_info")).groupBy("tbl", "field").agg(F.count(F.lit(1)).alias("n_settled"), F.count_if(F.col("instant_utc") == "").alias("n_unclear"))
+    return timestamps.normalise(values, table(s, d, "source_info")).groupBy("tbl", "field").agg(F.count(F.lit(1)).alias("n_settled"), F.count_if(F.col("instant_utc") == "").alias("n_unclear"), F.lit(timestamps.zone_database_version()).alias("zone_tables"))
 
 
 # --- board exports, stamps of listings, page pieces

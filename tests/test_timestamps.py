@@ -61,3 +61,14 @@ def test_frame(spark):
     got = {r["row_key"]: r["instant_utc"] for r in X.normalise(spark.createDataFrame(rows, schema).drop("home_zone"), src).collect()}
     assert got == {1: "2025-01-01T18:04:05Z", 5: "", 6: "", 7: ""}
     assert X.normalise(spark.createDataFrame([], schema), src).count() == 0
+
+
+def test_zone_tables_before_1970():
+    """Old offsets are those of their time, not of 1970; the tables say where they come from."""
+    from zoneinfo import ZoneInfo
+
+    for zone, when in (("America/New_York", dt.datetime(1944, 6, 6, 12)), ("Asia/Seoul", dt.datetime(1957, 1, 15, 12)), ("Europe/Berlin", dt.datetime(1916, 7, 1, 12))):
+        local = int(when.replace(tzinfo=dt.timezone.utc).timestamp())
+        got, n = X.local_to_utc(np.array([local]), zone)
+        assert got[0] == int(when.replace(tzinfo=ZoneInfo(zone)).timestamp()) and n[0] == 1
+    assert len(X.zone_database_version()) > 4
