@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import filled
+from . import store
 from .samples import bounded
 from .sequence import BiLSTM
 
@@ -387,9 +388,15 @@ def fit(posts: list, docs: list, seed: int = 5) -> Labeller:
     return Labeller(net.frozen())
 
 
+def labeller(raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> Labeller:
+    """The labeller, fitted on its sample or read from the models' folder."""
+    tables = [raw_posts.select("row_id", "id", "title", "raw_text"), unified_rows.filter("comment_index IS NULL").select("id", "text"), documents.select("doc_id", "source", "title", "text")]
+    return store.fitted(raw_posts.sparkSession, "labeller", tables, (TRAIN_POSTS, TRAIN_DOCS, SAMPLE_CHARS, BUCKETS, EMB, HIDDEN), lambda: fit(*training_sample(raw_posts, unified_rows, documents)))
+
+
 def trained(spark: SparkSession, raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> Broadcast:
-    """The labeller, fitted and sent to the executors (about 1 MB)."""
-    return spark.sparkContext.broadcast(fit(*training_sample(raw_posts, unified_rows, documents)))
+    """The labeller, sent to the executors (about 1 MB)."""
+    return spark.sparkContext.broadcast(labeller(raw_posts, unified_rows, documents))
 
 
 def find_furniture(pages: DataFrame, model: Broadcast) -> DataFrame:

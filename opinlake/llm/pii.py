@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import filled
-from . import sums
+from . import store, sums
 from .samples import bounded
 
 TRAIN_ROWS = 8000
@@ -716,9 +716,13 @@ def count_words(unified_rows: DataFrame) -> np.ndarray:
 
 
 def trained(spark: SparkSession, unified_rows: DataFrame) -> Broadcast:
-    """The model, its classifier fitted on a bounded sample, its word counts on all rows, sent to the executors."""
-    rows = bounded(unified_rows.filter("comment_text IS NOT NULL").select("row_id", F.substring("comment_text", 1, SAMPLE_CHARS).alias("comment_text")), "row_id", TRAIN_ROWS).select("comment_text").collect()
-    return spark.sparkContext.broadcast(fit([r["comment_text"] for r in rows], Words(count_words(unified_rows))))
+    """The model, its classifier fitted on a bounded sample, its word counts on all rows, sent to the executors; or read from the models' folder."""
+
+    def make() -> PiiModel:
+        rows = bounded(unified_rows.filter("comment_text IS NOT NULL").select("row_id", F.substring("comment_text", 1, SAMPLE_CHARS).alias("comment_text")), "row_id", TRAIN_ROWS).select("comment_text").collect()
+        return fit([r["comment_text"] for r in rows], Words(count_words(unified_rows)))
+
+    return spark.sparkContext.broadcast(store.fitted(spark, "pii", [unified_rows.select("row_id", "comment_index", *FIELDS)], (TRAIN_ROWS, SAMPLE_CHARS, MADE, SURE, WORD_BITS, PER, RARE), make))
 
 
 def find(unified_rows: DataFrame, model: Broadcast) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import filled
-from . import langid, mainbody, sums
+from . import langid, mainbody, store, sums
 from .mainbody import _CJK, _DIGIT, _ENDS, _HANGUL, _LETTER, _SPACE, _UPPER, _classes, _codes, _isin
 
 FULL_GRAMS = 1_500_000
@@ -478,7 +478,9 @@ class Trained:
 
 def readers(raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> tuple[mainbody.Labeller, langid.LangModel]:
     """The main-body labeller and the language model, fitted on their bounded samples."""
-    return mainbody.fit(*mainbody.training_sample(raw_posts, unified_rows, documents)), langid.fit(langid.training_sample(documents, unified_rows))
+    tables = [documents.select("doc_id", "lang", "text"), unified_rows.select("row_id", "lang", "comment_index", "comment_text", "text")]
+    langs = store.fitted(documents.sparkSession, "languages", tables, (langid.TRAIN_ROWS,), lambda: langid.fit(langid.training_sample(documents, unified_rows)))
+    return mainbody.labeller(raw_posts, unified_rows, documents), langs
 
 
 def trained(spark: SparkSession, raw_posts: DataFrame, unified_rows: DataFrame, documents: DataFrame) -> tuple[Broadcast, DataFrame]:

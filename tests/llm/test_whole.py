@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from opinlake.llm import langid, mainbody, prose, queries, standing, toxic
+from opinlake.llm import langid, mainbody, prose, queries, standing, store, toxic
 
 
 def test_prose_counts_every_document(spark):
@@ -80,3 +80,25 @@ def test_standing_blocks_are_components(spark):
     rows = [(k, f"Rights reserved\nShare this page\nAll about us\nown {chr(97 + k % 26)}{chr(97 + k // 26)}", "a") for k in range(40)]
     report = standing.report(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
     assert [(r["n_lines"], r["n_edges"], r["n_blocks"]) for r in report] == [(3, 2, 1)]
+
+
+def test_models_are_kept(spark, tmp_path):
+    """Fitted once for the same table, in whatever order its rows come; again for another table or parameter; always without a folder."""
+    made = []
+
+    def fit():
+        made.append(1)
+        return {"weights": np.arange(len(made))}
+
+    df = spark.createDataFrame([(k, f"text {k}") for k in range(50)], "k long, t string")
+    store.fitted(spark, "m", [df], (1,), fit)
+    spark.conf.set(store.FOLDER, str(tmp_path / "models"))
+    try:
+        first = store.fitted(spark, "m", [df], (1,), fit)
+        again = store.fitted(spark, "m", [df.repartition(3).orderBy("t")], (1,), fit)
+        assert len(made) == 2 and (first["weights"] == again["weights"]).all()
+        store.fitted(spark, "m", [df.filter("k > 0")], (1,), fit)
+        store.fitted(spark, "m", [df], (2,), fit)
+        assert len(made) == 4
+    finally:
+        spark.conf.unset(store.FOLDER)
