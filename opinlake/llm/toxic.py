@@ -50,10 +50,10 @@ CUT = 2.6
 CUT_ROWS = 60
 ROUNDS = 3
 SUSPECT = 3e-3
-CERTAIN = 1e-5
-LEARNT = 1.0  # what a sentence that nobody has rated weighs as abuse, beside a rated one
+CERTAIN = 1e-4
+LEARNT = 0.3  # what unrated sentences weigh as abuse at most, together, beside the lexicon and the rated rows
 ALPHA = 0.05
-UNSUPPORTED, DOUBT = 0.3, 0.4  # a rated row that nothing else supports by this p-value weighs so much
+UNSUPPORTED, DOUBT = 0.1, 0.2  # a rated row that nothing else supports by this p-value weighs so much
 SYLLABLE = 1.0
 TOP_ODDS = 7.0
 RATED = 1.0  # what a rated row weighs beside a word of the lexicon
@@ -523,7 +523,8 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, data: _List | _Table) -
     for _ in range(ROUNDS):
         rule = model.rule() if model else None
         kept = data.sum(lambda p, total, m=rule: p.clean(m, back_weight, total), 2 << BITS).reshape(2, -1) if back else np.zeros((2, 1))
-        bad = seed_counts + _counts(flat, weight * share * flat_weight) + LEARNT * kept[1]
+        bad = seed_counts + _counts(flat, weight * share * flat_weight)
+        bad = bad + kept[1] * min(1.0, LEARNT * bad.sum() / max(kept[1].sum(), 1.0))  # unrated sentences never outweigh the rest
         own = _counts(flat, share * back_weight[_langs(langs, flat)]) if back and flat else 0.0  # rated abuse stands in the background too
         good = clean_counts + np.maximum(kept[0] - own, 0.0) + _counts(flat, weight * (1 - share) * flat_weight)
         model = ToxicModel(log_odds(bad, good))
