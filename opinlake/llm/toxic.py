@@ -47,7 +47,7 @@ PRIOR = 0.04
 DRIFT = 1.2
 FLOOR = -1.5  # the background holds unrated abuse, so its evidence for clean is bounded
 CUT = 2.6
-CUT_ROWS = 60
+CUT_ROWS = 200  # raters err, so that some dozen rows say little
 ROUNDS = 3
 SUSPECT = 3e-3
 CERTAIN = 1e-4
@@ -57,6 +57,7 @@ UNSUPPORTED, DOUBT = 0.1, 0.2  # a rated row that nothing else supports by this
 SYLLABLE = 1.0
 TOP_ODDS = 7.0
 RATED = 1.0  # what a rated row weighs beside a word of the lexicon
+TRUSTED = 1.0  # what the rated clean rows weigh together, beside the background
 STEPS, TOP = 512, 1 << 16  # histograms: steps of a score to 1, and steps
 _SENTENCE = re.compile(r"[.!?。！？…~]+(?:\s|$)|[。！？]|\n| / ")
 
@@ -70,7 +71,6 @@ _KO, _JA = re.compile("[가-힣ㄱ-ㅎ]"), re.compile("[ぁ-ヶ]")
 _STEP = np.uint32(0x9E3779B1)
 _POWERS = [np.uint32(pow(0x85EBCA6B, k, 1 << 32) | 1) for k in range(max(ORDERS))]
 NOTHING = 1 << BITS
-_SEEN = np.array([max(1e-9, sum(w for w, o in zip(WEIGHTS, ORDERS) if o <= k)) for k in range(ORDERS[-1] + 1)], np.float32)
 CHUNK = 60_000  # letters at a time, so that the arrays stay in the cache
 
 
@@ -124,11 +124,24 @@ def grams(codes: np.ndarray, out_of: int | None = None) -> Iterator[tuple[np.nda
             yield x, run
 
 
+def _any_of(words: set[str]) -> re.Pattern:
+    """One of the words, those with the same first letter together, as that is faster."""
+    rest: dict[str, set[str]] = {}
+    for w in words:
+        rest.setdefault(w[0], set()).add(re.escape(w[1:]))
+    return re.compile("|".join(f"{re.escape(k)}(?:{'|'.join(sorted(v, key=len))})" for k, v in sorted(rest.items())))
+
+
+#: The lexicon's words in a sentence's letters; short Latin ones stand in harmless words too often.
+_LISTED = _any_of({x for t in toxic_seeds.words() if len(x := squash(t)) > 3 or not x.isascii()})
+
+
 class ToxicModel:
     """Log-odds of hashed n-grams, the extreme-value parameters and the cut."""
 
     def __init__(self, odds: np.ndarray):
         self.odds, self.lam, self.k, self.cut = np.append(odds, np.float32(0)), 1.0, 0.1, CUT  # last: no n-gram
+        self.each = (1.0, 0.1)  # lambda and K of single sentences
 
     def odds_of(self, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
         return self.odds.take(ids)
@@ -136,13 +149,13 @@ class ToxicModel:
     def positions(self, squashed: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The score of each position and the text that it belongs to; the position after a text scores so low that it ends every passage."""
         codes, of = pack(squashed)
-        total = np.zeros(len(codes), np.float32)
-        run = None
-        for w, (ids, run) in zip(WEIGHTS, grams(codes, 0)):
+        total, known = np.zeros(len(codes), np.float32), np.full(len(codes), 1e-9, np.float32)
+        for w, (ids, _) in zip(WEIGHTS, grams(codes, 0)):
             part = self.odds_of(ids, of)
+            known += np.float32(w) * (part != 0)
             part *= np.float32(w)
             total += part
-        total /= _SEEN[np.minimum(run, ORDERS[-1])]  # the orders that fit before this position
+        total /= known  # the orders that fit before this position and have been seen
         s = total.astype(np.float64) - DRIFT
         s[codes >= 0x1100] *= SYLLABLE
         s[codes == 0] = -1e6
@@ -193,13 +206,30 @@ class ToxicModel:
         s, n = self.best(squashed)
         p = self.p_values(s, n)
         value, count = np.where(s > 0, -np.log10(np.maximum(p, 1e-12)), 0.0), np.zeros(len(squashed), dtype=np.int64)
+        value = np.maximum(value, self.by_sentence(squashed, s, n))
         for i in np.flatnonzero((p <= ALPHA) & (s > 0)):
             found = self._segments(squashed[i])
             value[i] = max(value[i], self.together(found, n[i]))
             if value[i] >= self.cut:
                 each = self.p_values(np.array([x for _, _, x in found]), np.full(len(found), n[i]))
                 count[i] = max(1, int((-np.log10(np.maximum(each, 1e-12)) >= self.cut).sum()))
-        return value, count
+        return value, np.where(value >= self.cut, np.maximum(count, 1), 0)
+
+    def by_sentence(self, squashed: list[str], s: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """-log10 p of the least likely sentence of each text, for the number of its sentences: a short oath in a long text stands out only there.
+        ``s`` and ``n`` are the texts' scores and letters, those of texts of one sentence also."""
+        many = np.array([BREAK in x for x in squashed], bool)
+        parts = [x.split(BREAK) for x in squashed if BREAK in x]
+        of = np.append(np.flatnonzero(~many), np.repeat(np.flatnonzero(many), [len(x) for x in parts]))
+        more, letters = self.best([y for x in parts for y in x])
+        return self.worst(np.append(s[~many], more), np.append(n[~many], letters), of, len(squashed))
+
+    def worst(self, s: np.ndarray, n: np.ndarray, of: np.ndarray, size: int) -> np.ndarray:
+        """The same of the sentences' scores and letters."""
+        lam, k = self.each
+        value, out = np.where(s > 0, -np.log10(np.maximum(-np.expm1(-k * np.maximum(n, 1) * np.exp(-lam * s)), 1e-12)), 0.0), np.zeros(size)
+        np.maximum.at(out, of, value)
+        return np.maximum(out - np.log10(np.maximum(np.bincount(of[n > 0], minlength=size), 1)), 0.0)
 
     def together(self, segments: list[tuple[int, int, float]], letters: float) -> float:
         """-log10 of the p-value of the significant passages of a text: of the sums of its r best, normalised, the least likely, each r weighing half
@@ -274,7 +304,7 @@ def log_odds(bad: np.ndarray, clean: np.ndarray, nb: float | None = None, nc: fl
     shrunk."""
     nb, nc = max(bad.sum() if nb is None else nb, 1.0), max(clean.sum() if nc is None else nc, 1.0)
     q = 0.5 * (bad / nb + clean / nc)
-    ab, ac = prior * nb * q + 1e-12, prior * nc * q + 1e-12
+    ab, ac = nb * (prior * q + 1e-15), nc * (prior * q + 1e-15)
     d = np.log((bad + ab) / (nb * (1 + prior))) - np.log((clean + ac) / (nc * (1 + prior)))
     spread = np.sqrt(1 / (bad + ab + 0.3) + 1 / (clean + ac + 0.3))
     return np.clip(d * np.minimum(1.0, np.abs(d) / (1.2 * spread)), FLOOR, TOP_ODDS).astype(np.float32)
@@ -374,7 +404,7 @@ class Part:
         """Adds the n-grams of the sentences that the model, which has read them, doesn't score high and, behind them, of those that it scores very high."""
         w, n = self.n_parts * weights[self.of], 1 << BITS
         if model is None or not self.parts:
-            total[:n] += _counts(self.parts, w)
+            total[:n] += _counts(self.parts, w * np.array([not _LISTED.search(x) for x in self.parts], bool))
             return
         p = model.p_values(self.s, self.n)
         total[:n] += _counts(self.parts, w * (p > SUSPECT))
@@ -513,8 +543,12 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, data: _List | _Table) -
     even = np.sqrt(np.maximum(room, 1).max() / np.maximum(room, 1)) * min(1.0, FULL / max(np.sqrt(room).sum() * np.sqrt(room.max()), 1.0))
     balance = _Balance(langs, seeds, room * even if back else np.bincount(_langs(langs, [y for y, _ in neg]), minlength=len(langid.LANGS)))
     seed_counts = _counts(seeds, balance.of(seeds, True))
-    clean_counts = 20.0 * _counts(clean, balance.of(clean, True)) + _counts([t for t, _ in neg], np.array([w for _, w in neg]) * balance.of([t for t, _ in neg]))
     back_weight, flat_weight = balance.corpus * even, balance.of(flat, True)
+    neg_weight = np.array([w for _, w in neg]) * balance.of([t for t, _ in neg])
+    if neg and back:  # rated clean rows stand for all clean ones, also for those that look like abuse and don't count as background
+        neg_weight *= max(1.0, TRUSTED * (room * back_weight).sum() / neg_weight.sum())
+    neg_counts = _counts([t for t, _ in neg], np.array([w for _, w in neg]) * balance.of([t for t, _ in neg]))
+    clean_counts = 20.0 * _counts(clean, balance.of(clean, True)) + _counts([t for t, _ in neg], neg_weight)
     owner = np.repeat(np.arange(len(pos)), [len(x) for x, _ in pos]) if pos else np.zeros(0, np.int64)
     weight = np.array([w for _, w in pos])[owner] if pos else np.zeros(0)
     size = np.array([len(x) for x, _ in pos], dtype=float)
@@ -524,13 +558,15 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, data: _List | _Table) -
         rule = model.rule() if model else None
         kept = data.sum(lambda p, total, m=rule: p.clean(m, back_weight, total), 2 << BITS).reshape(2, -1) if back else np.zeros((2, 1))
         bad = seed_counts + _counts(flat, weight * share * flat_weight)
-        bad = bad + kept[1] * min(1.0, LEARNT * bad.sum() / max(kept[1].sum(), 1.0))  # unrated sentences never outweigh the rest
+        learnt = kept[1] * (bad + 1e-9) / (bad + neg_counts + 1e-9)  # what rated rows show to be clean isn't learnt from unrated ones
+        bad = bad + learnt * min(1.0, LEARNT * bad.sum() / max(learnt.sum(), 1.0))  # unrated sentences never outweigh the rest
         own = _counts(flat, share * back_weight[_langs(langs, flat)]) if back and flat else 0.0  # rated abuse stands in the background too
         good = clean_counts + np.maximum(kept[0] - own, 0.0) + _counts(flat, weight * (1 - share) * flat_weight)
         model = ToxicModel(log_odds(bad, good))
         if back:
             data.read_by(model)
             _calibrate(model, data.sum(lambda p, total: p.histogram(total), 2 * TOP, ("n_parts", "s", "n")))
+            model.each = (model.lam, model.k)
         if flat:
             apart = _Apart(model, bad, good, weight * share * flat_weight)
             s, n = apart.scores(flat)
@@ -548,7 +584,7 @@ def _fit(labelled: list[tuple], langs: langid.LangModel, data: _List | _Table) -
             s, n = apart.scores(flat)
             top = np.zeros(len(pos))
             np.maximum.at(top, owner, s)
-            unseen = -np.log10(np.maximum(model.p_values(top, np.bincount(owner, weights=n, minlength=len(pos))), 1e-12))
+            unseen = np.maximum(-np.log10(np.maximum(model.p_values(top, np.bincount(owner, weights=n, minlength=len(pos))), 1e-12)), model.worst(s, n, owner, len(pos)))
             has = np.array([bool(sentences(t)) for t, _, _ in truth])
             value[(y == 1.0) & has] = np.minimum(value[(y == 1.0) & has], unseen)
         model.cut = choose_cut(value, y, np.array([w for _, _, w in truth]))
@@ -563,7 +599,7 @@ def choose_cut(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> float:
     cuts = np.unique(np.quantile(score, np.linspace(0.6, 0.997, 120)))
     hit = [weight[(score >= c) & (y > 0)].sum() for c in cuts]
     out = [weight[score >= c].sum() for c in cuts]
-    f = np.array([1.5 * h / max(1.0, o + 0.5 * n) for h, o in zip(hit, out)])  # F with precision weighing twice as much as recall
+    f = np.array([2.0 * h / max(1.0, o + n) for h, o in zip(hit, out)])
     best = float(cuts[f >= f.max() - 0.004].mean())
     return (CUT_ROWS * CUT + n * best) / (CUT_ROWS + n)
 

@@ -58,6 +58,11 @@ def phrases() -> list[str]:
     return [x for x in out if len(x) > 1]
 
 
+def words() -> list[str]:
+    """Each word and turn of the abusive side once."""
+    return [w for v in (*ABUSE.values(), *SEXUAL.values()) for w in v.split()] + [t for v in TURNS.values() for t in v.split("|")]
+
+
 def clean() -> list[str]:
     """The clean side."""
     return [w for v in PLAIN.values() for w in v.split()]

@@ -66,6 +66,19 @@ def test_toxic_learns_turns_from_ratings():
     assert s[:4].min() > s[4:].max() and (s[:4] >= m.cut).all() and (s[4:] < m.cut).all()
 
 
+def test_toxic_unseen_says_nothing():
+    """An n-gram that neither side has is no evidence, however much larger one side is."""
+    assert toxic.log_odds(np.array([0.0, 5.0, 0.0]), np.array([0.0, 0.0, 1000.0]))[0] == 0
+
+
+def test_toxic_short_oath_in_long_text():
+    """A short sentence of abuse stands out in a long text, as it does alone."""
+    m = toxic.fit([], CALM * 40)
+    m.lam, m.k, m.each, m.cut = 0.4, 0.003, (0.8, 0.003), 2.6
+    alone, within = m.score(["Fuck you.", " ".join(CALM) + " Fuck you. " + " ".join(CALM)])
+    assert alone >= m.cut and within >= m.cut and m.score([" ".join(CALM * 2)])[0] < m.cut
+
+
 def test_passages_add_up():
     """Two significant passages are less likely by chance than one of them."""
     m = toxic.fit([], CALM * 40)
