@@ -95,6 +95,43 @@ def test_fuzzy_titles(spark):
     assert sorted(x["p"] for x in dedup.fuzzy_titles(df, "title", "lang", "url", "text", "time", "p").collect()) == [1, 3, 4, 5]
 
 
+def test_fuzzy_titles_against_plain_scan(spark, monkeypatch):
+    """Groups of near texts, interleaved: the same representatives as by comparing every pair, with few comparisons."""
+    import difflib
+
+    r = random.Random(5)
+    base = ["".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(r.choice([0, 3, 400, 900, 905]))) for _ in range(12)]
+    data = []
+    for i in range(150):
+        x = list(r.choice(base))
+        for _ in range(r.choice([0, 1, 2, 8]) if x else 0):
+            x[r.randrange(len(x))] = r.choice("xyz")
+        data.append((i, f"t{i % 3}", "ko", None, "".join(x) + "q" * r.choice([0, 0, 1, 4]), str(r.randrange(9))))
+    want = []
+    for g in range(3):
+        reps: list[list] = []
+        once: dict[str, list] = {}
+        for p, _, _, _, x, t in data[g::3]:
+            once.setdefault(x, [p, x, t])[2] = max(once[x][2], t) if x in once else t
+        for row in once.values():
+            for q in reps:
+                if SequenceMatcher(None, q[1], row[1]).ratio() >= 0.995:
+                    if (len(row[1]), row[2]) > (len(q[1]), q[2]):
+                        q[:] = row
+                    break
+            else:
+                reps.append(list(row))
+        want += [q[0] for q in reps]
+    df = spark.createDataFrame(data, "p long, title string, lang string, url string, text string, time string")
+    assert sorted(x["p"] for x in dedup.fuzzy_titles(df, "title", "lang", "url", "text", "time", "p").collect()) == sorted(want) and len(want) < 140
+    calls = []
+    monkeypatch.setattr(difflib, "SequenceMatcher", lambda *a: calls.append(a))
+    g = dedup._Representatives(0.995)
+    for i in range(300):  # texts of one length that can't be near: none of them is compared
+        g.add(i, chr(0x4E00 + i) * 500, "")
+    assert len(g.pos) == 300 and not calls
+
+
 def test_scores(spark):
     df = spark.createDataFrame([("t", "dcinside", True, 1 / 3, 1 / 3, 1 / 3, ""), ("시발", "dcinside", True, 0.2, 0.5, 0.3, ""), ("t", "x", True, 0.0, 0.0, 0.0, None), ("t", "x", None, 1.0, 0.0, 0.0, "부정"), ("t", "x", True, -1.0, 0.5, 0.5, "긍정")], "text string, source string, is_related boolean, negative double, neutral double, positive double, label string")
     got = [(x["negative"], x["neutral"], x["positive"], x["label"]) for x in scored.client_normal(df).collect()]
