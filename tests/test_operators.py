@@ -89,6 +89,30 @@ def test_near_kept_against_sequence(spark):
     assert sorted(x["p"] for x in dedup.near_kept(df, F.col("text"), "p").collect()) == kept
 
 
+def test_near_pairs_bounds(spark, monkeypatch):
+    """Texts of few and of many different characters, in chunks: the pairs are those of comparing all, and few are compared."""
+    import difflib
+
+    r = random.Random(8)
+    words = ["".join(r.choice("abcdefghijklmnoprstuwyvkxzq"[: r.choice([8, 14, 27])]) for _ in range(r.randrange(2, 8))) for _ in range(150)]
+    base = [" ".join(r.choice(words) for _ in range(r.choice([4, 60, 70, 160]))) for _ in range(18)]
+    data = []
+    for i in range(60):
+        t = r.choice(base)
+        for _ in range(r.choice([0, 1, 3, 9])):
+            k = r.randrange(len(t))
+            t = t[:k] + r.choice(["q", "", " the ", "zz"]) + t[k:]
+        data.append((i, "hot " + t))
+    want = {(a, b) for a, x in data for b, y in data if a < b and abs(len(x) - len(y)) <= max(200, max(len(x), len(y)) // 2) and SequenceMatcher(None, y, x).ratio() >= 0.9}
+    monkeypatch.setattr(dedup, "CHUNK_LETTERS", 6000)
+    df = spark.createDataFrame([*data, (98, ""), (99, None)], "p long, folded string")
+    assert {(x["a"], x["b"]) for x in dedup.edges(df, "folded", "p").collect()} == want and len(want) > 20
+    calls, real = [], difflib.SequenceMatcher
+    monkeypatch.setattr(difflib, "SequenceMatcher", lambda *a: calls.append(a) or real(*a))
+    near = dedup._Near([p for p, _ in data], [x for _, x in data], 0.9)
+    assert {e for p, x in data for e in near.of(p, x)} == want and len(calls) < 2 * len(want) + 20
+
+
 def test_fuzzy_titles(spark):
     long = "x" * 300
     df = spark.createDataFrame([(1, "t", "ko", None, long, "1"), (2, "t", "ko", None, long, "2"), (3, "t", "ko", None, "other", "1"), (4, None, None, "http://a/b", "q", None), (5, None, None, None, None, None)], "p long, title string, lang string, url string, text string, time string")
