@@ -48,8 +48,11 @@ SEEDS = {
 }
 
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
+_ASCII_TOKEN = re.compile(r"[a-z]+(?:'[a-z]+)*")
 _SPELT = re.compile(r"\S+ ?(?:[\[(]at[\])]|골뱅이|at) ?[\w-]+(?: ?(?:[\[(]dot[\])]|dot|\.) ?[\w-]+)+")
-_DROP = re.compile(r"(?<![!-~])[!-~]*[0-9@#][!-~]*|https?://\S+|www\.\S+")
+_DROP = re.compile(r"(?<![!-~])[!\"$-/:-?A-~]*+[0-9@#][!-~]*+|https?://\S+|www\.\S+")  # possessive: a word is read once
+_DROPPED = re.compile(r"[0-9@#]|https?://|www\.")
+_UNSPACED = re.compile("[⺀-ꯟ\ud7a4-\U0010ffff]")
 _SCRIPTS = np.array([0x80, 0x250, 0x1100, 0x2E80, 0x3040, 0x3100, 0x4E00, 0xA000, 0xAC00, 0xD7B0], dtype=np.uint64)
 _JAMO = re.compile(r"[ᄀ-ᇿ㄰-㆏]+")
 _LAUGH = re.compile(r"(?:(?:[ha]{2,}|[je]{2,}|[ja]{3,}|[he]{3,}|lo+l+|k{2,}|w{2,}|x+d+|rs(?:rs)*|笑+|草+|www+)\s*)+", re.I)
@@ -68,12 +71,13 @@ def tokens(text: str) -> list[str]:
     t = unicodedata.normalize("NFKC", text) if not text.isascii() else text
     if "at]" in t or "at)" in t or "골뱅이" in t or " dot " in t:
         t = _SPELT.sub(" ", t)
-    t = _DROP.sub(" ", t)
-    return _TOKEN.findall(_JAMO.sub(" ", t).lower())
+    if _DROPPED.search(t):
+        t = _DROP.sub(" ", t)
+    return _ASCII_TOKEN.findall(t.lower()) if t.isascii() else _TOKEN.findall(_JAMO.sub(" ", t).lower())
 
 
 def has_word(text: str | None, words: list[str]) -> bool:
-    return bool(words) and not all(_LAUGH.fullmatch(w) for w in words)
+    return bool(words) and (_LAUGH.fullmatch(words[0]) is None or not all(map(_LAUGH.fullmatch, words)))
 
 
 def _weights(words: list[str]) -> list[str]:
@@ -122,15 +126,17 @@ class LangModel:
         self.matrix = matrix
 
     def word_scores(self, words: list[str]) -> np.ndarray:
-        """Log-probabilities of each word under each language, relative to their mean."""
-        out = np.empty((len(words), len(LANGS)), dtype=np.float32)
-        for a in range(0, len(words), CHUNK):
-            part = words[a:a + CHUNK]
+        """Log-probabilities of each word under each language, relative to their mean. Equal words are scored once."""
+        index = {w: i for i, w in enumerate(dict.fromkeys(words))}
+        different = list(index)
+        out = np.empty((len(different), len(LANGS)), dtype=np.float32)
+        for a in range(0, len(different), CHUNK):
+            part = different[a:a + CHUNK]
             ids, own = ngram_ids(part)
             m = self.matrix[ids]
             for k in range(len(LANGS)):
                 out[a:a + CHUNK, k] = np.bincount(own, weights=m[:, k], minlength=len(part))
-        return out
+        return out[np.fromiter(map(index.__getitem__, words), dtype=np.int64, count=len(words))]
 
 
 def fit_matrix(texts: list[list[str]], labels: list[int], mix: float = 0.08) -> LangModel:
@@ -194,20 +200,40 @@ def _weight(words: list[str]) -> int:
     return sum(len(w) * (4 if ord(w[0]) > 0x2E7F and not ("가" <= w[0] <= "힣") else 2 if ord(w[0]) > 0x2E7F else 1) for w in words)
 
 
-def segment(words: list[str], scores: np.ndarray, switch: float = SWITCH, least: int = 14) -> list[tuple[int, int, int, float]]:
-    """(first word, end, language, confidence) of the segments of one text."""
-    n, k = scores.shape
-    rows = scores.tolist()
-    best, back = rows[0], []
-    for row in rows[1:]:
-        top = max(best)
-        j, jump = best.index(top), top - switch
-        back.append([i if b >= jump else j for i, b in enumerate(best)])
-        best = [(b if b >= jump else jump) + v for b, v in zip(best, row)]
-    path = [best.index(max(best))]
-    for came in reversed(back):
-        path.append(came[path[-1]])
-    path.reverse()
+def best_paths(texts: list[np.ndarray], switch: float = SWITCH) -> list[list[int]]:
+    """The language of each word of each text by the Viterbi pass: all texts take their n-th word in one step, the longest first in line."""
+    if not texts:
+        return []
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    size = np.array([len(texts[i]) for i in order])
+    S = np.concatenate([texts[i] for i in order])
+    at = np.cumsum(size) - size
+    left = np.searchsorted(-size, -np.arange(size[0]), side="left")  # the texts that have an n-th word
+    same = np.arange(S.shape[1], dtype=np.uint8)
+    best, back = S[at], []
+    for s, m in enumerate(left[1:].tolist(), 1):
+        b = best[:m]
+        j = b.argmax(axis=1)
+        jump = (b[np.arange(m), j] - switch)[:, None]
+        stay = b >= jump
+        back.append(np.where(stay, same, j.astype(np.uint8)[:, None]))
+        best[:m] = np.where(stay, b, jump) + S[at[:m] + s]
+    path = np.zeros(len(S), dtype=np.uint8)
+    now = best.argmax(axis=1)
+    for s in range(len(back), 0, -1):
+        m = left[s]
+        path[at[:m] + s] = now[:m]
+        now[:m] = back[s - 1][np.arange(m), now[:m]]
+    path[at] = now
+    out: list[list[int]] = [[]] * len(texts)
+    for i, a, n in zip(order, at, size):
+        out[i] = path[a:a + n].tolist()
+    return out
+
+
+def segment(words: list[str], scores: np.ndarray, path: list[int], least: int = 14) -> list[tuple[int, int, int, float]]:
+    """(first word, end, language, confidence) of the segments of one text, from its best path."""
+    n = len(words)
     out: list[list] = []
     for i, y in enumerate(path):
         if out and out[-1][2] == y:
@@ -260,7 +286,7 @@ def detect(model: LangModel, texts: list[str | None]) -> list[Found | None]:
             w = tokens(t)
             at = cache[t] = len(lists) if has_word(t, w) else -1
             if at >= 0:
-                lists.append(_weights(w))
+                lists.append(_weights(w) if not t.isascii() and _UNSPACED.search("".join(w)) else w)
         where.append(at)
     if not lists:
         return [None] * len(texts)
@@ -273,15 +299,16 @@ def detect(model: LangModel, texts: list[str | None]) -> list[Found | None]:
     order = np.sort(total, axis=1)
     best, margin = total.argmax(axis=1), order[:, -1] - order[:, -2]
     gain = free - order[:, -1]
+    p = np.exp(total - total.max(axis=1, keepdims=True))
+    sure = (p[np.arange(len(p)), best] / p.sum(axis=1)).tolist()
+    mixed = np.flatnonzero(gain > SWITCH).tolist()
+    scores = [S[starts[i]:ends[i]] for i in mixed]
+    cut = {i: segment(lists[i], s, path) for i, s, path in zip(mixed, scores, best_paths(scores))}
     done: list[Found] = []
-    for i, w in enumerate(lists):
-        if gain[i] <= SWITCH:
-            p = np.exp(total[i] - total[i].max())
-            segs = [(0, len(w), int(best[i]), float(p[best[i]] / p.sum()))]
-        else:
-            segs = segment(w, S[starts[i]:ends[i]])
-        langs = sorted({LANGS[y] for _, _, y, _ in segs})
-        done.append(Found(langs, float(margin[i]), segs, w))
+    for i, (w, y, c, d) in enumerate(zip(lists, best.tolist(), sure, margin.tolist())):
+        segs = cut.get(i)
+        langs = [LANGS[y]] if segs is None else sorted({LANGS[y] for _, _, y, _ in segs})
+        done.append(Found(langs, d, segs or [(0, len(w), y, c)], w))
     return [done[k] if k >= 0 else None for k in where]
 
 

@@ -52,6 +52,7 @@ N_STATIC = 23 + len(_MARKS)
 N_SHAPE = N_STATIC + 12
 _LETTER, _DIGIT, _UPPER, _SPACE, _HANGUL, _CJK = 1, 2, 4, 8, 16, 32
 _TABLE: list[np.ndarray] = []
+_SETS: dict[str, np.ndarray] = {}
 _POWERS = (np.random.default_rng(11).integers(1, 2**63, 64, dtype=np.uint64) | np.uint64(1))
 
 
@@ -81,7 +82,27 @@ def _codes(s: str) -> np.ndarray:
 
 
 def _isin(codes: np.ndarray, chars: str) -> np.ndarray:
-    return np.isin(codes, np.array([ord(c) for c in chars], dtype=np.uint32))
+    """Which codes are among the characters, all below 0x10000; by a table, so that the number of characters doesn't count."""
+    table = _SETS.get(chars)
+    if table is None:
+        table = _SETS[chars] = np.zeros(0x10001, dtype=bool)
+        table[[ord(c) for c in chars]] = True
+    return table[np.minimum(codes, 0x10000)]
+
+
+def _places(codes: np.ndarray, chars: str) -> tuple[np.ndarray, np.ndarray]:
+    """(positions of the characters, the index of each)."""
+    at = np.flatnonzero(_isin(codes, chars))
+    order = np.argsort([ord(c) for c in chars])
+    return at, order[np.searchsorted(np.array([ord(c) for c in chars])[order], codes[at])]
+
+
+def is_title(line: str, title: str, key: str) -> bool:
+    """Whether a line has the letters ``key`` of the title; all letters are compared only where the first one and their number allow it (folding makes three
+    of one at most)."""
+    if not key or not line or len(key) > 3 * len(line) or len(line) >= 2 * len(title) + 20 or (line[0].isalpha() and not key.startswith(line[0].casefold())):
+        return False
+    return letters(line) == key
 
 
 def featurise(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -111,7 +132,7 @@ def featurise(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     longest = np.zeros(n, np.float32)
     if total:
         pos = np.flatnonzero(word_char)
-        word = np.searchsorted(w_start, pos, side="right") - 1
+        word = (np.cumsum(word_char & ~prev) - 1)[pos]
         inside = pos - w_start[word]
         first = np.flatnonzero(inside == 0)
         terms = lower[pos] * _POWERS[inside % 64]
@@ -165,7 +186,9 @@ def featurise(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
         _isin(stop, _ENDS), last == ord(":"), _isin(last, ")]"), head == ord("["), head == ord("("), numbered, _isin(head, _BULLETS) & (second == 32), _isin(head, _ARROWS), handle,
         per(clock) > 1, np.minimum(per(inner), 6) / 3, (cls[np.clip(ends - 1, 0, len(code) - 1)] & _DIGIT) > 0, (cls[np.minimum(begin, len(code) - 1)] & _DIGIT) > 0, size < 25, size > 90, np.minimum(double, 6) / 3,
     ]
-    f += [np.minimum(per(code == ord(c)), 6) / 3 for c in _MARKS]
+    mark_at, mark = _places(code, _MARKS)
+    marks = np.bincount(at[mark_at] * len(_MARKS) + mark, minlength=n * len(_MARKS))[:n * len(_MARKS)].reshape(n, -1)
+    f += list((np.minimum(marks, 6).astype(np.float32) / 3).T)
     return ids, starts, counts, np.stack([np.asarray(x, dtype=np.float32) for x in f], axis=1)
 
 
@@ -200,7 +223,7 @@ class Pages:
                 first_seen[x] = 1
             seen_title = False
             for k, x in enumerate(lines):
-                own = bool(t) and len(x) < 2 * len(title) + 20 and letters(x) == t
+                own = is_title(x, title, t)
                 seen_title = seen_title or own
                 context.append((own, k == 0, k == n - 1, k / n, min(k, 10) / 10, min(n - 1 - k, 10) / 10, min(n, 40) / 40, gaps[k], k == n - 1 or gaps[k + 1], x in twice, seen_title, bool(t)))
                 which.append(unique.setdefault(x, len(unique)))
