@@ -20,10 +20,11 @@ repeated rows give repeated results by their own keys; empty tables give empty r
 
 from __future__ import annotations
 
+import operator
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -91,31 +92,40 @@ _HANGUL = re.compile("[가-힣]")
 _LATIN = re.compile("[A-Za-zÀ-ÿ]")
 _AT_HOST = re.compile(rf" (?:at|ät|arroba) [A-Za-z0-9-]+{_DOT}", re.I)
 _KO_NUMBERED = re.compile(r"[로길울개리골동면읍가](?:\d{1,3}(?:번?길|로|길)?)? ?\d")
-_DE_NUMBERED = re.compile(r"([^\W\d_]{3,})\.? \d")
+_SPACED_DIGIT = re.compile(r" \d")
+_ID_DIGITS = re.compile(r"[0-9]{2}(?:[0-9]{4}|[ .]?[0-9]{3}[ .]?[0-9]{3})")
+_HAN_3 = re.compile("[一-鿿]{3}")
 _DE_ENDS = tuple(STREETS_DE.split("|"))
 _ES_STARTS = tuple(STREETS_ES.lower().split("|"))
 _SPOKEN_WORDS = frozenset("zero oh one two three four five six seven eight nine double cero uno dos tres cuatro cinco seis siete ocho nueve null eins zwei drei vier fünf sechs sieben acht neun".split())
 
 
-def word_ids(text: str) -> tuple[list[str], list[str]]:
-    """The different words of a text in small letters (pairs of Han characters count as words too), and those that stand in small letters."""
+def word_ids(text: str) -> tuple[set[str], set[str]]:
+    """The different words of a text in small letters (pairs of Han characters count as words too), and as they stand; one set if they are the same."""
     words = set(_WORDS.findall(text))
-    small = {w for w in words if w.islower()}
-    out = {w.lower() for w in words}
-    for w in words:
+    han = _HAN_3.search(text) is not None
+    if not han and text == text.lower():
+        return words, words
+    out = set(map(str.lower, words))
+    for w in words if han else ():
         if len(w) > 2 and "一" <= w[0] <= "鿿":
             out.update(w[i:i + 2] for i in range(len(w) - 1))
-    return list(out), list(small)
+    return out, words
 
 
 def word_counts(texts: Iterable[str], total: np.ndarray) -> None:
     """Adds, hashed, the number of texts that hold each word and that hold it in small letters, and last the number of texts."""
-    n, seen, small = 0, Counter(), Counter()
+    n, plain, lowered, cased = 0, Counter(), Counter(), Counter()
     for t in texts:
-        a, b = word_ids(t)
-        seen.update(a)
-        small.update(b)
+        low, words = word_ids(t)
+        if low is words:
+            plain.update(words)
+        else:
+            lowered.update(low)
+            cased.update(words)
         n += 1
+    seen = plain + lowered
+    small = {w: k for w, k in (plain + cased).items() if w.islower()}
     for base, counts in ((0, seen), (1 << WORD_BITS, small)):
         if counts:
             at = np.fromiter((zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in counts), dtype=np.int64, count=len(counts)) >> (32 - WORD_BITS)
@@ -138,6 +148,25 @@ def _ko_names(w: str, words) -> list[tuple[int, str, str, list[str]]]:
     return out
 
 
+class Kept(dict):
+    """What a function says of each word, kept for a bounded number of words."""
+
+    def __init__(self, say: Callable):
+        super().__init__()
+        self.say = say
+
+    def __missing__(self, word: str):
+        if len(self) > 200_000:
+            self.clear()
+        got = self[word] = self.say(word)
+        return got
+
+
+def _rare(word: str, words) -> bool:
+    """Whether a Latin word in one case is rare enough for a name where case tells nothing."""
+    return (word.islower() or word.isupper()) and (words.of(word) & 15) <= 2 and word.lower() not in LEADERS
+
+
 class Words:
     """How common words are (0: two texts at most have it, up to 9) and whether they occur in small letters (16 added)."""
 
@@ -146,27 +175,21 @@ class Words:
         seen, small = total[:n], total[n:2 * n]
         level = np.minimum(np.rint(np.log2(1 + PER * np.maximum(seen - 2, 0) / max(total[-1], 1))), 9)
         self.code = (level + 16 * (small > 0.25 * np.maximum(seen, 1))).astype(np.uint8)
-        self.known: dict[str, int] = {}
-        self.named: dict[str, list] = {}
+        self.forget()
 
-    def of(self, word: str) -> int:
-        got = self.known.get(word)
-        if got is None:
-            if len(self.known) > 200_000:
-                self.known.clear()
-            got = self.known[word] = int(self.code[zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) >> (32 - WORD_BITS)])
-        return got
+    def forget(self) -> None:
+        self.known, self.named, self.rare = Kept(self._look_up), Kept(lambda w: _ko_names(w, self)), Kept(lambda w: _rare(w, self))
+        self.of = self.known.__getitem__
 
-    def names(self, word: str) -> list:
-        got = self.named.get(word)
-        if got is None:
-            if len(self.named) > 200_000:
-                self.named.clear()
-            got = self.named[word] = _ko_names(word, self)
-        return got
+    def _look_up(self, word: str) -> int:
+        return int(self.code[zlib.crc32(word.lower().encode("utf-8", "surrogatepass")) >> (32 - WORD_BITS)])
 
     def __getstate__(self) -> dict:
-        return {"code": self.code, "known": {}, "named": {}}
+        return {"code": self.code}
+
+    def __setstate__(self, state: dict) -> None:
+        self.code = state["code"]
+        self.forget()
 
 
 class With:
@@ -174,14 +197,12 @@ class With:
 
     def __init__(self, words: Words, own: dict[str, int]):
         self.words, self.own = words, own
+        self.named, self.rare = Kept(lambda w: _ko_names(w, self)), Kept(lambda w: _rare(w, self))
 
     def of(self, word: str) -> int:
         got = self.own.get(word.lower())
         return self.words.of(word) if got is None else got
 
-    def names(self, word: str) -> list:
-        return _ko_names(word, self)
-
 
 class Span:
     """A candidate segment with the feature strings of each type it could have."""
@@ -254,6 +275,8 @@ def candidates(text: str, words: Words, gated: bool = True) -> list[Span]:
         long = not gated or sum(map(text.count, "0123456789")) >= 6
         for m in _NUMBER.finditer(text) if long else ():
             s = m[0]
+            if len(s) < 7:
+                continue
             digits = sum(c.isdigit() or c in "OolI" for c in s)
             if 7 <= digits <= 19 and sum(c.isdigit() for c in s) >= 6:
                 f = _number_feats(s)
@@ -272,7 +295,7 @@ def candidates(text: str, words: Words, gated: bool = True) -> list[Span]:
             grammars.append((_ADDR_EN, "en"))
             if not gated or any(w in low for w in _ES_STARTS):
                 grammars.append((_ADDR_ES, "es"))
-            if not gated or any(m[1].lower().endswith(_DE_ENDS) for m in _DE_NUMBERED.finditer(text)):
+            if not gated or any(low[max(0, m.start() - 12):m.start()].removesuffix(".").endswith(_DE_ENDS) for m in _SPACED_DIGIT.finditer(low)):
                 grammars.append((_ADDR_DE, "de"))
         grammars.append((_ADDR_CJK, "cjk"))
         whole = text.isupper() or text.islower()
@@ -285,15 +308,16 @@ def candidates(text: str, words: Words, gated: bool = True) -> list[Span]:
                     f"lang={lang}", f"words={min(len(own), 6)}", f"caps={lang}_{min(caps, 2)}_{caps == len([w for w in own if len(w) > 2])}_{whole}", f"first={own[0].lower()[-1] if own else ''}", f"unit={bool(re.search('번지|동|호|층|Apt|Flat|Unit|[º°ª]|, ?[0-9]{5} ', s))}",
                     f"stop={'. ' in s}", f"city={bool(re.match('[가-힣]{1,5}(?:시|도|군|구) ', s)) or s.count(',') > 0}", f"ko_parts={len(re.findall('[가-힣]+(?:시|군|구|면|동|읍|로|길|울) ?', s))}",
                 ])
-        for m in _ID.finditer(text) if long else ():
+        for m in _ID.finditer(text) if long and (not gated or _ID_DIGITS.search(text)) else ():
             add(m.start(), m.end(), "id_number", ["special", *_number_feats(m[0])])
     if hangul:
         for m in _SPOKEN.finditer(text):
             n = sum(c in KO_DIGITS for c in m[0])
             if n >= 8:
                 add(m.start(), m.end(), "phone", ["spoken", f"n={n}", f"start={m[0][:3]}"])
+        named = words.named
         for m in _NAME_KO.finditer(text):
-            for n, tail, title, own in words.names(m[0]):
+            for n, tail, title, own in named[m[0]]:
                 gap = text[m.end():m.end() + 1] == " "
                 after = next((t for t in KO_TITLES if text.startswith(t, m.end() + 1)), "") if gap and not tail else ""
                 either = bool(title or after)
@@ -303,13 +327,13 @@ def candidates(text: str, words: Words, gated: bool = True) -> list[Span]:
         for m in _SPOKEN_EN.finditer(text):
             add(m.start(), m.end(), "phone", ["spoken_en"])
     if latin:
-        _latin_names(text, words, add)
+        _latin_names(text, words, add, gated)
     if not (hangul and _HANGUL.search(text)):
         _han_names(text, words, add)
     return out
 
 
-def _latin_names(text: str, words: Words, add) -> None:
+def _latin_names(text: str, words: Words, add, gated: bool) -> None:
     whole = text.isupper() or text.islower()
     taken = []
     for m in _NAME_LATIN.finditer(text):
@@ -328,9 +352,13 @@ def _latin_names(text: str, words: Words, add) -> None:
             first = text[max(0, start - 2):start].strip()[-1:] in ("", ".", "!", "?")
             add(start, m.end(), "name", ["latin", f"words={len(parts) - i}", f"initial={any(len(p) == 2 and p[1] == '.' for p in parts[i:])}", f"first={first}", "case=c", *_levels(ws, words), f"skip={i}", f"tail={_TAIL.search(text[max(0, start - 45):start]) is not None}"])
     # a pair or three of rare words in one case, where case tells nothing
+    if gated:
+        rares = list(map(words.rare.__getitem__, _LATIN_WORD.findall(text)))
+        if True not in map(operator.and_, rares, rares[1:]):
+            return
     run: list = []
     for m in [*_LATIN_WORD.finditer(text), None]:
-        rare = m is not None and (m[0].islower() or m[0].isupper()) and (words.of(m[0]) & 15) <= 2 and m[0].lower() not in LEADERS
+        rare = m is not None and words.rare[m[0]]
         near = rare and run and text[run[-1].end():m.start()] == " "
         if run and not near:
             for i in range(len(run) - 1):
@@ -362,8 +390,9 @@ def _han_names(text: str, words: Words, add) -> None:
 
 def best_path(spans: list[Span], weights: dict[str, float]) -> list[Span]:
     """The highest-scoring set of non-overlapping segments; text outside scores 0."""
-    scored = sorted(((sum(weights.get(f, 0.0) for f in s.feats), s) for s in spans), key=lambda x: (x[1].end, x[1].start))
-    scored = [(v, s) for v, s in scored if v > 0]
+    get = weights.get
+    scored = [(v, s) for s in spans if (v := sum(filter(None, map(get, s.feats)))) > 0]
+    scored.sort(key=lambda x: (x[1].end, x[1].start))
     ends = [s.end for _, s in scored]
     best, pick = [0.0], [None]
     for i, (v, s) in enumerate(scored):

@@ -2,12 +2,13 @@
 
 import re
 import unicodedata
+import zlib
 from types import SimpleNamespace
 
 import numpy as np
 import pytest
 
-from opinlake.llm import langid, mainbody, prose
+from opinlake.llm import langid, mainbody, pii, prose
 
 
 @pytest.fixture(scope="module")
@@ -93,3 +94,49 @@ def test_prose_is_asked_of_reported_documents_only(spark, langs):
     sent = SimpleNamespace(value=prose.Trained(keep, langs, model))
     for t in (bodies, df):
         assert [tuple(r) for r in prose.languages_of_documents(t, sent).collect()] == [("documents", 10, "de")]
+
+
+def test_pii_looks_up_each_word_once(monkeypatch):
+    """Whether a word is rare is asked once for all its places, of texts with and without a pair of rare words."""
+    asked = []
+    plain = pii._rare
+    monkeypatch.setattr(pii, "_rare", lambda w, words: asked.append(w) or plain(w, words))
+    total = np.zeros((2 << pii.WORD_BITS) + 1)
+    pii.word_counts(["the meeting was long and loud"] * 50, total)
+    words = pii.Words(total)
+    texts = ["the meeting was long", "the long meeting was brunhild ostrander", "was the meeting loud and long"] * 20
+    names = [[t[s.start:s.end] for s in pii.candidates(t, words) if s.type == "name"] for t in texts]
+    assert names == [[], ["brunhild ostrander"], []] * 20
+    assert len(asked) == len(set(asked)) == len({w for t in texts for w in t.split()})
+
+
+def test_pii_numbers_of_identity_behind_a_gate():
+    """The cheap test lets every number through that the grammar takes, and keeps dates and amounts out."""
+    r = np.random.default_rng(3)
+    pieces = ["12", "345", "678", "9", "12345678", "A", "Z", "XY", ".", "-", " ", "x", "나"]
+    hits = 0
+    for _ in range(20000):
+        t = "".join(r.choice(pieces, int(r.integers(2, 10))))
+        found = pii._ID.search(t) is not None
+        assert not found or pii._ID_DIGITS.search(t), t
+        hits += found
+    assert hits > 100 and not any(map(pii._ID_DIGITS.search, ("on 2024-05-17 at 10:30", "1,204,300 won", "표 3-2-11")))
+
+
+def test_pii_word_counts_by_the_plain_rule():
+    """Counted by whole sets of words as by one word after another."""
+    pieces = ["Word", "word", "WORD", "İki", "ß", "한글", "漢字", "漢字体系", "字体", "カナ", "かな", " ", "-", "é", "É"]
+    r = np.random.default_rng(8)
+    texts = ["".join(r.choice(pieces, int(r.integers(1, 9)))) for _ in range(3000)]
+    got, want = np.zeros((2 << pii.WORD_BITS) + 1), np.zeros((2 << pii.WORD_BITS) + 1)
+    pii.word_counts(texts, got)
+    at = lambda w: zlib.crc32(w.encode()) >> (32 - pii.WORD_BITS)
+    for t in texts:
+        words = set(pii._WORDS.findall(t))
+        pairs = {w[i:i + 2] for w in words if len(w) > 2 and "一" <= w[0] <= "鿿" for i in range(len(w) - 1)}
+        for w in {w.lower() for w in words} | pairs:
+            want[at(w)] += 1
+        for w in words:
+            want[(1 << pii.WORD_BITS) + at(w)] += w.islower()
+    want[-1] = len(texts)
+    assert (got == want).all()
